@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanwell.functions.text import as_column, decode_entities, strip
+from gleanwell.functions import sqltext as sql
+from gleanwell.functions.text import decode_entities_sql, strip_sql
+from gleanwell.functions.urls import base_parts_sql, resolve_sql, resolve_url_sql
 
-_ATTRS = r"""(?:[^>"']++|"[^"]*"|'[^']*')*+"""
+_ATTRS = r"""(?:[^>"\x27]++|"[^"]*"|\x27[^\x27]*\x27)*+"""
 _COMMENT = r"!--.*?(?:-->|\z)"
 
 
@@ -20,117 +22,138 @@ def _raw_element(names: str, group: int) -> str:
     return rf"({names})(?=[\s/>]).*?(?:</\{group}\s*>|\z)"
 
 
-_LINK_TAG = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|(?:a|source|audio)(?=[\s/>]){_ATTRS}>)"
+# The rest of a tag; one with unbalanced quotes ends at the next ">".
+_REST = rf"(?:{_ATTRS}>|[^>]*+>)"
+_REST_OR_CUT = rf"(?:{_ATTRS}>|[^>]*+(?:>|\z))"
+
+_LINK_TAG = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|(?:a|source|audio)(?=[\s/>]){_REST})"
 _ANCHOR = (
     rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}"
-    rf"|a(?=[\s/>]){_ATTRS}>"
+    rf"|a(?=[\s/>]){_REST}"
     rf"(?:[^<]++|<{_COMMENT}|<{_raw_element('script|style', 2)}|<(?!/?a(?=[\s/>])))*+)"
 )
-_TOKEN = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|/?[a-z]{_ATTRS}>)|[^<]++|<"
+_TOKEN = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|/?[a-z]{_REST_OR_CUT})|[^<]++|<"
 _NOT_TEXT = (
     rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style|noscript|head', 1)}"
-    rf"|/body\s*>\s*(?:</html\s*>\s*)?\z|[/!?]?[a-z]{_ATTRS}>)"
+    rf"|/body\s*>\s*(?:</html\s*>\s*)?\z|[/!?]?[a-z]{_REST_OR_CUT})"
 )
 _VOID = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr)(?=[\s/>])"
-_BASE_TAG = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|base(?=[\s/>]){_ATTRS}>)"
+_BASE_TAG = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|base(?=[\s/>]){_REST})"
 
 
 def _attribute_pattern(name: str) -> str:
-    value = r"""(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+)"""
-    return (
+    value = r"""(?:"[^"]*"|\x27[^\x27]*\x27|[^\s>"\x27][^\s>]*+)"""
+    return sql.lit(
         rf"(?is)^<[a-z]++(?:[\s/]*+(?!{name}[\s=>/])[^\s=>/]++(?:\s*+=\s*+{value})?+)*+"
         rf"[\s/]*+{name}(?=[\s=>/])(?:\s*+=\s*+({value}))?+"
     )
 
 
-def attribute_values(tags: Column, name: str) -> Column:
-    """Decoded values of attribute ``name`` over an array of start tags; tags without it are skipped."""
-    found = F.flatten(
-        F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(_attribute_pattern(name)), F.lit(1)))
-    )
+def _attributes(tags: str, name: str) -> str:
+    """Raw values of attribute ``name`` over an array of start tags; tags without it are skipped."""
+    return f"flatten(transform({tags}, t -> regexp_extract_all(t, {_attribute_pattern(name)}, 1)))"
+
 
-    def unquoted(v: Column) -> Column:
-        quoted = F.startswith(v, F.lit('"')) | F.startswith(v, F.lit("'"))
-        inner = F.when(quoted, F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-        return decode_entities(inner, lenient=False)
+def _value(raw: str) -> str:
+    """An attribute value without its quotes, references decoded."""
+    inner = f"CASE WHEN left({raw}, 1) IN ('\"', '\\u0027') THEN substring({raw}, 2, length({raw}) - 2) ELSE {raw} END"
+    return decode_entities_sql(inner, lenient=False)
 
-    return F.transform(found, unquoted)
 
+def _only(tags: str, tag: str) -> str:
+    return rf"filter({tags}, t -> t RLIKE r'(?i)^<{tag}[\s/>]')"
 
-def link_tags(page: Column | str) -> Column:
+
+def link_tags_sql(page: str) -> str:
     """Start tags that may carry a link, in document order, outside scripts and comments."""
-    found = F.regexp_extract_all(as_column(page), F.lit(_LINK_TAG), F.lit(0))
-    return F.filter(found, lambda t: t.rlike(r"(?i)^<(?:a|source|audio)[\s/>]"))
+    return _only(f"regexp_extract_all({page}, {sql.lit(_LINK_TAG)}, 0)", "(?:a|source|audio)")
+
+
+def links_sql(tags: str) -> str:
+    """``a`` links, then ``source`` links, then ``audio`` links, as (tag, href); copies kept."""
+    raw = ", ".join(
+        f"transform({_attributes(_only(tags, tag), name)}, v -> named_struct('tag', '{tag}', 'raw', v))"
+        for tag, name in (("a", "href"), ("source", "src"), ("audio", "src"))
+    )
+    return f"transform(concat({raw}), l -> named_struct('tag', l.tag, 'href', {_value('l.raw')}))"
+
+
+def resolved_links_sql(links: str, base: str) -> str:
+    """The links with their absolute ``url`` on a page whose base parts are ``base``."""
+    url = resolve_sql(base, "l.href")
+    return f"transform({links}, l -> named_struct('tag', l.tag, 'href', l.href, 'url', {url}))"
 
 
-def tag_links(tags: Column, tag: str, attribute: str) -> Column:
-    return attribute_values(F.filter(tags, lambda t: t.rlike(rf"(?i)^<{tag}[\s/>]")), attribute)
+def anchor_hrefs_sql(tags: str) -> str:
+    return f"transform({_attributes(_only(tags, 'a'), 'href')}, v -> {_value('v')})"
 
 
-def base_href(page: Column | str) -> Column:
+def base_href_sql(page: str) -> str:
     """``href`` of the page's first ``<base>`` that has one, else NULL."""
-    p = as_column(page)
-    found = F.regexp_extract_all(p, F.lit(_BASE_TAG), F.lit(0))
-    tags = F.filter(found, lambda t: t.rlike(r"(?i)^<base[\s/>]"))
-    first = F.get(F.filter(attribute_values(tags, "href"), lambda h: strip(h) != ""), F.lit(0))
-    return F.when(p.rlike(r"(?i)<base[\s/]"), strip(first))
+    tags = _only(f"regexp_extract_all({page}, {sql.lit(_BASE_TAG)}, 0)", "base")
+    values = f"transform({_attributes(tags, 'href')}, v -> {strip_sql(_value('v'))})"
+    return rf"CASE WHEN {page} RLIKE r'(?i)<base[\s/]' THEN get(filter({values}, h -> h <> ''), 0) END"
 
 
-def _direct_texts(content: Column) -> Column:
+def document_base_sql(url: str, page: str) -> str:
+    """Base parts that relative links refer to: the page's, or those of its ``<base href>``."""
+    address = f"CASE WHEN __href IS NULL THEN {url} ELSE {resolve_url_sql(url, '__href')} END"
+    return base_parts_sql(sql.let(base_href_sql(page), "__href", address))
+
+
+def _direct_texts(content: str) -> str:
     """Text nodes of an element's content that lie in no nested element."""
-    tokens = F.regexp_extract_all(content, F.lit(_TOKEN), F.lit(0))
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
-
-    def state(depth: Column, texts: Column) -> Column:
-        return F.struct(depth.alias("depth"), texts.alias("texts"))
-
-    def step(acc: Column, token: Column) -> Column:
-        depth, texts = acc["depth"], acc["texts"]
-        return (
-            F.when(
-                token.rlike(r"(?i)^<[a-z]") & ~token.rlike(_VOID) & ~token.rlike(r"(?i)^<(?:script|style)[\s/>]"),
-                state(depth + 1, texts),
-            )
-            .when(token.rlike(r"(?i)^</[a-z]"), state(F.greatest(depth - 1, F.lit(0)), texts))
-            .when(
-                (depth == 0) & ~token.rlike(r"(?i)^<[!a-z]"),
-                state(depth, F.concat(texts, F.array(token))),
-            )
-            .otherwise(acc)
-        )
-
-    nested = F.aggregate(tokens, start, step, lambda acc: acc["texts"])
-    plain = F.when(content == "", F.array().cast("array<string>")).otherwise(F.array(content))
-    texts = F.when(F.contains(content, F.lit("<")), nested).otherwise(plain)
-    return F.transform(texts, lambda t: decode_entities(t, lenient=False))
-
-
-def anchors(page: Column | str) -> Column:
-    """Array of (href, texts) over the page's ``<a href>`` elements, in document order."""
-    found = F.regexp_extract_all(as_column(page), F.lit(_ANCHOR), F.lit(0))
-    elements = F.filter(found, lambda t: t.rlike(r"(?i)^<a[\s/>]"))
-    open_tag = rf"(?is)^<a{_ATTRS}>"
+    opens = rf"k RLIKE r'(?i)^<[a-z]' AND NOT k RLIKE {sql.lit(_VOID)} AND NOT k RLIKE r'(?i)^<(?:script|style)[\s/>]'"
+    step = (
+        f"CASE WHEN {opens} THEN named_struct('depth', acc.depth + 1, 'texts', acc.texts) "
+        "WHEN k RLIKE r'(?i)^</[a-z]' THEN named_struct('depth', greatest(acc.depth - 1, 0), 'texts', acc.texts) "
+        "WHEN acc.depth = 0 AND NOT k RLIKE r'(?i)^<[!a-z]' "
+        "THEN named_struct('depth', acc.depth, 'texts', concat(acc.texts, array(k))) ELSE acc END"
+    )
+    nested = (
+        f"aggregate(regexp_extract_all({content}, {sql.lit(_TOKEN)}, 0), "
+        f"named_struct('depth', 0, 'texts', {sql.NO_TEXTS}), (acc, k) -> {step}, acc -> acc.texts)"
+    )
+    texts = f"CASE WHEN {content} = '' THEN {sql.NO_TEXTS} WHEN contains({content}, '<') THEN {nested} ELSE array({content}) END"
+    return f"transform({texts}, n -> {decode_entities_sql('n', lenient=False)})"
 
-    def one(element: Column) -> Column:
-        tag = F.regexp_extract(element, open_tag, 0)
-        content = F.substr(element, F.length(tag) + 1)
-        href = F.get(attribute_values(F.array(tag), "href"), F.lit(0))
-        return F.struct(href.alias("href"), _direct_texts(content).alias("texts"))
 
-    return F.filter(F.transform(elements, one), lambda a: a["href"].isNotNull())
+def anchors_sql(page: str) -> str:
+    """Array of (href, texts) over the page's ``<a href>`` elements, in document order."""
+    elements = _only(f"regexp_extract_all({page}, {sql.lit(_ANCHOR)}, 0)", "a")
+    open_tag = sql.lit(rf"(?is)^<a{_REST}")
+    href = sql.let(f"get({_attributes('array(tag)', 'href')}, 0)", "v", _value("v"))
+    texts = sql.let("substring(el, length(tag) + 1)", "c", _direct_texts("c"))
+    one = sql.let(f"regexp_extract(el, {open_tag}, 0)", "tag", f"named_struct('href', {href}, 'texts', {texts})")
+    return f"filter(transform({elements}, el -> {one}), a -> a.href IS NOT NULL)"
 
 
-def visible_texts(page: Column | str) -> Column:
+def visible_texts_sql(page: str) -> str:
     """Normalised text nodes of the body outside script, noscript and style.
 
     A node of white space only stays as an empty string. Character references are decoded
     twice: by the markup and once more on the text, as the data model asks.
     """
-    nodes = F.filter(F.split(as_column(page), _NOT_TEXT, -1), lambda t: t != "")
+    nodes = f"filter(split({page}, {sql.lit(_NOT_TEXT)}, -1), n -> n <> '')"
+    decoded = decode_entities_sql(decode_entities_sql("n", lenient=False), lenient=True)
+    return f"transform({nodes}, n -> regexp_replace(replace({strip_sql(decoded)}, '\r\n', ''), ' +', ' '))"
+
+
+def link_tags(page: str) -> Column:
+    return F.expr(link_tags_sql(page))
+
+
+def links(page: str) -> Column:
+    return F.expr(links_sql(link_tags_sql(page)))
+
+
+def base_href(page: str) -> Column:
+    return F.expr(base_href_sql(page))
+
+
+def anchors(page: str) -> Column:
+    return F.expr(anchors_sql(page))
 
-    def tidy(node: Column) -> Column:
-        decoded = decode_entities(decode_entities(node, lenient=False), lenient=True)
-        no_breaks = F.replace(strip(decoded), F.lit("\r\n"), F.lit(""))
-        return F.regexp_replace(no_breaks, " +", " ")
 
-    return F.transform(nodes, tidy)
+def visible_texts(page: str) -> Column:
+    return F.expr(visible_texts_sql(page))

@@ -15,21 +15,22 @@ from gleanwell.config import (
     WIKI_DOMAINS,
     WIKI_PREFIXES,
 )
-from gleanwell.functions.text import WHITESPACE, as_column, sanitize_text
+from gleanwell.functions.text import WHITESPACE, as_column, let, sanitize_text
 
 # Longer lists go through one loop over a constant array: an OR of many terms would make
 # the generated method too large to be compiled.
 MAX_UNROLLED = 12
 
 
-def any_of(values: Iterable[str], test: Callable[[Column], Column]) -> Column:
-    """True if ``test`` holds for at least one of the constants."""
+def any_of(text: Column, values: Iterable[str], test: Callable[[Column, Column], Column]) -> Column:
+    """True if ``test(text, value)`` holds for at least one of the constants."""
     distinct = list(dict.fromkeys(values))
     if not distinct:
         return F.lit(False)
     if len(distinct) <= MAX_UNROLLED:
-        return reduce(lambda a, b: a | b, [test(F.lit(v)) for v in distinct])
-    return F.exists(F.array(*[F.lit(v) for v in distinct]), test)
+        return reduce(lambda a, b: a | b, [test(text, F.lit(v)) for v in distinct])
+    constants = F.array(*[F.lit(v) for v in distinct])
+    return let(text, lambda t: F.exists(constants, lambda v: test(t, v)))
 
 
 def is_http(url: Column | str) -> Column:
@@ -47,18 +48,18 @@ def has_ignored_word(url: Column | str, words: Iterable[str], both_sides: bool =
         words = [w.strip(WHITESPACE).lower() for w in words]
     else:
         text = F.lower(as_column(url))
-    return any_of(words, lambda w: F.contains(text, w))
+    return any_of(text, words, F.contains)
 
 
 def has_ignored_extension(url: Column | str, suffixes: Iterable[str], trimmed: bool = False) -> Column:
     """The lowercased URL ends with a suffix, taken as written."""
     text = sanitize_text(url) if trimmed else F.lower(as_column(url))
-    return any_of(suffixes, lambda s: F.endswith(text, s))
+    return any_of(text, suffixes, F.endswith)
 
 
 def has_media_extension(url: Column | str, suffixes: Iterable[str]) -> Column:
     text = F.lower(as_column(url))
-    return any_of([s.lower() for s in suffixes], lambda s: F.endswith(text, s))
+    return any_of(text, [s.lower() for s in suffixes], F.endswith)
 
 
 def is_foreign_wiki(
@@ -71,22 +72,20 @@ def is_foreign_wiki(
     """A wiki page in another language; ``strict`` counts every non-wiki URL as foreign too."""
     text = sanitize_text(url)
     host = F.replace(F.replace(text, F.lit("https://"), F.lit("")), F.lit("http://"), F.lit(""))
-    on_wiki = any_of(domains, lambda d: F.contains(text, d))
-    wanted = any_of([*prefixes, language_code], lambda p: F.startswith(host, p))
+    on_wiki = any_of(text, domains, F.contains)
+    wanted = any_of(host, [*prefixes, language_code], F.startswith)
     return F.when(on_wiki, ~wanted).otherwise(F.lit(strict))
 
 
 def is_search_result(url: Column | str, blocked: Iterable[str] = SEARCH_BLOCKED_HOSTS) -> Column:
     u = as_column(url)
     web = F.startswith(u, F.lit("http:")) | F.startswith(u, F.lit("https:"))
-    return web & ~any_of(blocked, lambda b: F.contains(u, b))
+    return web & ~any_of(u, blocked, F.contains)
 
 
 def is_cc_url(url: Column | str, prefixes: Iterable[str] = CC_URL_PREFIXES) -> Column:
-    u = as_column(url)
-    return any_of(prefixes, lambda p: F.contains(u, p))
+    return any_of(as_column(url), prefixes, F.contains)
 
 
 def has_license_terms(text: Column | str, terms: Iterable[str] = LICENSE_TERMS) -> Column:
-    t = as_column(text)
-    return any_of(terms, lambda w: F.contains(t, w))
+    return any_of(as_column(text), terms, F.contains)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import html as _html
+from collections.abc import Callable, Iterable
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleanwell.config import KANNADA_RANGE, TAMIL_RANGE
+from gleanwell.functions import sqltext as sql
 
 # Characters that count as whitespace when text is stripped or split.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
@@ -19,6 +21,11 @@ def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column | str) -> Column:
     """Remove leading and trailing Unicode whitespace (Spark's ``trim`` drops spaces only)."""
     return F.trim(as_column(col), F.lit(WHITESPACE))
@@ -28,6 +35,10 @@ def rstrip(col: Column | str) -> Column:
     return F.rtrim(as_column(col), F.lit(WHITESPACE))
 
 
+def strip_sql(text: str) -> str:
+    return f"trim(BOTH {sql.chars(WHITESPACE)} FROM {text})"
+
+
 def sanitize_text(col: Column | str) -> Column:
     return F.lower(strip(col))
 
@@ -58,75 +69,75 @@ _STRICT_REF = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 _LENIENT_REF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
-def _named_table(names: list[str]) -> Column:
-    # One foldable literal: the optimizer turns it into a constant map.
-    body = "\x01".join(f"{n}\x02{html5[n]}" for n in names)
-    return F.str_to_map(F.lit(body), F.lit("\x01"), F.lit("\x02"))
+def _table(pairs: Iterable[tuple[object, str]]) -> str:
+    return "\x01" + "\x01".join(f"{name}\x02{text}" for name, text in pairs) + "\x01"
 
 
-def _remapped_controls() -> str:
-    # Code points below 0xA0 that a character reference does not stand for literally.
-    pairs = ((n, _html.unescape(f"&#{n};")) for n in range(0xA0))
-    return "\x01".join(f"{n}\x02{v}" for n, v in pairs if v != chr(n))
+def _table_entry(table: str, name: str) -> str:
+    """Text stored under ``name`` in a constant table, or NULL."""
+    found = f"substring({table}, at + length({name}) + 2, 8)"
+    return sql.let(
+        f"instr({table}, concat('\x01', {name}, '\x02'))",
+        "at",
+        f"CASE WHEN at > 0 THEN substring_index({found}, '\x01', 1) END",
+    )
 
 
-def _numeric(ref: Column) -> Column:
-    hexadecimal = F.regexp_extract(ref, r"^&#[xX]0*([0-9a-fA-F]{1,6});?$", 1)
-    decimal = F.regexp_extract(ref, r"^&#0*([0-9]{1,7});?$", 1)
-    point = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).cast("int")
-    remapped = F.str_to_map(F.lit(_remapped_controls()), F.lit("\x01"), F.lit("\x02"))
-    as_hex = F.lpad(F.hex(point), 8, "0")
-    return (
-        F.when(point.isNull() | (point > 0x10FFFF) | point.between(0xD800, 0xDFFF), F.lit("�"))
-        .when(
-            (point < 0xA0) & F.map_contains_key(remapped, point.cast("string")),
-            F.try_element_at(remapped, point.cast("string")),
-        )
-        .when(point.between(0xFDD0, 0xFDEF) | (point.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE), F.lit(""))
-        .otherwise(F.decode(F.unhex(as_hex), "UTF-32"))
+# "&apos;" has a case of its own below, as its text would end the literal.
+_NAMED = sql.lit(_table((n, t) for n, t in html5.items() if n.endswith(";") and n != "apos;"))
+_BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+_BARE = sql.lit(_table((n, html5[n]) for n in _BARE_NAMES))
+# Code points below 0xA0 that a numeric reference does not stand for literally.
+_REMAPPED = sql.lit(_table((n, t) for n, t in ((n, _html.unescape(f"&#{n};")) for n in range(0xA0)) if t != chr(n)))
+
+
+def _numeric(ref: str) -> str:
+    point = (
+        f"cast(CASE WHEN lower({ref}) LIKE '&#x%' "
+        f"THEN conv(nullif(regexp_extract({ref}, r'^&#[xX]0*([0-9a-fA-F]{{1,6}});?$', 1), ''), 16, 10) "
+        f"ELSE nullif(regexp_extract({ref}, r'^&#0*([0-9]{{1,7}});?$', 1), '') END AS int)"
     )
+    literal = "decode(unhex(lpad(hex(p), 8, '0')), 'UTF-32')"
+    text = (
+        "CASE WHEN p IS NULL OR p > 1114111 OR p BETWEEN 55296 AND 57343 THEN '�' "
+        f"WHEN p < 160 THEN coalesce({_table_entry(_REMAPPED, 'cast(p AS string)')}, {literal}) "
+        "WHEN p BETWEEN 64976 AND 65007 OR (p & 65534) = 65534 THEN '' "
+        f"ELSE {literal} END"
+    )
+    return sql.let(point, "p", text)
 
 
-def _decode_ref(ref: Column, lenient: bool) -> Column:
+def _decode_ref(ref: str, lenient: bool) -> str:
     """One reference, ``&`` included, to the text it stands for."""
-    name = F.substring(ref, 2, 1 << 20)
-    full = F.try_element_at(_named_table([n for n in html5 if n.endswith(";")]), name)
-    decoded = (
-        F.when(ref == "&amp;", "&")
-        .when(ref == "&lt;", "<")
-        .when(ref == "&gt;", ">")
-        .when(ref == "&quot;", '"')
-        .when(ref == "&nbsp;", " ")
-        .when(F.startswith(ref, F.lit("&#")), _numeric(ref))
-    )
-    if not lenient:
-        return decoded.otherwise(F.coalesce(full, ref))
-    # Old names are understood without a semicolon too, also as a prefix of a longer word.
-    short = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
-    prefix = F.regexp_extract(name, "^(" + "|".join(short) + ")", 1)
-    bare = F.try_element_at(_named_table(short), prefix)
-    return decoded.otherwise(
-        F.coalesce(
-            full,
-            F.when(prefix != "", F.concat(bare, F.substr(name, F.length(prefix) + 1))),
-            ref,
-        )
+    named = _table_entry(_NAMED, f"substring({ref}, 2)")
+    rest = f"coalesce({named}, {ref})"
+    if lenient:
+        # Old names are understood without a semicolon too, also as a prefix of a longer word.
+        prefix = f"regexp_extract({ref}, r'^&({'|'.join(_BARE_NAMES)})', 1)"
+        bare = f"CASE WHEN n <> '' THEN concat({_table_entry(_BARE, 'n')}, substring({ref}, length(n) + 2)) END"
+        exact = f"CASE WHEN endswith({ref}, ';') THEN {named} END"
+        rest = f"coalesce({exact}, {sql.let(prefix, 'n', bare)}, {ref})"
+    return (
+        f"CASE {ref} WHEN '&amp;' THEN '&' WHEN '&lt;' THEN '<' WHEN '&gt;' THEN '>' "
+        f"WHEN '&quot;' THEN '\"' WHEN '&apos;' THEN '\\u0027' WHEN '&nbsp;' THEN '\\u00a0' "
+        f"ELSE CASE WHEN {ref} LIKE '&#%' THEN {_numeric(ref)} ELSE {rest} END END"
     )
 
 
-def decode_entities(col: Column | str, lenient: bool = True) -> Column:
+def decode_entities_sql(text: str, lenient: bool = True) -> str:
+    pattern = sql.lit(_LENIENT_REF if lenient else _STRICT_REF)
+    refs = f"transform(regexp_extract_all(e, {pattern}, 0), ref -> {_decode_ref('ref', lenient)})"
+    pieces = f"zip_with(split(e, {pattern}, -1), concat({refs}, array('')), (b, d) -> concat(b, d))"
+    return sql.let(text, "e", f"CASE WHEN contains(e, '&') THEN array_join({pieces}, '') ELSE e END")
+
+
+def decode_entities(text: str, lenient: bool = True) -> Column:
     """Replace HTML character references.
 
     ``lenient`` follows the rules for free text (old names need no semicolon); strict is
     what a parser does inside attribute values and text nodes.
     """
-    text = as_column(col)
-    pattern = F.lit(_LENIENT_REF if lenient else _STRICT_REF)
-    refs = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, _LENIENT_REF if lenient else _STRICT_REF, -1)
-    decoded = F.concat(F.transform(refs, lambda r: _decode_ref(r, lenient)), F.array(F.lit("")))
-    rebuilt = F.array_join(F.zip_with(between, decoded, lambda b, d: F.concat(b, d)), "")
-    return F.when(F.contains(text, F.lit("&")), rebuilt).otherwise(text)
+    return F.expr(decode_entities_sql(text, lenient))
 
 
 # --- numbers ----------------------------------------------------------------
@@ -139,25 +150,26 @@ def round_exact(col: Column | str, digits: int = 3) -> Column:
     although the stored value lies below the tie. Here the scaled product is kept as an
     unevaluated sum ``p + err`` (Dekker's product), which decides such cases exactly.
     """
-    x = as_column(col).cast("double")
     scale = float(10**digits)
-    split_at = F.lit(134217729.0)  # 2**27 + 1
-    p = x * F.lit(scale)
-
-    def halves(v: Column) -> tuple[Column, Column]:
-        big = v * split_at
-        hi = big - (big - v)
-        return hi, v - hi
-
-    xh, xl = halves(x)
-    sh, sl = halves(F.lit(scale))
-    err = xl * sl - (((p - xh * sh) - xl * sh) - xh * sl)
-    base = F.floor(p)
-    low = base.cast("double")
-    side = (p - (low + F.lit(0.5))) + err
-    up = F.when(side > 0, 1).when(side < 0, 0).otherwise(F.pmod(base, F.lit(2)))
-    rounded = (base + up).cast("double") / F.lit(scale)
-    return F.when(F.abs(p) < F.lit(2.0**52), rounded).otherwise(x)
+    split_at = 134217729.0  # 2**27 + 1
+    big_scale = scale * split_at
+    sh = big_scale - (big_scale - scale)
+    sl = scale - sh
+
+    def parts(x: Column) -> Column:
+        big = x * F.lit(split_at)
+        return F.struct(x.alias("x"), (x * F.lit(scale)).alias("p"), (big - (big - x)).alias("xh"))
+
+    def rounded(v: Column) -> Column:
+        x, p, xh = v["x"], v["p"], v["xh"]
+        xl = x - xh
+        err = xl * F.lit(sl) - (((p - xh * F.lit(sh)) - xl * F.lit(sh)) - xh * F.lit(sl))
+        base = F.floor(p)
+        side = (p - (base.cast("double") + F.lit(0.5))) + err
+        up = F.when(side > 0, 1).when(side < 0, 0).otherwise(F.pmod(base, F.lit(2)))
+        return F.when(F.abs(p) < F.lit(2.0**52), (base + up).cast("double") / F.lit(scale)).otherwise(x)
+
+    return let(parts(as_column(col).cast("double")), rounded)
 
 
 def float_text(col: Column | str) -> Column:

@@ -6,95 +6,99 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleanwell.config import CHANNEL_URL_PREFIX, SHORT_VIDEO_URL_PREFIX, VIDEO_URL_PREFIX
+from gleanwell.functions import sqltext as sql
 from gleanwell.functions.text import as_column
 
 # scheme, authority, path, query, fragment (RFC 3986, appendix B)
-_URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-_LEADING_JUNK = "".join(map(chr, range(0x21)))
+_URL = sql.lit(r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$")
+_LEADING_JUNK = sql.chars("".join(map(chr, range(0x21))))
 
 # Root-relative reference with no query, fragment, dot segment or empty segment.
-_SIMPLE_ROOT_REF = r"^(?:/[^/.?#\x00-\x20][^/?#\x00-\x20]*+)++/?$"
+_SIMPLE_ROOT_REF = sql.lit(r"^(?:/[^/.?#\x00-\x20][^/?#\x00-\x20]*+)++/?$")
 
 
-def _part(url: Column, n: int) -> Column:
-    return F.regexp_extract(url, _URL, n)
+def _parts(url: str) -> str:
+    names = ("scheme", "host", "path", "query", "fragment")
+    fields = ", ".join(f"'{n}', regexp_extract(u, {_URL}, {i})" for i, n in enumerate(names, start=1))
+    return sql.let(url, "u", f"named_struct('url', u, {fields})")
 
 
-def base_parts(url: Column | str) -> Column:
-    """Split a page address once, so that all its links can be resolved against the parts."""
-    u = as_column(url)
-    path = _part(u, 3)
-    folder = F.regexp_replace(path, "[^/]*$", "")
-    return F.struct(
-        u.alias("url"),
-        F.lower(_part(u, 1)).alias("scheme"),
-        _part(u, 2).alias("host"),
-        path.alias("path"),
-        F.when(folder == "", "/").otherwise(folder).alias("folder"),
-        _part(u, 4).alias("query"),
+def base_parts_sql(url: str) -> str:
+    folder = "coalesce(nullif(regexp_replace(r.path, '[^/]*$', ''), ''), '/')"
+    return sql.let(
+        _parts(url),
+        "r",
+        "named_struct('url', r.url, 'scheme', lower(r.scheme), 'host', r.host, 'path', r.path, "
+        f"'folder', {folder}, 'query', r.query)",
     )
 
 
-def _without_dot_segments(path: Column, keep_empty: Column) -> Column:
+def _without_dot_segments(path: str, keep_empty: str) -> str:
     """Collapse ``.`` and ``..``, and empty inner segments unless kept, of a path from the root."""
-    segments = F.split(path, "/", -1)
-    last = F.element_at(segments, -1)
-    middle = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 2, F.lit(0)))
-    inner = F.filter(middle, lambda s: keep_empty | (s != ""))
-    walked = F.aggregate(
-        F.concat(inner, F.array(last)),
-        F.array().cast("array<string>"),
-        lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-        .when(s == ".", done)
-        .otherwise(F.concat(done, F.array(s))),
+    inner = f"filter(slice(s, 2, greatest(size(s) - 2, 0)), x -> {keep_empty} OR x <> '')"
+    walked = (
+        f"aggregate(concat({inner}, array(element_at(s, -1))), {sql.NO_TEXTS}, (done, x) -> "
+        "CASE x WHEN '..' THEN slice(done, 1, greatest(size(done) - 1, 0)) WHEN '.' THEN done "
+        "ELSE concat(done, array(x)) END)"
     )
-    closed = F.when(last.isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
-    return F.concat(F.lit("/"), F.array_join(closed, "/"))
+    end = f"CASE WHEN element_at(s, -1) IN ('.', '..') THEN array('') ELSE {sql.NO_TEXTS} END"
+    return sql.let(f"split({path}, '/', -1)", "s", f"concat('/', array_join(concat({walked}, {end}), '/'))")
 
 
-def _tail(mark: str, part: Column) -> Column:
-    return F.when(part == "", "").otherwise(F.concat(F.lit(mark), part))
+def _tail(mark: str, part: str) -> str:
+    return f"CASE WHEN {part} = '' THEN '' ELSE concat('{mark}', {part}) END"
 
 
-def resolve(base: Column, ref: Column | str) -> Column:
+def resolve_sql(base: str, ref: str) -> str:
     """Absolute form of ``ref`` on a page whose :func:`base_parts` are ``base``.
 
     Plain root-relative links take a short path; everything else goes through the full
     rule: other schemes stay as they are, ``//host`` keeps the page's scheme, query-only and
     fragment-only references keep the path, dot segments are collapsed.
     """
-    raw = as_column(ref)
-    clean = F.ltrim(F.translate(raw, "\t\r\n", ""), F.lit(_LEADING_JUNK))
-    scheme, host = F.lower(_part(clean, 1)), _part(clean, 2)
-    path, query, fragment = _part(clean, 3), _part(clean, 4), _part(clean, 5)
-    origin = F.concat(base["scheme"], F.lit("://"), base["host"])
-
-    rooted = F.startswith(path, F.lit("/"))
-    full = F.when(rooted, path).otherwise(F.concat(base["folder"], path))
-    tidy = F.when(full.rlike(r"//|/\."), _without_dot_segments(full, rooted)).otherwise(full)
-    own_path = F.when(path == "", base["path"]).otherwise(tidy)
-    own_query = F.when((path == "") & (query == ""), base["query"]).otherwise(query)
-
+    clean = f"ltrim({_LEADING_JUNK}, translate({ref}, '\t\r\n', ''))"
+    rooted = "startswith(r.path, '/')"
+    tidy = sql.let(
+        f"CASE WHEN {rooted} THEN r.path ELSE concat({base}.folder, r.path) END",
+        "full",
+        rf"CASE WHEN full RLIKE r'//|/\.' THEN {_without_dot_segments('full', rooted)} ELSE full END",
+    )
+    path = f"CASE WHEN r.host <> '' THEN r.path WHEN r.path = '' THEN {base}.path ELSE {tidy} END"
+    query = f"CASE WHEN r.host = '' AND r.path = '' AND r.query = '' THEN {base}.query ELSE r.query END"
+    whole = (
+        f"concat({base}.scheme, '://', CASE WHEN r.host <> '' THEN r.host ELSE {base}.host END, {path}, "
+        + sql.let(query, "q", _tail("?", "q"))
+        + f", {_tail('#', 'r.fragment')})"
+    )
+    full_rule = sql.let(
+        _parts(clean),
+        "r",
+        f"CASE WHEN r.scheme <> '' AND lower(r.scheme) <> {base}.scheme THEN {ref} ELSE {whole} END",
+    )
     return (
-        F.when(raw == "", base["url"])
-        .when(raw.rlike(_SIMPLE_ROOT_REF), F.concat(origin, raw))
-        .when((scheme != "") & (scheme != base["scheme"]), raw)
-        .when(
-            host != "",
-            F.concat(base["scheme"], F.lit("://"), host, path, _tail("?", query), _tail("#", fragment)),
-        )
-        .otherwise(F.concat(origin, own_path, _tail("?", own_query), _tail("#", fragment)))
+        f"CASE WHEN {ref} RLIKE {_SIMPLE_ROOT_REF} THEN concat({base}.scheme, '://', {base}.host, {ref}) "
+        f"WHEN {ref} = '' THEN {base}.url ELSE {full_rule} END"
     )
 
 
-def resolve_url(base_url: Column | str, ref: Column | str) -> Column:
-    return resolve(base_parts(base_url), ref)
+def base_parts(url: str) -> Column:
+    """Split a page address once, so that all its links can be resolved against the parts."""
+    return F.expr(base_parts_sql(url))
+
+
+def resolve_url_sql(base_url: str, ref: str) -> str:
+    bound = sql.let(ref, "__ref", resolve_sql("__base", "__ref"))
+    return sql.let(base_parts_sql(base_url), "__base", bound)
+
+
+def resolve_url(base_url: str, ref: str) -> Column:
+    return F.expr(resolve_url_sql(base_url, ref))
 
 
 def source_domain(url: Column | str) -> Column:
     """Host part, without ``www.`` if it begins with it; NULL for an address without ``//``."""
     u = as_column(url)
-    host = F.substring_index(F.substr(u, F.locate("//", u) + 2), "/", 1)
+    host = F.substring_index(F.substr(u, F.instr(u, F.lit("//")) + 2), "/", 1)
     bare = F.when(F.startswith(host, F.lit("www.")), F.replace(host, F.lit("www."), F.lit(""))).otherwise(host)
     return F.when(F.contains(u, F.lit("//")), bare)
 
