@@ -26,7 +26,7 @@ def _raw_element(names: str, group: int) -> str:
 _REST = rf"(?:{_ATTRS}>|[^>]*+>)"
 _REST_OR_CUT = rf"(?:{_ATTRS}>|[^>]*+(?:>|\z))"
 
-_LINK_TAG = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|(?:a|source|audio)(?=[\s/>]){_REST})"
+_LINK_TAG = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|(?:a|source|audio|base)(?=[\s/>]){_REST})"
 _ANCHOR = (
     rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}"
     rf"|a(?=[\s/>]){_REST}"
@@ -38,7 +38,6 @@ _NOT_TEXT = (
     rf"|/body\s*>\s*(?:</html\s*>\s*)?\z|[/!?]?[a-z]{_REST_OR_CUT})"
 )
 _VOID = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr)(?=[\s/>])"
-_BASE_TAG = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|base(?=[\s/>]){_REST})"
 
 
 def _attribute_pattern(name: str) -> str:
@@ -65,8 +64,8 @@ def _only(tags: str, tag: str) -> str:
 
 
 def link_tags_sql(page: str) -> str:
-    """Start tags that may carry a link, in document order, outside scripts and comments."""
-    return _only(f"regexp_extract_all({page}, {sql.lit(_LINK_TAG)}, 0)", "(?:a|source|audio)")
+    """Tags that carry links or the base address, in document order, outside scripts and comments."""
+    return _only(f"regexp_extract_all({page}, {sql.lit(_LINK_TAG)}, 0)", "(?:a|source|audio|base)")
 
 
 def links_sql(tags: str) -> str:
@@ -88,17 +87,16 @@ def anchor_hrefs_sql(tags: str) -> str:
     return f"transform({_attributes(_only(tags, 'a'), 'href')}, v -> {_value('v')})"
 
 
-def base_href_sql(page: str) -> str:
-    """``href`` of the page's first ``<base>`` that has one, else NULL."""
-    tags = _only(f"regexp_extract_all({page}, {sql.lit(_BASE_TAG)}, 0)", "base")
-    values = f"transform({_attributes(tags, 'href')}, v -> {strip_sql(_value('v'))})"
-    return rf"CASE WHEN {page} RLIKE r'(?i)<base[\s/]' THEN get(filter({values}, h -> h <> ''), 0) END"
+def base_href_sql(tags: str) -> str:
+    """``href`` of the first ``<base>`` tag that has one, else NULL."""
+    values = f"transform({_attributes(_only(tags, 'base'), 'href')}, v -> {strip_sql(_value('v'))})"
+    return f"get(filter({values}, h -> h <> ''), 0)"
 
 
-def document_base_sql(url: str, page: str) -> str:
+def document_base_sql(url: str, tags: str) -> str:
     """Base parts that relative links refer to: the page's, or those of its ``<base href>``."""
     address = f"CASE WHEN __href IS NULL THEN {url} ELSE {resolve_url_sql(url, '__href')} END"
-    return base_parts_sql(sql.let(base_href_sql(page), "__href", address))
+    return base_parts_sql(sql.let(base_href_sql(tags), "__href", address))
 
 
 def _direct_texts(content: str) -> str:
@@ -136,7 +134,7 @@ def visible_texts_sql(page: str) -> str:
     """
     nodes = f"filter(split({page}, {sql.lit(_NOT_TEXT)}, -1), n -> n <> '')"
     decoded = decode_entities_sql(decode_entities_sql("n", lenient=False), lenient=True)
-    return f"transform({nodes}, n -> regexp_replace(replace({strip_sql(decoded)}, '\r\n', ''), ' +', ' '))"
+    return f"transform({nodes}, n -> regexp_replace(replace({strip_sql(decoded)}, '\r\n', ''), ' {{2,}}', ' '))"
 
 
 def link_tags(page: str) -> Column:
@@ -148,7 +146,7 @@ def links(page: str) -> Column:
 
 
 def base_href(page: str) -> Column:
-    return F.expr(base_href_sql(page))
+    return F.expr(base_href_sql(link_tags_sql(page)))
 
 
 def anchors(page: str) -> Column:

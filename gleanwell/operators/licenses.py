@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from gleanwell.config import CC_MARKER, CC_URL_PREFIXES, DOCUMENT_SUFFIXES, LICENSE_TERMS
 from gleanwell.functions import html as markup
-from gleanwell.functions.predicates import any_of, has_license_terms
-from gleanwell.functions.sqltext import lit
+from gleanwell.functions.predicates import any_of
+from gleanwell.functions.sqltext import NO_TEXTS, let, lit
 from gleanwell.functions.text import strip_sql
 from gleanwell.functions.urls import resolve_sql, source_domain
 from gleanwell.joins import semi_join
@@ -33,24 +33,23 @@ def page_license_urls(
     need no fallback, or that nowhere hold a term (in plain letters or as numeric character
     references), skip the anchor scan.
     """
-    hrefs = f"transform({markup.anchor_hrefs_sql(markup.link_tags_sql(html))}, h -> {strip_sql('h')})"
-    is_cc = _contains_any("u", cc_prefixes)
-    first = pages.select(
-        *keep,
-        F.col(url).alias("page_url"),
-        F.col(html).alias("_html"),
-        F.expr(markup.document_base_sql(url, html)).alias("_base"),
-        F.expr(_sorted_set(f"filter({hrefs}, u -> {is_cc})")).alias("_cc"),
-    )
-    may_have_terms = has_license_terms(F.lower("_html"), terms) | F.contains("_html", F.lit("&#"))
-    named = f"filter({markup.anchors_sql('_html')}, a -> exists(a.texts, x -> {_contains_any('lower(x)', terms)}))"
-    by_terms = F.expr(_sorted_set(f"transform({named}, a -> {resolve_sql('_base', 'a.href')})"))
-    found = (
-        F.when(F.size("_cc") > 0, F.col("_cc"))
-        .when(may_have_terms, by_terms)
-        .otherwise(F.array().cast("array<string>"))
+    tagged = pages.select(
+        *keep, F.col(url).alias("page_url"), F.col(html).alias("_html"), markup.link_tags(html).alias("_tags")
     )
-    return first.select(*keep, "page_url", found.alias("license_urls"))
+    based = tagged.select("*", F.expr(markup.document_base_sql("page_url", "_tags")).alias("_base"))
+    found = license_urls("_html", "_tags", "_base", cc_prefixes, terms)
+    return based.select(*keep, "page_url", found.alias("license_urls"))
+
+
+def license_urls(html: str, tags: str, base: str, cc_prefixes=CC_URL_PREFIXES, terms=LICENSE_TERMS) -> Column:
+    """Sorted licence links of a page, given its text, link tags and base parts as columns."""
+    hrefs = f"transform({markup.anchor_hrefs_sql(tags)}, h -> {strip_sql('h')})"
+    cc = _sorted_set(f"filter({hrefs}, h -> {_contains_any('h', cc_prefixes)})")
+    named = f"filter({markup.anchors_sql(html)}, a -> exists(a.texts, x -> {_contains_any('lower(x)', terms)}))"
+    by_terms = _sorted_set(f"transform({named}, a -> {resolve_sql(base, 'a.href')})")
+    may_have_terms = f"contains({html}, '&#') OR " + let(f"lower({html})", "low", _contains_any("low", terms))
+    fallback = f"CASE WHEN {may_have_terms} THEN {by_terms} ELSE {NO_TEXTS} END"
+    return F.expr(let(cc, "found", f"CASE WHEN size(found) > 0 THEN found ELSE {fallback} END"))
 
 
 def _contains_any(text: str, values) -> str:

@@ -23,16 +23,12 @@ def extract_links(
     copies kept. The page text is read once and dropped before the links fan out; links are
     resolved while still in the row, so later filters cannot repeat that work.
     """
-    tagged = pages.select(
-        *keep,
-        F.col(url).alias("page_url"),
-        F.expr(markup.document_base_sql(url, html)).alias("_base"),
-        markup.link_tags(html).alias("_tags"),
-    )
+    tagged = pages.select(*keep, F.col(url).alias("page_url"), markup.link_tags(html).alias("_tags"))
+    based = tagged.select(*keep, "page_url", "_tags", F.expr(markup.document_base_sql("page_url", "_tags")).alias("_base"))
     # The array is given to posexplode as an expression: a named one would get an inferred
     # "not empty" filter that computes it a second time.
     found = F.expr(f"posexplode({markup.resolved_links_sql(markup.links_sql('_tags'), '_base')})")
-    rows = tagged.select(*keep, "page_url", found.alias("pos", "_link"))
+    rows = based.select(*keep, "page_url", found.alias("pos", "_link"))
     return rows.select(*keep, "page_url", "_link.tag", "pos", "_link.href", "_link.url")
 
 
@@ -62,7 +58,7 @@ def page_visible_text(
     return pages.select(*keep, F.col(url).alias("page_url"), markup.visible_texts(html).alias("texts"))
 
 
-def routing_reason(url: str, depth: Column, cfg: CrawlConfig, **wiki) -> Column:
+def routing_reason(url: Column | str, depth: Column, cfg: CrawlConfig, **wiki) -> Column:
     """Why a link is taken or left; the first rule that applies decides."""
 
     def decide(text: Column) -> Column:

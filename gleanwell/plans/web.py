@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwell.config import CrawlConfig
+from gleanwell.functions import html as markup
 from gleanwell.functions.urls import source_domain
 from gleanwell.operators.archive import media_not_archived
 from gleanwell.operators.crawl import crawl_reach
-from gleanwell.operators.licenses import page_license_urls
-from gleanwell.operators.links import build_media_items, extract_links, route_links
+from gleanwell.operators.licenses import license_urls
+from gleanwell.operators.links import build_media_items, extract_links, route_links, routing_reason
 
 
 def page_links(pages: DataFrame, cfg: CrawlConfig, depth: str | int = 1, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
@@ -27,18 +28,36 @@ def link_actions_by_domain(pages: DataFrame, cfg: CrawlConfig, depth: str | int
     return per_page.groupBy(source_domain("page_url").alias("source"), "action").agg(F.sum("_n").alias("links"))
 
 
-def page_media(pages: DataFrame, cfg: CrawlConfig, depth: str | int = 1) -> DataFrame:
-    """Media items of pages with their page's licence links. No shuffle: licences stay in the row."""
-    kept = ("page_id", "html") + ((depth,) if isinstance(depth, str) else ())
-    licensed = page_license_urls(pages, keep=kept)
-    carried = tuple(c for c in kept if c != "html") + ("license_urls",)
-    links = extract_links(licensed, keep=carried, url="page_url")
-    return build_media_items(route_links(links, cfg, depth), cfg.language, ("page_id", "pos"), "license_urls")
+def page_media(pages: DataFrame, cfg: CrawlConfig) -> DataFrame:
+    """Media items of pages with their page's licence links.
+
+    Nothing is shuffled: links are routed and licences found inside the page's row, and only
+    pages that offer media are searched for licences. Whether a link is media does not depend
+    on the page's depth.
+    """
+    tagged = pages.select("page_id", F.col("url").alias("page_url"), "html", markup.link_tags("html").alias("_tags"))
+    based = tagged.select("*", F.expr(markup.document_base_sql("page_url", "_tags")).alias("_base"))
+    linked = based.select("*", F.expr(markup.resolved_links_sql(markup.links_sql("_tags"), "_base")).alias("_links"))
+    numbered = F.transform("_links", lambda l, i: F.struct(i.alias("pos"), l["url"].alias("url")))
+    media = F.filter(numbered, lambda l: routing_reason(l["url"], F.lit(1), cfg) == "media")
+    offering = linked.select("page_id", "page_url", "html", "_tags", "_base", media.alias("_media"))
+    licensed = offering.select(
+        "page_id",
+        "page_url",
+        "_media",
+        F.when(F.size("_media") > 0, license_urls("html", "_tags", "_base")).alias("license_urls"),
+    )
+    # An outer explode gets no inferred filter, which would compute the media a second time.
+    rows = licensed.select("page_id", "page_url", "license_urls", F.explode_outer("_media").alias("_m"))
+    found = rows.where(F.col("_m").isNotNull()).select(
+        "page_id", "page_url", "license_urls", "_m.pos", "_m.url", F.lit("media").alias("action")
+    )
+    return build_media_items(found, cfg.language, ("page_id", "pos"), "license_urls")
 
 
-def new_media(pages: DataFrame, archive: DataFrame, cfg: CrawlConfig, depth: str | int = 1) -> DataFrame:
+def new_media(pages: DataFrame, archive: DataFrame, cfg: CrawlConfig) -> DataFrame:
     """Media items still to be fetched: those whose address is not archived for their source."""
-    items = page_media(pages, cfg, depth).withColumn("url", F.get("file_urls", F.lit(0)))
+    items = page_media(pages, cfg).withColumn("url", F.get("file_urls", F.lit(0)))
     return media_not_archived(items, archive)
 
 
