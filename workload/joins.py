@@ -1 +1,335 @@
+"""Anti-joins against archives, lookups, metadata, requests and traversal."""
 
+from pyspark.sql import functions as F
+
+from gleanwell.config import METADATA_COLUMNS, CrawlConfig, MetadataConfig
+from gleanwell.functions.urls import channel_file_key, channel_url
+from gleanwell.operators import archive as ops
+from gleanwell.operators import metadata as meta
+from gleanwell.operators.channels import curated_video_ids, zip_positional
+from gleanwell.operators.crawl import crawl_reach, search_request_grid
+from gleanwell.plans.channel import channel_metadata, channel_work
+from gleanwell.plans.playlist import playlist_files, playlist_work
+from gleanwell.config import ChannelPipelineConfig
+from workload.filters import CODES, license_codes
+from workload.registry import (
+    ARCHIVE,
+    CRAWL,
+    CURATED,
+    FILES,
+    LINKS,
+    LOG,
+    SCRAPED,
+    VIDEOS,
+    archive,
+    curated,
+    download_log,
+    media_files,
+    page_link_rows,
+    query,
+    scraped_files,
+    table,
+    videos,
+)
+
+
+@query(
+    "next_batch",
+    f"""WITH {VIDEOS}, {ARCHIVE}, pending AS (
+      SELECT v.*, row_number() OVER (PARTITION BY channel_name ORDER BY pos) AS n FROM videos v
+      WHERE NOT EXISTS (SELECT 1 FROM archive a WHERE a.source = v.channel_name AND a.key = v.video_id))
+    SELECT channel_id, channel_name, pos, video_id FROM pending WHERE n <= 5""",
+)
+def next_batch(spark, folder):
+    rows = ops.next_batch(videos(spark, folder), archive(spark, folder), 5)
+    return rows.select("channel_id", "channel_name", "pos", "video_id")
+
+
+@query(
+    "media_not_archived",
+    f"""WITH {FILES}, done AS (SELECT event_type AS source, event_type || event_id || '.mp3' AS name FROM events WHERE value > 50)
+    SELECT raw_file_name, source, url FROM infos i
+    WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.source = i.source AND 'https://media.example/' || d.name = i.url)""",
+)
+def media_not_archived(spark, folder):
+    done = table(spark, folder, "events").where("value > 50")
+    address = F.concat(F.lit("https://media.example/"), "event_type", "event_id", F.lit(".mp3"))
+    keys = done.select(F.col("event_type").alias("source"), address.alias("key"))
+    rows = media_files(spark, folder).select("raw_file_name", "source", "url")
+    return ops.media_not_archived(rows, keys).select("raw_file_name", "source", "url")
+
+
+@query(
+    "playlist_remaining",
+    f"""WITH {VIDEOS}, {ARCHIVE} SELECT channel_name AS playlist, pos, video_id FROM videos v
+    WHERE NOT EXISTS (SELECT 1 FROM archive a WHERE a.source = v.channel_name AND a.key = v.video_id)""",
+)
+def playlist_remaining(spark, folder):
+    lists = videos(spark, folder).select(F.col("channel_name").alias("playlist"), "pos", "video_id")
+    done = archive(spark, folder).withColumn("key", F.concat("key", F.lit(" \n")))
+    return ops.playlist_remaining(lists, done).select("playlist", "pos", "video_id")
+
+
+@query("search_not_archived", "SELECT page_id, url FROM pages WHERE NOT contains(url, '?page')")
+def search_not_archived(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    done = pages.where(F.contains("url", F.lit("?page"))).select(F.lower("url").alias("key"))
+    shouted = pages.withColumn("url", F.concat(F.lit(" "), F.upper("url")))
+    left = ops.search_not_archived(shouted, done).select("page_id")
+    return pages.join(left, "page_id")
+
+
+@query(
+    "drop_rejected_videos",
+    f"WITH {VIDEOS} SELECT * FROM videos WHERE video_id NOT IN (SELECT 'v' || doc_id FROM labels WHERE toxic = 1)",
+)
+def drop_rejected_videos(spark, folder):
+    bad = table(spark, folder, "labels").where("toxic = 1").select(F.concat(F.lit("v"), "doc_id").alias("video_id"))
+    return ops.drop_rejected_videos(videos(spark, folder), bad).select("channel_id", "channel_name", "pos", "video_id")
+
+
+@query(
+    "channels_to_list",
+    """SELECT 'https://www.youtube.com/channel/UC' || c_custkey AS channel_url, c_mktsegment || ' ' || c_name AS channel_name,
+    'UC' || c_custkey || '__' || c_mktsegment || '_' || c_name AS file_key,
+    c_custkey IN (SELECT o_custkey FROM orders) AS listed FROM customer""",
+)
+def channels_to_list(spark, folder):
+    customer = table(spark, folder, "customer")
+    uc = F.concat(F.lit("UC"), "c_custkey")
+    channels = customer.select(
+        channel_url(uc).alias("channel_url"), F.concat_ws(" ", "c_mktsegment", "c_name").alias("channel_name")
+    )
+    ordered = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    listings = customer.join(ordered, "c_custkey").select(
+        channel_file_key(uc, F.concat_ws("_", "c_mktsegment", "c_name")).alias("file_key")
+    )
+    return ops.channels_to_list(channels, listings)
+
+
+@query(
+    "enrich_from_curated",
+    f"""WITH {VIDEOS}, {CURATED}, named AS (
+      SELECT replace(video_url, 'https://www.youtube.com/watch?v=', '') AS video_id, speaker_name, speaker_gender, license
+      FROM curated WHERE video_url IS NOT NULL)
+    SELECT v.video_id, CASE WHEN n.video_id IS NULL THEN '' ELSE lower(speaker_name) END AS name,
+    CASE WHEN n.video_id IS NULL THEN '' ELSE lower(speaker_gender) END AS gender,
+    CASE WHEN n.video_id IS NULL THEN '' ELSE license END AS curated_license
+    FROM videos v LEFT JOIN named n USING (video_id)""",
+)
+def enrich_from_curated(spark, folder):
+    listed = curated_video_ids(curated(spark, folder))
+    again = listed.withColumn("pos", F.col("pos") + 1_000_000_000).withColumn("speaker_name", F.lit("Later Row"))
+    rows = meta.enrich_from_curated(videos(spark, folder).select("video_id"), listed.unionByName(again))
+    return rows
+
+
+@query(
+    "resolve_video_license",
+    f"""WITH {VIDEOS}, {CURATED}, {CODES}, named AS (
+      SELECT replace(video_url, 'https://www.youtube.com/watch?v=', '') AS video_id, license AS curated
+      FROM curated WHERE video_url IS NOT NULL)
+    SELECT v.video_id, CASE WHEN n.video_id IS NOT NULL THEN n.curated
+      WHEN c.license = 'creativeCommon' THEN 'Creative Commons' ELSE 'Standard Youtube' END AS license
+    FROM videos v LEFT JOIN named n USING (video_id) LEFT JOIN codes c USING (video_id)""",
+)
+def resolve_video_license(spark, folder):
+    known = meta.enrich_from_curated(
+        videos(spark, folder).select("video_id"), curated_video_ids(curated(spark, folder))
+    )
+    rows = meta.resolve_video_license(known, license_codes(spark, folder), mode="file")
+    return rows.select("video_id", "license")
+
+
+DEFAULTS = MetadataConfig(
+    language="Bodo", source="DEMO", speaker_gender="Female", num_of_speakers="1", experiment_use=False
+)
+
+
+def metadata_rows(spark, folder):
+    return meta.metadata_defaults(meta.media_info(media_files(spark, folder)), DEFAULTS)
+
+
+def _metadata_sql(values: dict[str, str], columns=METADATA_COLUMNS) -> str:
+    return ", ".join(f"{values.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in columns)
+
+
+METADATA_VALUES = {
+    "raw_file_name": "raw_file_name",
+    "title": "raw_file_name",
+    "duration": "CAST(duration AS VARCHAR)",
+    "language": "'French'",
+    "has_other_audio_signature": "'False'",
+    "type": "'audio'",
+    "source": "source",
+    "experiment_use": "'False'",
+    "num_of_speakers": "'1'",
+    "source_url": "url",
+    "speaker_gender": "'female'",
+    "source_website": "page_url",
+    "license": "license",
+}
+METADATA_SQL = _metadata_sql(METADATA_VALUES)
+
+
+@query("metadata_defaults", f"WITH {FILES} SELECT {METADATA_SQL} FROM infos")
+def metadata_defaults(spark, folder):
+    return metadata_rows(spark, folder)
+
+
+_VARIANT = {
+    "raw_file_name": "CAST(CAST(seconds AS BIGINT) AS VARCHAR) || 'file-id' || v || '.mp4'",
+    "title": "CAST(CAST(seconds AS BIGINT) AS VARCHAR) || 'file-id' || v || '.mp4'",
+    "duration": "CAST(CAST(seconds AS BIGINT) / 60 AS VARCHAR)",
+    "language": "'french'",
+    "has_other_audio_signature": "'False'",
+    "type": "'audio'",
+    "source": "source",
+    "experiment_use": "'False'",
+    "source_url": "'https://www.youtube.com/watch?v=' || v",
+    "source_website": "'https://www.youtube.com'",
+    "license": "license",
+}
+
+
+@query(
+    "playlist_metadata",
+    f"""WITH files AS (SELECT 'e' || event_id AS v, trunc(value) AS seconds, event_type AS source,
+      CASE WHEN event_type = 'view' THEN 'Creative Commons' ELSE 'Standard Youtube' END AS license FROM events)
+    SELECT {_metadata_sql(_VARIANT)} FROM files""",
+)
+def playlist_metadata(spark, folder):
+    events = table(spark, folder, "events")
+    files = events.select(
+        F.concat(F.lit("e"), "event_id").alias("video_id"),
+        F.col("value").alias("seconds"),
+        F.col("event_type").alias("playlist"),
+        F.when(F.col("event_type") == "view", "creativeCommon").alias("license_code"),
+    )
+    return playlist_files(files, "French")
+
+
+@query(
+    "zip_positional",
+    f"WITH {SCRAPED} SELECT * FROM scraped",
+)
+def zip_positional_query(spark, folder):
+    return zip_positional(scraped_files(spark, folder))
+
+
+SEARCH = CrawlConfig(language="Tamil", pages=7, continue_page="YES", last_visited=100)
+
+
+@query(
+    "search_request_grid",
+    """WITH keywords AS (SELECT DISTINCT p_name AS keyword FROM part),
+    grid AS (SELECT keyword, unnest(range(1, 8)) AS page_no FROM keywords)
+    SELECT keyword, CAST(page_no AS INTEGER) AS page_no, 'https://www.bing.com/search?q=Tamil+' || replace(keyword, ' ', '+')
+    || '&first=' || CASE WHEN page_no = 1 THEN 100 ELSE (page_no - 1) * 10 END AS url FROM grid""",
+)
+def search_request_grid_query(spark, folder):
+    keywords = table(spark, folder, "part").select(F.col("p_name").alias("keyword")).distinct()
+    return search_request_grid(keywords, SEARCH)
+
+
+def page_tree(spark, folder):
+    """Links from each page to the pages numbered 2i+1 and 2i+2, and back to its parent."""
+    pages = table(spark, folder, "pages").select("page_id", F.col("url").alias("src_url"))
+    targets = pages.withColumn(
+        "dst_id",
+        F.explode(
+            F.array(F.col("page_id") * 2 + 1, F.col("page_id") * 2 + 2, F.floor((F.col("page_id") - 1) / 2))
+        ),
+    )
+    named = pages.select(F.col("page_id").alias("dst_id"), F.col("src_url").alias("dst_url"))
+    return targets.join(named, "dst_id").select("src_url", "dst_url")
+
+
+@query(
+    "crawl_reach",
+    """WITH RECURSIVE edges AS (
+      SELECT s.url AS src, d.url AS dst FROM pages s JOIN pages d
+      ON d.page_id IN (s.page_id * 2 + 1, s.page_id * 2 + 2, CAST(floor((s.page_id - 1) / 2) AS BIGINT))),
+    walk(url, depth) AS (
+      SELECT url, 1 FROM pages WHERE contains(url, 'spam')
+      UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.url WHERE w.depth < 4)
+    SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url""",
+)
+def crawl_reach_query(spark, folder):
+    seeds = table(spark, folder, "pages").where(F.contains("url", F.lit("spam"))).select("url")
+    return crawl_reach(seeds, page_tree(spark, folder), max_depth=4)
+
+
+@query(
+    "not_crawled",
+    f"""WITH {LINKS}, requests AS (SELECT url FROM links UNION SELECT url FROM pages WHERE NOT contains(url, '#'))
+    SELECT r.url FROM requests r WHERE r.url NOT IN (SELECT url FROM pages)""",
+)
+def not_crawled(spark, folder):
+    pages = table(spark, folder, "pages").select("url")
+    requests = page_link_rows(spark, folder).select("url").unionByName(pages.where(~F.contains("url", F.lit("#"))))
+    return ops.not_crawled(requests, pages)
+
+
+OUTCOME = f"""{LOG}, tries AS (
+  SELECT *, coalesce(length(stderr), 0) > 5 OR contains(coalesce(stderr, ''), 'HTTP Error 404: Not Found') AS failed,
+         contains(coalesce(stderr, ''), 'HTTP Error 429') AS abort FROM log),
+outcome AS (
+  SELECT video_id, count(*) AS attempts, arg_max(failed, attempt) AS rejected, bool_or(abort) AS abort
+  FROM tries GROUP BY video_id)"""
+
+
+@query(
+    "channel_work",
+    f"""WITH {VIDEOS}, {ARCHIVE}, {OUTCOME}, pending AS (
+      SELECT v.*, row_number() OVER (PARTITION BY channel_name ORDER BY pos) AS n FROM videos v
+      WHERE NOT EXISTS (SELECT 1 FROM archive a WHERE a.source = v.channel_name AND a.key = v.video_id)
+        AND video_id NOT IN (SELECT video_id FROM outcome WHERE rejected))
+    SELECT channel_name, video_id, (n - 1) // 5 + 1 AS batch FROM pending""",
+)
+def channel_work_query(spark, folder):
+    cfg = ChannelPipelineConfig(batch_num=5)
+    rows = channel_work(videos(spark, folder), archive(spark, folder), download_log(spark, folder), cfg)
+    return rows.select("channel_name", "video_id", "batch")
+
+
+_CHANNEL_META = {
+    **METADATA_VALUES,
+    "duration": "CAST(CAST(seconds AS BIGINT) / 60 AS VARCHAR)",
+    "language": "'Bodo'",
+    "source": "source",
+    "source_url": "'https://www.youtube.com/watch?v=' || v",
+    "source_website": "'https://www.youtube.com/channel/UC' || source",
+    "license": "license",
+}
+
+
+@query(
+    "channel_metadata",
+    f"""WITH {CODES}, files AS (
+      SELECT 'v' || event_id AS v, trunc(value) AS seconds, event_type AS source,
+             CAST(CAST(trunc(value) AS BIGINT) AS VARCHAR) || 'file-idv' || event_id || '.mp4' AS raw_file_name,
+             CASE WHEN c.license = 'creativeCommon' THEN 'Creative Commons' ELSE 'Standard Youtube' END AS license
+      FROM events e LEFT JOIN codes c ON c.video_id = 'v' || e.event_id)
+    SELECT {_metadata_sql(_CHANNEL_META)} FROM files""",
+)
+def channel_metadata_query(spark, folder):
+    events = table(spark, folder, "events")
+    files = events.select(
+        F.concat(F.col("value").cast("bigint"), F.lit("file-idv"), "event_id", F.lit(".mp4")).alias("raw_file_name"),
+        F.col("event_type").alias("channel_name"),
+        F.concat(F.lit("UC"), "event_type").alias("channel_id"),
+    )
+    cfg = ChannelPipelineConfig(mode="channel", only_creative_commons=False)
+    return channel_metadata(files, license_codes(spark, folder), cfg, DEFAULTS)
+
+
+@query(
+    "playlist_work",
+    f"""WITH {VIDEOS}, {ARCHIVE} SELECT channel_name AS playlist, video_id,
+    'https://www.youtube.com/watch?v=' || video_id AS video_url FROM videos v
+    WHERE NOT EXISTS (SELECT 1 FROM archive a WHERE a.source = v.channel_name AND a.key = v.video_id)""",
+)
+def playlist_work_query(spark, folder):
+    lists = videos(spark, folder).select(F.col("channel_name").alias("playlist"), "pos", "video_id")
+    return playlist_work(lists, archive(spark, folder)).select("playlist", "video_id", "video_url")
