@@ -110,7 +110,7 @@ def read_curated_videos(
 
 def read_scraped_files(spark: SparkSession, path: str) -> DataFrame:
     """Scraped page files (three short lines each), one row per file."""
-    whole = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path)
+    whole = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     return whole.select(F.col("_metadata.file_path").alias("file"), "value")
 
 

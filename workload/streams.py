@@ -1 +1,44 @@
+"""Structured Streaming jobs over the captured tables, run until their input is used up."""
 
+from pyspark.sql import functions as F
+
+from gleanwell.sources.tables import PAGES
+from gleanwell.storage import scratch_path
+from gleanwell.streaming import arrivals
+from workload.registry import CRAWL, ROUTED, domain_sql, query, title_sql
+
+EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+
+
+@query(
+    "stream_media",
+    f"""WITH {ROUTED}, media AS (SELECT {domain_sql('page_url')} AS source, url, page_id, page_url FROM routed WHERE reason = 'media')
+    SELECT source, url, {title_sql('url')} AS title, arg_min(page_url, page_id) AS page_url FROM media GROUP BY source, url""",
+)
+def stream_media(spark, folder):
+    out, checkpoint = scratch_path(spark, "stream_media"), scratch_path(spark, "stream_state")
+    pages = arrivals.stream_table(spark, folder, PAGES, "pages.parquet")
+    arrivals.stream_media(pages, out, checkpoint, CRAWL).awaitTermination()
+    return arrivals.read_stream_media(spark, out).select("source", "url", "title", "page_url")
+
+
+@query(
+    "stream_hours",
+    """SELECT event_type AS source, CAST(sum(CAST(value AS DECIMAL(20, 3))) AS DOUBLE) / 3600 AS hours
+    FROM events GROUP BY 1""",
+)
+def stream_hours(spark, folder):
+    out, checkpoint = scratch_path(spark, "stream_hours"), scratch_path(spark, "stream_state")
+    events = arrivals.stream_table(spark, folder, EVENTS, "events.parquet")
+    media = events.select(F.col("event_type").alias("source"), F.col("value").alias("duration"))
+    arrivals.stream_hours(media, out, checkpoint).awaitTermination()
+    return arrivals.latest_hours(spark, out)
+
+
+@query("stream_dedupe", "SELECT DISTINCT 'https://www.site.example/' || user_id AS url FROM events")
+def stream_dedupe(spark, folder):
+    out, checkpoint = scratch_path(spark, "stream_urls"), scratch_path(spark, "stream_state")
+    events = arrivals.stream_table(spark, folder, EVENTS, "events.parquet")
+    urls = events.select(F.concat(F.lit("https://www.site.example/"), "user_id").alias("url"))
+    arrivals.stream_dedupe(urls, out, checkpoint).awaitTermination()
+    return spark.read.schema("url string").parquet(out)
