@@ -41,16 +41,21 @@ def read_lines(spark: SparkSession, path: str, group: str | None = None, **optio
 
 
 def _positioned(lines: DataFrame, group: str | None) -> DataFrame:
-    address = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_extract("_metadata.file_path", "([^/]*)/[^/]*$", 1)
     return lines.select(
         *([group] if group else []),
-        F.col("_metadata.file_name").alias("file"),
-        F.regexp_extract(address, "([^/]*)/[^/]*$", 1).alias("folder"),
+        _decoded(F.col("_metadata.file_name")).alias("file"),
+        _decoded(folder).alias("folder"),
         line_position().alias("pos"),
         "value",
     )
 
 
+def _decoded(name: Column) -> Column:
+    """A file or folder name without its percent escapes; a plus sign in it is itself."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def read_seed_urls(spark: SparkSession, path: str) -> DataFrame:
     """One URL per line."""
     return spark.read.text(path).select(F.col("value").alias("url"))
@@ -121,4 +126,6 @@ def read_scraped_triplets(spark: SparkSession, path: str, **options) -> DataFram
 def read_media_listing(spark: SparkSession, path: str, pattern: str = "*.mp4") -> DataFrame:
     """Path and size of media files; their content is not read."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    return reader.load(path).select("path", F.substring_index("path", "/", -1).alias("raw_file_name"), "length")
+    return reader.load(path).select(
+        "path", F.substring_index("path", "/", -1).alias("raw_file_name"), "length"
+    )
