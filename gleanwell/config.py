@@ -6,7 +6,7 @@ The field names are those of the crawl's JSON settings files, so
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Defaults and markers that decide the results.
@@ -298,7 +298,3 @@ class StorageConfig:
     scraped_data_blob_path: str = "data_to_be_scraped"
     archive_file_name: str = "archive.txt"
     token_file_name: str = "token.txt"
-
-
-def config_fields(cls) -> list[str]:
-    return [f.name for f in fields(cls)]

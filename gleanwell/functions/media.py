@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,7 +52,3 @@ def is_cc_license(license_text: Column | str, marker: str = CC_LABEL) -> Column:
 def selected(results: Column | str) -> Column:
     """Download results flagged ok."""
     return F.filter(as_column(results), lambda r: r["ok"])
-
-
-def joined(values: Iterable[str], separator: str) -> str:
-    return separator.join(values)

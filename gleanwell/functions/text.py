@@ -14,7 +14,7 @@ from gleanwell.functions import sqltext as sql
 
 # Characters that count as whitespace when text is stripped or split.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
+_NOT_WS = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
 
 
 def as_column(col: Column | str) -> Column:
@@ -50,9 +50,10 @@ def has_script(col: Column | str, lo: str, hi: str, name: str, whole_word: bool
     otherwise a single letter of it is enough.
     """
     text = as_column(col)
-    letters = f"[{lo}-{hi}]"
-    pattern = f"(?:^|{_WS_CLASS}){letters}++(?:{_WS_CLASS}|\\z)" if whole_word else letters
-    return text.rlike(pattern) | F.contains(F.lower(text), F.lit(name))
+    letter = f"[{lo}-{hi}]"
+    # A letter is looked for first; most texts have none and are done.
+    word = f"{letter}(?<!{_NOT_WS}{letter}){letter}*+(?!{_NOT_WS})"
+    return text.rlike(word if whole_word else letter) | F.contains(F.lower(text), F.lit(name))
 
 
 def has_kannada(col: Column | str) -> Column:
@@ -148,28 +149,23 @@ def round_exact(col: Column | str, digits: int = 3) -> Column:
 
     ``F.round`` works on the decimal text of the double, so 60.03/60 becomes 1.001 there
     although the stored value lies below the tie. Here the scaled product is kept as an
-    unevaluated sum ``p + err`` (Dekker's product), which decides such cases exactly.
+    unevaluated sum ``p + err`` (Dekker's product), which decides such cases exactly. The
+    value is named several times: give a column, not a long expression.
     """
+    x = as_column(col).cast("double")
     scale = float(10**digits)
     split_at = 134217729.0  # 2**27 + 1
-    big_scale = scale * split_at
-    sh = big_scale - (big_scale - scale)
+    sh = scale * split_at - (scale * split_at - scale)
     sl = scale - sh
-
-    def parts(x: Column) -> Column:
-        big = x * F.lit(split_at)
-        return F.struct(x.alias("x"), (x * F.lit(scale)).alias("p"), (big - (big - x)).alias("xh"))
-
-    def rounded(v: Column) -> Column:
-        x, p, xh = v["x"], v["p"], v["xh"]
-        xl = x - xh
-        err = xl * F.lit(sl) - (((p - xh * F.lit(sh)) - xl * F.lit(sh)) - xh * F.lit(sl))
-        base = F.floor(p)
-        side = (p - (base.cast("double") + F.lit(0.5))) + err
-        up = F.when(side > 0, 1).when(side < 0, 0).otherwise(F.pmod(base, F.lit(2)))
-        return F.when(F.abs(p) < F.lit(2.0**52), (base + up).cast("double") / F.lit(scale)).otherwise(x)
-
-    return let(parts(as_column(col).cast("double")), rounded)
+    p = x * F.lit(scale)
+    big = x * F.lit(split_at)
+    xh = big - (big - x)
+    xl = x - xh
+    err = xl * F.lit(sl) - (((p - xh * F.lit(sh)) - xl * F.lit(sh)) - xh * F.lit(sl))
+    base = F.floor(p)
+    side = (p - (base.cast("double") + F.lit(0.5))) + err
+    up = F.when(side > 0, 1).when(side < 0, 0).otherwise(F.pmod(base, F.lit(2)))
+    return F.when(F.abs(p) < F.lit(2.0**52), (base + up).cast("double") / F.lit(scale)).otherwise(x)
 
 
 def float_text(col: Column | str) -> Column:

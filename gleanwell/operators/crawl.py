@@ -28,6 +28,9 @@ def crawl_reach(seeds: DataFrame, links: DataFrame, max_depth: int) -> DataFrame
     """
     spark = seeds.sparkSession
     edges = links.select("src_url", "dst_url")
+    if max_depth > 2:
+        # Followed more than once: written out, so that pages are not searched for links again.
+        edges = write_scratch(edges, "crawl_edges")
     levels = [write_scratch(seeds.select("url").distinct(), "crawl_level")]
     while len(levels) < max_depth:
         frontier = key_set(levels[-1].select(F.col("url").alias("src_url")), ["src_url"])

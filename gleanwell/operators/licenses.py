@@ -68,8 +68,9 @@ def license_route(url: Column | str, marker: str = CC_MARKER, document_suffixes=
 
 def route_license_urls(page_licenses: DataFrame, keep: tuple[str, ...] = ("page_id",), **rule) -> DataFrame:
     """One row per page and licence link with its ``route`` and the page's domain."""
-    rows = page_licenses.select(*keep, "page_url", F.explode("license_urls").alias("license_url"))
-    return rows.select(
+    # An outer explode gets no inferred filter, which would look for the licences a second time.
+    rows = page_licenses.select(*keep, "page_url", F.explode_outer("license_urls").alias("license_url"))
+    return rows.where(F.col("license_url").isNotNull()).select(
         *keep,
         "page_url",
         source_domain("page_url").alias("source"),

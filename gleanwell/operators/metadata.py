@@ -19,17 +19,18 @@ from gleanwell.functions.urls import channel_url, file_format, video_url
 from gleanwell.joins import first_per_key, lookup
 
 
-def media_info(media: DataFrame) -> DataFrame:
-    """Metadata inputs of web media files.
+def media_info(media: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Metadata inputs of web media files, after any columns to ``keep``.
 
     Needs raw_file_name, seconds, url (of the file), source, source_url (the page),
     license_urls and language.
     """
-    seconds = duration_seconds("raw_file_name", "seconds")
     nothing = F.lit(None).cast("string")
-    return media.select(
+    timed = media.withColumn("duration_seconds", duration_seconds("raw_file_name", "seconds"))
+    return timed.select(
+        *keep,
         "raw_file_name",
-        duration_minutes(seconds).alias("duration"),
+        duration_minutes("duration_seconds").alias("duration"),
         nothing.alias("name"),
         nothing.alias("gender"),
         F.col("url").alias("source_url"),
@@ -37,7 +38,7 @@ def media_info(media: DataFrame) -> DataFrame:
         "source",
         "language",
         F.col("source_url").alias("source_website"),
-        seconds.alias("duration_seconds"),
+        "duration_seconds",
     )
 
 

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 1 << 18
+CHUNK_ROWS = 1 << 20
+CHUNKS_PER_SPAN = 1 << 12
 
 
 def chunk_of(position: Column | str, rows: int = CHUNK_ROWS) -> Column:
@@ -28,20 +29,29 @@ def running(
     order: list[str],
     values: dict[str, Column],
     chunk: Column,
+    levels: int = 2,
 ) -> DataFrame:
     """Add, for each name in ``values``, the sum over the group's rows *before* the current one.
 
-    ``chunk`` must not decrease along ``order`` within a group, and no chunk may hold more
-    rows than a task can sort.
+    ``chunk`` must be an integer that does not decrease along ``order`` within a group, and no
+    chunk may hold more rows than a task can sort. The prefix over chunk totals is taken the
+    same way, over spans of chunks; only the few span totals of a group meet in one window.
     """
-    rows = df.withColumn("_chunk", chunk)
     names = list(values)
+    rows = df.withColumn("_chunk", chunk)
     totals = rows.groupBy(*keys, "_chunk").agg(*[F.sum(values[n]).alias(f"_t_{n}") for n in names])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    if levels > 1:
+        placed = totals.withColumnRenamed("_chunk", "_at")
+        sums = {f"_o_{n}": F.col(f"_t_{n}") for n in names}
+        span = chunk_of("_at", CHUNKS_PER_SPAN)
+        prefixed = running(placed, keys, ["_at"], sums, span, levels - 1).withColumnRenamed("_at", "_chunk")
+    else:
+        before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        prefixed = totals.select("*", *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in names])
+    offsets = prefixed.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col("_chunk").alias("_k_chunk"),
-        *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in names],
+        *[f"_o_{n}" for n in names],
     )
     on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     on.append(F.col("_chunk").eqNullSafe(F.col("_k_chunk")))
@@ -49,9 +59,8 @@ def running(
     joined = rows.join(offsets, reduce(lambda a, b: a & b, on), "left")
 
     def total(name: str) -> Column:
-        value = values[name]
         zero = F.lit(0)
-        return F.coalesce(F.col(f"_o_{name}"), zero) + F.coalesce(F.sum(value).over(inside), zero)
+        return F.coalesce(F.col(f"_o_{name}"), zero) + F.coalesce(F.sum(values[name]).over(inside), zero)
 
     return joined.select(*df.columns, *[total(n).alias(n) for n in names])
 

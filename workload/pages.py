@@ -17,6 +17,7 @@ from gleanwell.plans.web import link_actions_by_domain, page_links, page_media
 from workload.registry import (
     CRAWL,
     DECODE,
+    DECODE_BARE,
     LINKS,
     RESULTS,
     ROUTED,
@@ -66,7 +67,7 @@ _CUT = (
       SELECT page_id, list_filter(regexp_split_to_array(html, '{_CUT}'), lambda x: x <> '') AS raw FROM pages),
     texts AS (
       SELECT page_id, list_transform(raw, lambda x: regexp_replace(
-        replace(trim({DECODE.format(DECODE.format('x'))}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)),
+        replace(trim({DECODE_BARE.format(DECODE.format('x'))}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)),
                 chr(13) || chr(10), ''), ' +', ' ', 'g')) AS texts FROM nodes)
     SELECT page_id, CAST(len(texts) AS INTEGER) AS n_texts, list_aggregate(texts, 'string_agg', chr(10)) AS content
     FROM texts""",

@@ -52,6 +52,11 @@ WIKI = {"domains": ("example.org",), "prefixes": ("blog", "www.th")}
 
 DECODE = "replace(replace(replace(replace({0}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
 
+# The rule for free text also knows the names without a semicolon.
+DECODE_BARE = "replace(replace(replace(replace({0}, '&quot', '\"'), '&copy', '©'), '&middot', '·'), '&amp', '&')".format(
+    DECODE
+)
+
 LINKS = f"""
 stripped AS (
   SELECT page_id, url AS page_url,

@@ -41,11 +41,8 @@ _SPENT = "sum(CAST(seconds AS DECIMAL(20, 3))) OVER ({0} ORDER BY pos ROWS BETWE
 
 
 def timed_files(spark, folder):
-    files = media_files(spark, folder)
-    info = media_info(files).select("raw_file_name", "duration_seconds", "source")
-    return info.join(files.select("raw_file_name", "pos"), "raw_file_name").withColumnRenamed(
-        "duration_seconds", "duration"
-    )
+    info = media_info(media_files(spark, folder), keep=("pos",))
+    return info.select("pos", "source", F.col("duration_seconds").alias("duration"))
 
 
 @query(
