@@ -2,8 +2,8 @@
 
 A window over a whole group would put a hot group into one task. Here each group is cut
 into chunks along its order: totals per chunk (combined on the map side), a prefix over
-those few totals, and a window inside each chunk. The chunk total and the window share one
-partitioning, so the rows are shuffled once.
+those few totals, and a window inside each chunk. The join to the prefix and the window
+share one partitioning, so the rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -23,46 +23,60 @@ def chunk_of(position: Column | str, rows: int = CHUNK_ROWS) -> Column:
     return F.floor(p / F.lit(rows)).cast("bigint")
 
 
+def _group_key(name: str) -> Column:
+    """A text that tells groups apart and is never NULL, so that plain equality joins it."""
+    value = F.col(name).cast("string")
+    return F.when(value.isNull(), "-").otherwise(F.concat(F.lit("+"), value))
+
+
+def _before(columns: list[str], order: list[str]):
+    return Window.partitionBy(*columns).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _or_zero(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0))
+
+
+def _chunk_offsets(totals: DataFrame, groups: list[str], names: list[str]) -> DataFrame:
+    """Sum over the chunks before each chunk, by way of spans of chunks.
+
+    Only the span totals of a group, one row per ``CHUNKS_PER_SPAN`` chunks, meet in a window.
+    """
+    spans = totals.withColumn("_span", chunk_of("_chunk", CHUNKS_PER_SPAN))
+    per_span = spans.groupBy(*groups, "_span").agg(*[F.sum(f"_t_{n}").alias(f"_s_{n}") for n in names])
+    offsets = per_span.select(
+        *groups, "_span", *[F.sum(f"_s_{n}").over(_before(groups, ["_span"])).alias(f"_s_{n}") for n in names]
+    )
+    joined = spans.join(offsets, [*groups, "_span"], "left")
+    inside = _before([*groups, "_span"], ["_chunk"])
+    return joined.select(
+        *groups,
+        "_chunk",
+        *[(_or_zero(F.col(f"_s_{n}")) + _or_zero(F.sum(f"_t_{n}").over(inside))).alias(f"_o_{n}") for n in names],
+    )
+
+
 def running(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    values: dict[str, Column],
-    chunk: Column,
-    levels: int = 2,
+    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], chunk: Column
 ) -> DataFrame:
     """Add, for each name in ``values``, the sum over the group's rows *before* the current one.
 
     ``chunk`` must be an integer that does not decrease along ``order`` within a group, and no
-    chunk may hold more rows than a task can sort. The prefix over chunk totals is taken the
-    same way, over spans of chunks; only the few span totals of a group meet in one window.
+    chunk may hold more rows than a task can sort. The input is read twice: once for the
+    totals per chunk, combined before they are shuffled, and once for the rows.
     """
     names = list(values)
-    rows = df.withColumn("_chunk", chunk)
-    totals = rows.groupBy(*keys, "_chunk").agg(*[F.sum(values[n]).alias(f"_t_{n}") for n in names])
-    if levels > 1:
-        placed = totals.withColumnRenamed("_chunk", "_at")
-        sums = {f"_o_{n}": F.col(f"_t_{n}") for n in names}
-        span = chunk_of("_at", CHUNKS_PER_SPAN)
-        prefixed = running(placed, keys, ["_at"], sums, span, levels - 1).withColumnRenamed("_at", "_chunk")
-    else:
-        before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        prefixed = totals.select("*", *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in names])
-    offsets = prefixed.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_chunk").alias("_k_chunk"),
-        *[f"_o_{n}" for n in names],
+    groups = [f"_g_{k}" for k in keys]
+    rows = df.select(
+        "*", *[_group_key(k).alias(g) for k, g in zip(keys, groups)], F.coalesce(chunk, F.lit(-1)).alias("_chunk")
+    )
+    totals = rows.groupBy(*groups, "_chunk").agg(*[F.sum(values[n]).alias(f"_t_{n}") for n in names])
+    joined = rows.join(_chunk_offsets(totals, groups, names), [*groups, "_chunk"], "left")
+    inside = _before([*groups, "_chunk"], order)
+    return joined.select(
+        *df.columns,
+        *[(_or_zero(F.col(f"_o_{n}")) + _or_zero(F.sum(values[n]).over(inside))).alias(n) for n in names],
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    on.append(F.col("_chunk").eqNullSafe(F.col("_k_chunk")))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = rows.join(offsets, reduce(lambda a, b: a & b, on), "left")
-
-    def total(name: str) -> Column:
-        zero = F.lit(0)
-        return F.coalesce(F.col(f"_o_{name}"), zero) + F.coalesce(F.sum(values[name]).over(inside), zero)
-
-    return joined.select(*df.columns, *[total(n).alias(n) for n in names])
 
 
 def dense_position(

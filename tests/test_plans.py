@@ -58,6 +58,13 @@ def test_no_window_over_a_whole_group(spark):
     assert by_rows and all("_chunk#" in w for w in by_rows)
 
 
+def test_running_totals_shuffle_the_rows_once(spark, large_joins, tmp_path):
+    spark.range(1000).selectExpr("'c' AS channel_name", "id AS pos", "'x' AS payload").write.parquet(str(tmp_path / "r"))
+    text = plan(ordered.batch_plan(spark.read.parquet(str(tmp_path / "r")), 5))
+    upper = text[: text.index("FileScan")]
+    assert upper.count("Exchange hashpartitioning(_g_channel_name") == 1
+
+
 @pytest.fixture
 def large_joins(spark):
     settings = {
