@@ -84,8 +84,17 @@ def _table_entry(table: str, name: str) -> str:
     )
 
 
-# "&apos;" has a case of its own below, as its text would end the literal.
-_NAMED = sql.lit(_table((n, t) for n, t in html5.items() if n.endswith(";") and n != "apos;"))
+def _named_entry(name: str) -> str:
+    """Text of a named reference. The names are split by initial, so that a search is short."""
+    by_initial: dict[str, list] = {}
+    for n, t in html5.items():
+        # "&apos;" has a case of its own below, as its text would end the literal.
+        if n.endswith(";") and n != "apos;":
+            by_initial.setdefault(n[0], []).append((n, t))
+    cases = " ".join(f"WHEN '{i}' THEN {sql.lit(_table(pairs))}" for i, pairs in by_initial.items())
+    return sql.let(f"CASE left({name}, 1) {cases} END", "tbl", _table_entry("tbl", name))
+
+
 _BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
 _BARE = sql.lit(_table((n, html5[n]) for n in _BARE_NAMES))
 # Code points below 0xA0 that a numeric reference does not stand for literally.
@@ -110,7 +119,7 @@ def _numeric(ref: str) -> str:
 
 def _decode_ref(ref: str, lenient: bool) -> str:
     """One reference, ``&`` included, to the text it stands for."""
-    named = _table_entry(_NAMED, f"substring({ref}, 2)")
+    named = sql.let(f"substring({ref}, 2)", "nm", _named_entry("nm"))
     rest = f"coalesce({named}, {ref})"
     if lenient:
         # Old names are understood without a semicolon too, also as a prefix of a longer word.
@@ -129,7 +138,14 @@ def decode_entities_sql(text: str, lenient: bool = True) -> str:
     pattern = sql.lit(_LENIENT_REF if lenient else _STRICT_REF)
     refs = f"transform(regexp_extract_all(e, {pattern}, 0), ref -> {_decode_ref('ref', lenient)})"
     pieces = f"zip_with(split(e, {pattern}, -1), concat({refs}, array('')), (b, d) -> concat(b, d))"
-    return sql.let(text, "e", f"CASE WHEN contains(e, '&') THEN array_join({pieces}, '') ELSE e END")
+    # Most texts hold the commonest references only, which plain replacement handles; with
+    # the ampersand last, nothing is decoded twice.
+    easy = "replace(replace(replace(replace(e, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&nbsp;', '\\u00a0')"
+    other = sql.lit("&(?!amp;)(?:#|[A-Za-z])" if lenient else "&(?!amp;)(?:#|[A-Za-z][A-Za-z0-9]*;)")
+    simple = sql.let(
+        easy, "y", f"CASE WHEN y RLIKE {other} THEN array_join({pieces}, '') ELSE replace(y, '&amp;', '&') END"
+    )
+    return sql.let(text, "e", f"CASE WHEN contains(e, '&') THEN {simple} ELSE e END")
 
 
 def decode_entities(text: str, lenient: bool = True) -> Column:

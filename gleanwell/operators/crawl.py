@@ -18,7 +18,7 @@ def search_request_grid(keywords: DataFrame, cfg: CrawlConfig) -> DataFrame:
     return rows.select("keyword", "page_no", search_url(term, "page_no", cfg.start_offset).alias("url"))
 
 
-def crawl_reach(seeds: DataFrame, links: DataFrame, max_depth: int) -> DataFrame:
+def crawl_reach(seeds: DataFrame, links: DataFrame, max_depth: int, written: bool = False) -> DataFrame:
     """Addresses a crawl visits and the depth at which it first does: (url, depth).
 
     Seeds have depth 1 and links are followed while the depth is below ``max_depth``. Each
@@ -28,8 +28,7 @@ def crawl_reach(seeds: DataFrame, links: DataFrame, max_depth: int) -> DataFrame
     """
     spark = seeds.sparkSession
     edges = links.select("src_url", "dst_url")
-    if max_depth > 2:
-        # Followed more than once: written out, so that pages are not searched for links again.
+    if max_depth > 2 and not written:
         edges = write_scratch(edges, "crawl_edges")
     levels = [write_scratch(seeds.select("url").distinct(), "crawl_level")]
     while len(levels) < max_depth:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from gleanwell.operators.archive import media_not_archived
 from gleanwell.operators.crawl import crawl_reach
 from gleanwell.operators.licenses import license_urls
 from gleanwell.operators.links import build_media_items, extract_links, route_links, routing_reason
+from gleanwell.storage import write_scratch
 
 
 def page_links(pages: DataFrame, cfg: CrawlConfig, depth: str | int = 1, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
@@ -64,11 +67,24 @@ def new_media(pages: DataFrame, archive: DataFrame, cfg: CrawlConfig) -> DataFra
 def crawl(pages: DataFrame, seeds: DataFrame, cfg: CrawlConfig) -> DataFrame:
     """Routed links of the captured pages a crawl from the seeds reaches, each at its depth.
 
-    Which links lead on does not depend on the depth, so links are routed once for the whole
-    capture and the depth rule is applied after the traversal.
+    Only the last rule depends on the depth. So the links of the whole capture are routed and
+    written once, the traversal runs over that narrow table, and the depth rule comes last;
+    page texts are never shuffled.
     """
-    open_ended = CrawlConfig(**{**cfg.__dict__, "depth": 2})
-    follow = page_links(pages, open_ended).where(F.col("action") == "follow")
-    reach = crawl_reach(seeds, follow.select(F.col("page_url").alias("src_url"), F.col("url").alias("dst_url")), cfg.depth)
-    reached = pages.join(reach, "url")
-    return page_links(reached, cfg, "depth", keep=("page_id", "depth"))
+    routed = write_scratch(page_links(pages, replace(cfg, depth=2)), "crawl_links")
+    follow = routed.where(F.col("action") == "follow")
+    edges = follow.select(F.col("page_url").alias("src_url"), F.col("url").alias("dst_url"))
+    reach = crawl_reach(seeds, edges, cfg.depth, written=True).withColumnRenamed("url", "page_url")
+    too_deep = (F.col("action") == "follow") & (F.col("depth") >= cfg.depth)
+    return routed.join(reach, "page_url").select(
+        "page_id",
+        "page_url",
+        "depth",
+        "tag",
+        "pos",
+        "href",
+        "url",
+        F.when(too_deep, "depth").otherwise(F.col("reason")).alias("reason"),
+        F.when(too_deep, "drop").otherwise(F.col("action")).alias("action"),
+        F.when((F.col("action") == "follow") & ~too_deep, F.col("depth") + 1).alias("next_depth"),
+    )

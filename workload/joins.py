@@ -1,5 +1,7 @@
 """Anti-joins against archives, lookups, metadata, requests and traversal."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from gleanwell.config import METADATA_COLUMNS, CrawlConfig, MetadataConfig
@@ -10,6 +12,7 @@ from gleanwell.operators.channels import curated_video_ids, zip_positional
 from gleanwell.operators.crawl import crawl_reach, search_request_grid
 from gleanwell.plans.channel import channel_metadata, channel_work
 from gleanwell.plans.playlist import playlist_files, playlist_work
+from gleanwell.plans.web import crawl
 from gleanwell.config import ChannelPipelineConfig
 from workload.filters import CODES, license_codes
 from workload.registry import (
@@ -19,6 +22,7 @@ from workload.registry import (
     FILES,
     LINKS,
     LOG,
+    REASON,
     SCRAPED,
     VIDEOS,
     archive,
@@ -260,6 +264,39 @@ def crawl_reach_query(spark, folder):
     return crawl_reach(seeds, page_tree(spark, folder), max_depth=4)
 
 
+def linked_pages(spark, folder):
+    """Captured pages with two links added: to the pages numbered 2i+1 and 2i+2."""
+    pages = table(spark, folder, "pages")
+    targets = page_tree(spark, folder).groupBy("src_url").agg(F.array_sort(F.collect_set("dst_url")).alias("to"))
+    added = F.array_join(
+        F.transform(F.coalesce("to", F.array()), lambda u: F.concat(F.lit('<a href="'), u, F.lit('">x</a>'))), ""
+    )
+    joined = pages.join(targets, pages.url == targets.src_url, "left")
+    return joined.select("page_id", "url", F.concat("html", F.lit("</b>"), added).alias("html"))
+
+
+@query(
+    "crawl",
+    f"""WITH RECURSIVE {LINKS}, tree AS (
+      SELECT s.page_id, s.url AS page_url, d.url FROM pages s JOIN pages d
+      ON d.page_id IN (s.page_id * 2 + 1, s.page_id * 2 + 2, CAST(floor((s.page_id - 1) / 2) AS BIGINT))),
+    every AS (SELECT page_id, page_url, url FROM links UNION ALL SELECT page_id, page_url, url FROM tree),
+    judged AS (SELECT *, {REASON} AS reason FROM every),
+    walk(url, depth) AS (
+      SELECT url, 1 FROM pages WHERE contains(url, 'spam')
+      UNION SELECT e.url, w.depth + 1 FROM walk w JOIN judged e ON e.page_url = w.url
+      WHERE w.depth < 3 AND e.reason = 'follow'),
+    reach AS (SELECT url, min(depth) AS depth FROM walk GROUP BY url)
+    SELECT j.page_id, CAST(r.depth AS INTEGER) AS depth, j.url,
+           CASE WHEN reason = 'follow' AND depth >= 3 THEN 'depth' ELSE reason END AS reason
+    FROM judged j JOIN reach r ON r.url = j.page_url""",
+)
+def crawl_query(spark, folder):
+    seeds = table(spark, folder, "pages").where(F.contains("url", F.lit("spam"))).select("url")
+    routed = crawl(linked_pages(spark, folder), seeds, replace(CRAWL, depth=3))
+    return routed.select("page_id", "depth", "url", "reason")
+
+
 @query(
     "not_crawled",
     f"""WITH {LINKS}, requests AS (SELECT url FROM links UNION SELECT url FROM pages WHERE NOT contains(url, '#'))
