@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanwell.llm.frames import remainder, table
 from gleanwell.llm.lm_scoring import score_texts
+from gleanwell.llm.quality_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,3 +22,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"), remainder("doc_id", 5) == 1)
+
+
+@query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    judged = judge(texts.select("doc_id", "text"), into="q")
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior", "votes")
+    return judged.select("doc_id", *[f"q.{x}" for x in fields])
