@@ -43,7 +43,7 @@ from gleanwell.llm.frames import partitions
 from gleanwell.storage import write_scratch
 
 #: Tokens of a block; a longer text is a block of its own.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_200_000
 #: A context with at least this share of the tokens of some block is dealt by follower.
 HOT_SHARE = 1 / 1024
 #: At most so many contexts are dealt by follower: the largest. Which ones they are changes no result.

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanwell.llm.frames import remainder, table
 from gleanwell.llm.lm_scoring import score_texts
+from gleanwell.llm.near_dups import near_duplicates
 from gleanwell.llm.quality_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,8 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(texts.select("doc_id", "text"), into="q")
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior", "votes")
     return judged.select("doc_id", *[f"q.{x}" for x in fields])
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), percent=85)
