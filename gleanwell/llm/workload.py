@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gleanwell.llm.frames import remainder, table
 from gleanwell.llm.lm_scoring import score_texts
 from gleanwell.llm.near_dups import near_duplicates
 from gleanwell.llm.quality_rules import judge
+from gleanwell.llm.repeats import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +38,9 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    removed = remove_repeats(table(spark, folder, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
