@@ -12,6 +12,7 @@ from gleanwell.llm.lm_scoring import score_texts
 from gleanwell.llm.near_dups import near_duplicates
 from gleanwell.llm.quality_rules import judge
 from gleanwell.llm.repeats import remove_repeats
+from gleanwell.llm.resharding import reshard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,10 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     removed = remove_repeats(table(spark, folder, "documents"))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = reshard(table(spark, folder, "documents"), old_shards=16, shards=24)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "old_shard")
