@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanwell.llm.decontamination import overlaps
 from gleanwell.llm.frames import remainder, table
 from gleanwell.llm.lm_scoring import score_texts
+from gleanwell.llm.mixing import mix
 from gleanwell.llm.near_dups import near_duplicates
 from gleanwell.llm.quality_rules import judge
 from gleanwell.llm.repeats import remove_repeats
@@ -52,3 +54,13 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = reshard(table(spark, folder, "documents"), old_shards=16, shards=24)
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "old_shard")
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"))
