@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanwell.llm.decontamination import overlaps
 from gleanwell.llm.frames import remainder, table
+from gleanwell.llm.language_id import identify
 from gleanwell.llm.lm_scoring import score_texts
 from gleanwell.llm.mixing import mix
 from gleanwell.llm.near_dups import near_duplicates
@@ -64,3 +65,8 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 @query
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))
+
+
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"), remainder("doc_id", 4) == 2)
