@@ -13,6 +13,7 @@ from gleanwell.llm.language_id import identify
 from gleanwell.llm.lm_scoring import score_texts
 from gleanwell.llm.mixing import mix
 from gleanwell.llm.near_dups import near_duplicates
+from gleanwell.llm.quality_cnn import classify
 from gleanwell.llm.quality_rules import judge
 from gleanwell.llm.repeats import remove_repeats
 from gleanwell.llm.resharding import reshard
@@ -70,3 +71,9 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"), remainder("doc_id", 4) == 2)
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    texts, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return classify(texts, labels, remainder("doc_id", 5) == 0)
