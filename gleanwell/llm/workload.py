@@ -17,6 +17,7 @@ from gleanwell.llm.quality_cnn import classify
 from gleanwell.llm.quality_rules import judge
 from gleanwell.llm.repeats import remove_repeats
 from gleanwell.llm.resharding import reshard
+from gleanwell.llm.token_counts import Vocabulary, count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +78,8 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     texts, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return classify(texts, labels, remainder("doc_id", 5) == 0)
+
+
+@query
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), Vocabulary.read())
