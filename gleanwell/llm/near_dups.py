@@ -93,26 +93,36 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return mixed(keys + (np.arange(BANDS, dtype=_U) << _U(48))).view(np.int64)
 
 
+def _log_likelihood(similarity, above, below, equal, u, v):
+    """How likely registers are that differ upwards, downwards and not at all so many times."""
+
+    def chance(x):
+        return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
+
+    plus, minus = chance(u - v * similarity), chance(v - u * similarity)
+    terms = ((above, plus), (below, minus), (equal, 1 - plus - minus))
+    return sum(n * np.log(np.maximum(x, 1e-12)) for n, x in terms)
+
+
 def similarity(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Jaccard similarity of pairs of sketched sets with known sizes: the value that makes their registers likeliest."""
-    above, below = (a > b).sum(axis=1), (a < b).sum(axis=1)
-    equal = a.shape[1] - above - below
+    above, below = (a > b).sum(axis=-1), (a < b).sum(axis=-1)
     u = size_a / (size_a + size_b)
     v = 1 - u
+    grid = np.linspace(0, 1, 201)[:, None] * np.minimum(u / v, v / u)
+    likely = _log_likelihood(grid, above, below, b.shape[-1] - above - below, u, v)
+    return np.take_along_axis(grid, likely.argmax(axis=0)[None, :], axis=0)[0]
 
-    def chance(x: np.ndarray) -> np.ndarray:
-        return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
 
-    most = np.minimum(u / v, v / u)
-    grid = np.linspace(0, 1, 101)[:, None] * most
-    plus, minus = chance(u - v * grid), chance(v - u * grid)
-    tiny = 1e-12
-    likely = (
-        above * np.log(np.maximum(plus, tiny))
-        + below * np.log(np.maximum(minus, tiny))
-        + equal * np.log(np.maximum(1 - plus - minus, tiny))
+def likely_above(a: np.ndarray, b: np.ndarray, size_a: int, size_b: np.ndarray, least: float) -> np.ndarray:
+    """Whether the likeliest similarity is ``least`` or more: whether the likelihood still rises there."""
+    above, below = (a > b).sum(axis=-1), (a < b).sum(axis=-1)
+    u = size_a / (size_a + size_b)
+    v = 1 - u
+    here, there = (
+        _log_likelihood(x, above, below, b.shape[-1] - above - below, u, v) for x in (least - 5e-4, least + 5e-4)
     )
-    return np.take_along_axis(grid, likely.argmax(axis=0)[None, :], axis=0)[0]
+    return there >= here
 
 
 #: Shingles of a block of candidates that one task holds, unless a single text has more.
@@ -158,12 +168,6 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield part.explode("pair")[["root", "pair", "block", "doc_id", "sketch", "shingles"]]
 
 
-def _find(parent: np.ndarray, x: int) -> int:
-    while parent[x] != x:
-        parent[x] = x = parent[parent[x]]
-    return x
-
-
 def linked(members: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links that connect those members of one or two blocks that are similar enough, directly or over others.
 
@@ -172,33 +176,40 @@ def linked(members: pd.DataFrame, percent: int) -> pd.DataFrame:
     members = members.drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
     ids, block = members.doc_id.to_numpy(), members.block.to_numpy()
     across = block.min() != block.max()
-    sets = [np.frombuffer(bytes(x), _U) for x in members.shingles]
-    size = np.array([len(x) for x in sets])
+    size = members.shingles.map(len).to_numpy() // 8
+    first = np.cumsum(size) - size
+    shingles = np.unique(np.frombuffer(b"".join(map(bytes, members.shingles)), _U), return_inverse=True)[1].reshape(-1)
     sketches = np.frombuffer(b"".join(map(bytes, members.sketch)), np.uint8).reshape(len(ids), -1)
     keys = band_keys(sketches)
-    owners = np.argsort(keys.reshape(-1), kind="stable")
-    bucket = np.searchsorted(keys.reshape(-1)[owners], keys)
-    ends = np.searchsorted(keys.reshape(-1)[owners], keys, "right")
-    parent, root, out = np.arange(len(ids)), np.arange(len(ids)), []
+    order = np.argsort(keys.reshape(-1), kind="stable")
+    owner, ordered = order // BANDS, keys.reshape(-1)[order]
+    begin, end = np.searchsorted(ordered, keys), np.searchsorted(ordered, keys, "right")
+    root, out = np.arange(len(ids)), []
+    in_x = np.zeros(int(shingles.max()) + 1 if len(shingles) else 1, bool)
     for x in range(len(ids)):
-        near = np.unique(np.concatenate([owners[a:b] for a, b in zip(bucket[x], ends[x], strict=True)]) // BANDS)
-        near = near[near > x]
-        near = near[(root[near] != root[x]) & (100 * np.minimum(size[near], size[x]) >= percent * np.maximum(size[near], size[x]))]
+        near = np.zeros(len(ids), bool)
+        for a, b in zip(begin[x], end[x], strict=True):
+            near[owner[a:b]] = True
+        near[: x + 1] = False
+        near &= (root != root[x]) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x]))
         if across:
-            near = near[block[near] != block[x]]
+            near &= block != block[x]
+        near = np.flatnonzero(near)
+        if len(near):
+            near = near[likely_above(sketches[x], sketches[near], size[x], size[near], percent / 100 - MARGIN)]
         if not len(near):
             continue
-        likely = similarity(np.broadcast_to(sketches[x], (len(near), REGISTERS)), sketches[near], np.full(len(near), size[x]), size[near])
-        for y in near[likely >= percent / 100 - MARGIN]:
-            if _find(parent, x) == _find(parent, y):
-                continue
-            place = np.searchsorted(sets[x], sets[y])
-            shared = int((sets[x][np.minimum(place, size[x] - 1)] == sets[y]).sum())
-            if 100 * shared >= percent * (size[x] + size[y] - shared):
-                out.append((ids[x], ids[y]))
-                a, b = sorted((_find(parent, x), _find(parent, y)))
-                parent[b] = a
-        root = np.array([_find(parent, k) for k in range(len(ids))]) if len(near) > 64 else root
+        mine = shingles[first[x] : first[x] + size[x]]
+        in_x[mine] = True
+        places = np.repeat(first[near], size[near]) + np.arange(size[near].sum()) - np.repeat(np.cumsum(size[near]) - size[near], size[near])
+        shared = np.add.reduceat(in_x[shingles[places]].astype(np.int64), np.cumsum(size[near]) - size[near])
+        in_x[mine] = False
+        found = near[100 * shared >= percent * (size[x] + size[near] - shared)]
+        if len(found):
+            roots, one = np.unique(root[found], return_index=True)
+            out += [(ids[x], ids[found[k]]) for k in one]
+            joined = np.append(roots, root[x])
+            root[np.isin(root, joined)] = joined.min()
     return pd.DataFrame(out, columns=["a", "b"])
 
 
