@@ -8,24 +8,36 @@ from pyspark.sql import functions as F
 from gleanwell.storage import write_scratch
 
 
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Each node and its smaller neighbours tied to the smallest of them."""
+    least = edges.groupBy(F.col("high").alias("_high")).agg(F.min("low").alias("least"))
+    ties = edges.join(least, F.col("high") == F.col("_high")).select(F.col("low").alias("high"), F.col("least").alias("low"))
+    return ties.where("high <> low").union(least.select("_high", "least")).distinct()
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Each node's larger neighbours tied to the smallest of its neighbours and itself."""
+    near = edges.select(F.col("high").alias("a"), F.col("low").alias("b")).union(edges.select("low", "high"))
+    least = near.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("least"))
+    ties = near.where("b > a").join(least, F.col("a") == F.col("_a"))
+    return ties.select(F.col("b").alias("high"), F.least("least", "a").alias("low")).distinct()
+
+
 def smallest_reachable(links: DataFrame) -> DataFrame:
     """For every id in ``links`` (a, b): the smallest id that can be reached. Columns ``id``, ``root``.
 
-    Each round takes the smallest root among the neighbours and then the root of that root, so that long chains
-    shrink by half at least. Rounds are tables in the shared folder. Links with a NULL end count for nothing; an
-    empty table gives an empty table.
+    Alternates small and large stars until every component is one star around its smallest id; the number of edges
+    never grows beyond that of the links. Rounds are tables in the shared folder. Links with a NULL end and links to
+    oneself count for nothing; an empty table gives an empty table.
     """
-    clean = links.select("a", "b").where("a <> b")
-    both = clean.union(clean.select("b", "a")).distinct()
-    both = write_scratch(both, "links")
-    roots = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("least"))
-    roots = write_scratch(roots.select("id", F.least("id", "least").alias("root")), "roots")
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
+    before = None
     while True:
-        near = both.join(roots.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
-        step = roots.join(near, "id").select("id", "root", F.least("root", "near").alias("next"))
-        far = roots.select(F.col("id").alias("next"), F.col("root").alias("far"))
-        moved = step.join(far, "next").select("id", F.least("next", "far").alias("root"), (F.least("next", "far") < F.col("root")).alias("moved"))
-        moved = write_scratch(moved, "roots")
-        roots = moved.select("id", "root")
-        if not moved.where("moved").limit(1).count():
-            return roots
+        edges = write_scratch(_small_star(edges), "stars")
+        edges = write_scratch(_large_star(edges), "stars")
+        now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("high", "low"))).first())
+        if now == before or not now[0]:
+            break
+        before = now
+    leaves = edges.select(F.col("high").alias("id"), F.col("low").alias("root"))
+    return leaves.union(edges.select("low", "low")).distinct()
