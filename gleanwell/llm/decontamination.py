@@ -19,15 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanwell.llm.bloom import bloom_filter, passing
 from gleanwell.llm.bytesets import mixed, prefix_sums, span_hashes, steps, text_bytes
 from gleanwell.storage import write_scratch
 
 #: A 1 marks a token that must agree.
 MASKS = ("1110100111", "1101101011", "1011110101")
 STRETCH, AGREE = 20, 80
-#: Bits of the filter per hash, and its largest size in bits (32 MB).
-BITS_PER_HASH, MOST_BITS = 64, 2**28
-_CHUNK = 2**13
 
 _U = np.uint64
 
@@ -73,39 +71,8 @@ def _item_seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"seed": hashes.view(np.int64), "item_id": ids[row], "item_place": place.astype(np.int32)})
 
 
-def _filter_bits(frames: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        places = np.concatenate(list(_probes(frame.seed.to_numpy().view(_U), bits)))
-        yield pd.DataFrame({"chunk": (places // _CHUNK).astype(np.int32), "bit": (places % _CHUNK).astype(np.int32)}).drop_duplicates()
-
-
-def _probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    for k in (0, 32):
-        yield ((hashes >> _U(k)) & _U(bits - 1)).astype(np.int64)
-
-
-def _chunk(frame: pd.DataFrame) -> pd.DataFrame:
-    bits = np.zeros(_CHUNK, np.uint8)
-    bits[frame.bit.to_numpy()] = 1
-    return pd.DataFrame({"chunk": [frame.chunk.iat[0]], "bytes": [np.packbits(bits, bitorder="little").tobytes()]})
-
-
-def bloom_filter(hashes: DataFrame) -> np.ndarray:
-    """A Bloom filter of column ``seed`` with two probes, as bytes. Its size is a power of two, at most MOST_BITS."""
-    count = hashes.count()
-    bits = min(MOST_BITS, max(_CHUNK, 1 << (BITS_PER_HASH * count).bit_length()))
-    marked = hashes.select("seed").mapInPandas(lambda it: _filter_bits(it, bits), "chunk int, bit int")
-    chunks = marked.groupBy("chunk").applyInPandas(_chunk, "chunk int, bytes binary")
-    out = np.zeros(bits // 8, np.uint8)
-    for r in chunks.toLocalIterator():
-        out[r.chunk * _CHUNK // 8 : (r.chunk + 1) * _CHUNK // 8] = np.frombuffer(r.bytes, np.uint8)
-    return out
-
-
 def _candidates(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Texts with windows that pass the filter, and these windows."""
-    filtered = shared.value
-    bits = len(filtered) * 8
     for batch in batches:
         column = batch.column(batch.schema.get_field_index("text"))
         data, offsets = text_bytes(column)
@@ -113,10 +80,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Record
         for a, b in steps(offsets):
             tokens, bounds = plain_tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             hashes, row, place = seeds(tokens, bounds)
-            passed = np.arange(len(hashes))
-            for k in (0, 32):
-                at = ((hashes[passed] >> _U(k)) & _U(bits - 1)).astype(np.int64)
-                passed = passed[(filtered[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+            passed = passing(shared.value, hashes)
             if not len(passed):
                 continue
             passed = passed[np.argsort(row[passed], kind="stable")]

@@ -4,15 +4,17 @@ Two suffixes count as equal when their first ``LENGTH`` bytes are, so sorting st
 matter: a group of two or more starts is a repeated string. The sort goes from the most significant digit down and
 drops whatever is alone in its group:
 
-1. The first digit of a start is the ``GRAM``-byte string with the least hash within its ``LENGTH`` bytes, with its
-   distance. Neighbouring starts share it, so a run of starts is one row, some 170 starts long on average.
-2. The next digit is the whole string that the run's suffixes cover. Equal runs are repeats from end to end.
-3. Runs of one first digit that differ are cut into cells of ``CELL`` starts, whose strings are the next digit,
-4. and cells that still differ into single starts.
+1. A start is placed by the ``GRAM``-byte string with the least hash within its ``LENGTH`` bytes and by its distance
+   to that. Starts that share the string follow one another in runs, and a run is cut into cells of neighbouring
+   distances. The bytes that all starts of a cell have in common are its first digit: some 230 of them.
+2. Cells whose digit stands twice or more are compared by the whole string that their suffixes cover. Equal ones are
+   repeats from end to end.
+3. What differs is cut into cells of ``CELL`` starts with a digit of their own, nearly as long as the depth,
+4. and what differs then into single starts.
 
 A group is only ever counted, never gathered, so it may hold any share of the corpus. One member stands for those
-that are equal when the others go on to the next digit. Strings are compared by 64-bit hash within their first digit,
-which is a 64-bit hash too.
+that are equal when the others go on to the next digit. Strings are compared by 64-bit hash within their digit, which
+is a 64-bit hash too.
 """
 
 from __future__ import annotations
@@ -26,14 +28,29 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanwell.llm.bytesets import prefix_sums, span_hashes, steps, text_bytes
+from gleanwell.llm.bloom import bloom_filter, split
+from gleanwell.llm.bytesets import mixed, prefix_sums, span_hashes, steps, text_bytes
 from gleanwell.storage import write_scratch
 
 LENGTH = 400
 GRAM = 64
+#: Most distances between a start and its string, and sizes of the cells they are cut into, pass by pass.
+DISTANCES = LENGTH - GRAM + 1
+HALF = (DISTANCES + 1) // 2
 CELL = 16
 
-_PLACES = "gram bigint, low int, high int, hash bigint, doc_id bigint, first int"
+#: ``at`` packs the place of the first start in its text and the cell's first and last distance.
+_PLACES = "digit bigint, hash bigint, doc_id bigint, at bigint"
+
+_U = np.uint64
+
+
+def pack_place(first: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return first.astype(np.int64) << 20 | low.astype(np.int64) << 10 | high.astype(np.int64)
+
+
+def unpack_place(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return at >> 20, at >> 10 & 1023, at & 1023
 
 
 def least_in_windows(values: np.ndarray, size: int) -> np.ndarray:
@@ -59,32 +76,41 @@ def least_in_windows(values: np.ndarray, size: int) -> np.ndarray:
     return np.where(padded[left] <= padded[right], left, right)
 
 
-def runs(data: np.ndarray, offsets: np.ndarray) -> pd.DataFrame:
-    """Runs of starts with one first digit: row of the text, its start, starts relative to the digit, hashes."""
-    size = LENGTH - GRAM + 1
+def cells(sums: np.ndarray, zero: np.ndarray, low: np.ndarray, high: np.ndarray, size: int) -> dict[str, np.ndarray]:
+    """Runs of distances cut at multiples of ``size``; ``zero`` is where distance 0 lies in the hashed bytes.
+
+    Returns the number of the run, the first and last distance, the digit and the hash of each cell.
+    """
+    first = low // size
+    many = high // size - first + 1
+    run = np.repeat(np.arange(len(low)), many)
+    cell = first[run] + np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+    a, b = np.maximum(cell * size, low[run]), np.minimum(cell * size + size - 1, high[run])
+    core = zero[run] + cell * size
+    digit = mixed(span_hashes(sums, core + size - 1, core + LENGTH) + cell.astype(_U))
+    whole = span_hashes(sums, zero[run] + a, zero[run] + b + LENGTH)
+    return {"run": run, "low": a, "high": b, "digit": digit.view(np.int64), "hash": whole.view(np.int64)}
+
+
+def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Cells of the starts of all texts, and for each cell its text and the place of its first start there."""
     sums = prefix_sums(data)
     grams = np.arange(max(0, len(data) - GRAM + 1))
     grams = span_hashes(sums, grams, grams + GRAM)
-    digit = least_in_windows(grams, size)
-    starts = np.arange(len(digit))
+    place = least_in_windows(grams, DISTANCES)
+    starts = np.arange(len(place))
     row = np.searchsorted(offsets, starts, "right") - 1
     inside = starts + LENGTH <= offsets[row + 1] if len(starts) else np.zeros(0, bool)
-    starts, digit, row = starts[inside], digit[inside], row[inside]
+    starts, place, row = starts[inside], place[inside], row[inside]
     new = np.ones(len(starts), bool)
-    new[1:] = (digit[1:] != digit[:-1]) | (row[1:] != row[:-1])
+    new[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
     begin = np.flatnonzero(new)
-    low, high = starts[begin], starts[np.append(begin[1:], len(starts)) - 1] if len(begin) else starts[begin]
-    digit, row = digit[begin], row[begin]
-    return pd.DataFrame(
-        {
-            "gram": grams[digit].view(np.int64),
-            "low": (low - digit).astype(np.int32),
-            "high": (high - digit).astype(np.int32),
-            "hash": span_hashes(sums, low, high + LENGTH).view(np.int64),
-            "row": row,
-            "first": (low - offsets[row]).astype(np.int32),
-        }
-    )
+    last = np.append(begin[1:], len(starts)) - 1 if len(begin) else begin
+    # Distance 0 is the earliest start whose bytes hold the string.
+    zero = place[begin] - DISTANCES + 1
+    found = cells(sums, zero, starts[begin] - zero, starts[last] - zero, HALF)
+    row = row[begin][found["run"]]
+    return found, row, zero[found["run"]] + found["low"] - offsets[row]
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,106 +118,89 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
         ids = batch.column(batch.schema.get_field_index("doc_id"))
         for a, b in steps(offsets, 1_000_000):
-            out = runs(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            row = pa.array(out.pop("row") + a)
-            columns = [pa.array(out[c]) for c in ("gram", "low", "high", "hash")] + [ids.take(row), pa.array(out["first"])]
-            yield pa.RecordBatch.from_arrays(columns, names=["gram", "low", "high", "hash", "doc_id", "first"])
-
-
-def _contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes that each run covers."""
-    for frame in frames:
-        texts = [x.encode() for x in frame.pop("text")]
-        rows = [
-            (p.gram, p.low, p.high, frame.doc_id.iat[k], p.first, texts[k][p.first : p.first + p.high - p.low + LENGTH])
-            for k, places in enumerate(frame.places)
-            for p in map(_Place, places)
-        ]
-        yield pd.DataFrame(rows, columns=["gram", "low", "high", "doc_id", "first", "bytes"])
-
+            found, row, first = runs(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            at = pa.array(pack_place(first, found["low"], found["high"]))
+            columns = [pa.array(found["digit"]), pa.array(found["hash"]), ids.take(pa.array(row + a)), at]
+            yield pa.RecordBatch.from_arrays(columns, names=["digit", "hash", "doc_id", "at"])
 
-class _Place:
-    __slots__ = ("gram", "low", "high", "first")
 
-    def __init__(self, x):
-        self.gram, self.low, self.high, self.first = (x[k] for k in ("gram", "low", "high", "first"))
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes that the places of each text cover."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
+        places = batch.column(batch.schema.get_field_index("places"))
+        many = np.diff(np.asarray(places.offsets)).astype(np.int64)
+        at = places.flatten().to_numpy()
+        row = np.repeat(np.arange(len(many)), many)
+        first, low, high = unpack_place(at)
+        begin = offsets[:-1][row] + first
+        end = begin + high - low + LENGTH
+        whole = data.tobytes()
+        pieces = pa.array([whole[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
+        ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(row))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(at), pieces], names=["doc_id", "at", "bytes"])
 
 
-def _cells(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """Runs cut where their distance from the digit is a multiple of ``size``, each with the hash of its string."""
+def _cut(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """Places with their bytes cut into cells of ``size``."""
     for frame in frames:
         if not len(frame):
             continue
+        first, low, high = unpack_place(frame["at"].to_numpy())
         data = np.frombuffer(b"".join(map(bytes, frame.bytes)), np.uint8)
         length = frame.bytes.map(len).to_numpy()
-        base = np.cumsum(length) - length
-        low, high = frame.low.to_numpy().astype(np.int64), frame.high.to_numpy().astype(np.int64)
-        first_cell = low // size
-        many = high // size - first_cell + 1
-        run = np.repeat(np.arange(len(frame)), many)
-        cell = first_cell[run] + np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
-        a, b = np.maximum(cell * size, low[run]), np.minimum(cell * size + size - 1, high[run])
-        sums = prefix_sums(data)
-        shift = base[run] - low[run]
-        yield pd.DataFrame(
-            {
-                "gram": frame.gram.to_numpy()[run],
-                "low": a.astype(np.int32),
-                "high": b.astype(np.int32),
-                "hash": span_hashes(sums, shift + a, shift + b + LENGTH).view(np.int64),
-                "doc_id": frame.doc_id.to_numpy()[run],
-                "first": (frame["first"].to_numpy()[run] + a - low[run]).astype(np.int32),
-            }
-        )
-
-
-def _split(places: DataFrame, cell: int) -> tuple[DataFrame, DataFrame]:
-    """What stands twice or more, and what must go on to the next digit: one of each group that is not alone.
-
-    ``cell`` is the size of the cells that ``places`` have been cut to.
-    """
-    key = ["gram", "low", "high", "hash"]
-    groups = places.groupBy(*key).agg(F.count("*").alias("many"), F.min(F.struct("doc_id", "first")).alias("one"))
-    groups = write_scratch(groups.withColumn("cell", F.floor(F.col("low") / cell).cast("int")), "repeat-groups")
+        found = cells(prefix_sums(data), np.cumsum(length) - length - low, low, high, size)
+        run = found["run"]
+        at = pack_place(first[run] + found["low"] - low[run], found["low"], found["high"])
+        yield pd.DataFrame({"digit": found["digit"], "hash": found["hash"], "doc_id": frame.doc_id.to_numpy()[run], "at": at})
+
+
+def _split(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What stands twice or more, and what must go on to the next digit: one of each group of equals."""
+    often = places.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select(F.col("digit").alias("_digit"))
+    places = write_scratch(places.join(often, F.col("digit") == F.col("_digit"), "left_semi"), "repeat-places")
+    key = ["digit", "hash", "range"]
+    ranged = places.withColumn("range", F.col("at").bitwiseAND(2**20 - 1))
+    groups = ranged.groupBy(*key).agg(F.count("*").alias("many"), F.min(F.struct("doc_id", "at")).alias("one"))
+    groups = write_scratch(groups, "repeat-groups")
     twice = groups.where("many > 1").select(*[F.col(k).alias(f"_{k}") for k in key])
-    found = places.join(twice, [F.col(k) == F.col(f"_{k}") for k in key], "left_semi")
-    open_digits = groups.groupBy("gram", "cell").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("_gram"), F.col("cell").alias("_cell"))
-    going = groups.join(open_digits, [F.col("gram") == F.col("_gram"), F.col("cell") == F.col("_cell")], "left_semi")
-    return found.select("doc_id", "first", (F.col("high") - F.col("low")).alias("more")), going.select("gram", "low", "high", "one.doc_id", "one.first")
+    found = ranged.join(twice, [F.col(k) == F.col(f"_{k}") for k in key], "left_semi").select("doc_id", "at")
+    differ = groups.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select(F.col("digit").alias("_digit"))
+    going = groups.join(differ, F.col("digit") == F.col("_digit"), "left_semi").select("one.doc_id", "one.at")
+    return found, going
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Starts of strings of LENGTH bytes that start anywhere else too, as runs: doc_id, first, and how many more.
+def repeated_places(docs: DataFrame) -> DataFrame:
+    """Runs of starts of strings of LENGTH bytes that start anywhere else too: doc_id and the packed place.
 
     ``docs`` has an integer doc_id and text.
     """
-    docs = docs.where("doc_id IS NOT NULL")
-    whole = LENGTH  # one cell holds every distance
-    first_digit = write_scratch(docs.select("doc_id", "text").mapInArrow(_runs, _PLACES), "repeat-runs")
-    found, going = _split(first_digit, whole)
-    found = write_scratch(found, "repeat-found")
-
-    places = going.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "low", "high", "first")).alias("places"))
-    texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text"))
-    open_texts = places.join(texts, F.col("doc_id") == F.col("_doc")).select("doc_id", "places", "text")
-    contexts = write_scratch(
-        open_texts.mapInPandas(_contexts, "gram bigint, low int, high int, doc_id bigint, first int, bytes binary"), "repeat-contexts"
-    )
-    cells = write_scratch(contexts.mapInPandas(lambda it: _cells(it, CELL), _PLACES), "repeat-cells")
-    found_cells, going = _split(cells, CELL)
-
-    on = going.select(F.col("doc_id").alias("_doc"), F.col("gram").alias("_gram"), F.col("first").alias("_first"), F.col("low").alias("_low"), F.col("high").alias("_high"))
-    inside = contexts.join(
-        on,
-        (F.col("doc_id") == F.col("_doc"))
-        & (F.col("gram") == F.col("_gram"))
-        & (F.col("first") - F.col("low") == F.col("_first") - F.col("_low")),
-    )
-    cut = F.expr("substring(bytes, _low - low + 1, _high - _low + {})".format(LENGTH))
-    single = inside.select("gram", F.col("_low").alias("low"), F.col("_high").alias("high"), "doc_id", F.col("_first").alias("first"), cut.alias("bytes"))
-    windows = write_scratch(single.mapInPandas(lambda it: _cells(it, 1), _PLACES), "repeat-windows")
-    found_windows, _ = _split(windows, 1)
-    return found.union(found_cells).union(found_windows)
+    docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    first_pass = write_scratch(docs.mapInArrow(_runs, _PLACES), "repeat-runs")
+    found, going = _split(first_pass)
+
+    places = going.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("at").alias("places"))
+    places = write_scratch(places, "repeat-open")
+    # Texts without an open place stay where they are.
+    filtered = docs.sparkSession.sparkContext.broadcast(bloom_filter(places.select(F.xxhash64("_doc").alias("seed"))))
+    texts, _ = split(docs.withColumn("seed", F.xxhash64("doc_id")), filtered)
+    texts = texts.join(places, F.col("doc_id") == F.col("_doc")).select("doc_id", "places", "text")
+    contexts = write_scratch(texts.mapInArrow(_contexts, "doc_id bigint, at bigint, bytes binary"), "repeat-contexts")
+    second_pass = write_scratch(contexts.mapInPandas(lambda it: _cut(it, CELL), _PLACES), "repeat-cells")
+    found_cells, going = _split(second_pass)
+
+    on = going.select(F.col("doc_id").alias("_doc"), F.col("at").alias("_at"))
+    # The zero distance of a place tells which of a text's runs it belongs to.
+    zero = F.shiftright("at", 20) - F.shiftright("at", 10).bitwiseAND(1023)
+    on = on.withColumn("_zero", F.shiftright("_at", 20) - F.shiftright("_at", 10).bitwiseAND(1023))
+    inner = F.shiftright("_at", 20) - F.shiftright("at", 20)
+    within = contexts.withColumn("_own", zero).join(on, (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_zero")))
+    within = within.where((inner >= 0) & (F.shiftright("_at", 10).bitwiseAND(1023) <= F.col("at").bitwiseAND(1023)))
+    size = F.col("_at").bitwiseAND(1023) - F.shiftright("_at", 10).bitwiseAND(1023) + LENGTH
+    single = within.select("doc_id", F.col("_at").alias("at"), F.substr("bytes", (inner + 1).cast("int"), size.cast("int")).alias("bytes"))
+    third_pass = write_scratch(single.mapInPandas(lambda it: _cut(it, 1), _PLACES), "repeat-starts")
+    found_starts, _ = _split(third_pass)
+    return found.union(found_cells).union(found_starts)
 
 
 _REPORT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
@@ -203,11 +212,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
         ids = batch.column(batch.schema.get_field_index("doc_id"))
         found = batch.column(batch.schema.get_field_index("found"))
-        many = np.array([0 if x is None else x for x in pc.list_value_length(found).to_pylist()], np.int64)
-        flat = found.flatten()
+        many = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         row = np.repeat(np.arange(len(many)), many)
-        begin = flat.field("first").to_numpy(zero_copy_only=False).astype(np.int64) + offsets[:-1][row]
-        end = begin + flat.field("more").to_numpy(zero_copy_only=False) + LENGTH
+        first, low, high = unpack_place(found.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = first + offsets[:-1][row]
+        end = begin + high - low + LENGTH
         for a, b in steps(offsets, 1_000_000):
             mine = (row >= a) & (row < b)
             base, top = offsets[a], offsets[b]
@@ -244,6 +253,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     columns are ignored; an empty table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = repeated_spans(docs).select(F.col("doc_id").alias("_doc"), F.struct("first", "more").alias("x"))
-    found = found.groupBy("_doc").agg(F.collect_list("x").alias("found"))
-    return docs.join(found, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "found").mapInArrow(_remove, _REPORT)
+    found = repeated_places(docs).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("at").alias("found"))
+    found = write_scratch(found, "repeat-found")
+    filtered = docs.sparkSession.sparkContext.broadcast(bloom_filter(found.select(F.xxhash64("_doc").alias("seed"))))
+    marked, others = split(docs.withColumn("seed", F.xxhash64("doc_id")), filtered)
+    marked = marked.join(found, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "found")
+    others = others.select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("found"))
+    return marked.mapInArrow(_remove, _REPORT).union(others.mapInArrow(_remove, _REPORT))
