@@ -118,7 +118,7 @@ def digests(docs: DataFrame, old_shards: int, shards: int, kept: tuple[str, ...]
     total = rows.agg(F.sum("size")).first()[0] or 0
     # So many groups at most as the share allows: shards / GROUP_SHARE.
     large = rows.groupBy("_spread").agg(F.sum("size").alias("_all")).where(F.col("_all") > F.lit(GROUP_SHARE * total / shards))
-    large = large.select(F.col("_spread").alias("_large"))
+    large = write_scratch(large.select(F.col("_spread").alias("_large")), "shard-large-groups")
     piece = (F.lit(BLOCKS) + F.pmod(F.xxhash64("doc_id"), F.lit(PIECES))).cast("int")
     cut = rows.join(large, F.col("_spread") == F.col("_large"), "left")
     return cut.withColumn("_block", F.when(F.col("_large").isNull(), F.col("_block")).otherwise(piece)).drop("_large", "_spread")
