@@ -150,7 +150,6 @@ DOWNLOAD_ERRORS = (
 )
 DOWNLOAD_ABORT = "HTTP Error 429"
 MAX_STDERR_CHARS = 5
-MAX_ATTEMPTS = 4
 
 SCRAPED_SITE_PREFIX = "https://nroer.gov.in"
 

@@ -33,8 +33,14 @@ _ANCHOR = (
     rf"(?:[^<]++|<{_COMMENT}|<{_raw_element('script|style', 2)}|<(?!/?a(?=[\s/>])))*+)"
 )
 _TOKEN = rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style', 1)}|/?[a-z]{_REST_OR_CUT})|[^<]++|<"
+# A head ends at its end tag or before the body; one with neither holds what only a head can.
+_HEAD = r"head(?=[\s/>]).*?(?:</head\s*>|(?=<body[\s/>]))"
+_OPEN_HEAD = (
+    rf"head(?=[\s/>]){_REST_OR_CUT}"
+    rf"(?:\s++|<{_COMMENT}|<(title|script|style|noscript)(?=[\s/>]).*?(?:</\2\s*>|\z)|<(?:meta|link|base)(?=[\s/>]){_REST_OR_CUT})*+"
+)
 _NOT_TEXT = (
-    rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style|noscript|head', 1)}"
+    rf"(?is)<(?:{_COMMENT}|{_raw_element('script|style|noscript', 1)}|{_HEAD}|{_OPEN_HEAD}"
     rf"|/body\s*>\s*(?:</html\s*>\s*)?\z|[/!?]?[a-z]{_REST_OR_CUT})"
 )
 _VOID = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr)(?=[\s/>])"

@@ -30,6 +30,11 @@ def media_name_parts(name: Column | str) -> tuple[Column, Column]:
     return video_id, minutes
 
 
+def media_name_seconds(name: Column | str) -> Column:
+    """The whole seconds of ``<seconds>file-id<id>.mp4``."""
+    return F.substring_index(as_column(name), "file-id", 1).cast("bigint")
+
+
 def duration_prefixed_name(seconds: Column | str, name: Column | str) -> Column:
     return F.concat(as_column(seconds).cast("bigint").cast("string"), as_column(name))
 

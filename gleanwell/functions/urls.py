@@ -95,6 +95,19 @@ def resolve_url(base_url: str, ref: str) -> Column:
     return F.expr(resolve_url_sql(base_url, ref))
 
 
+def request_key(url: Column | str) -> Column:
+    """What tells requests apart: the address without its fragment, with its arguments in order.
+
+    An argument without a value counts as one with an empty value; empty arguments and an empty list of them count
+    for nothing.
+    """
+    asked = F.substring_index(as_column(url), "#", 1)
+    path = F.substring_index(asked, "?", 1)
+    given = F.filter(F.split(F.substr(asked, F.length(path) + 2), "&"), lambda x: x != "")
+    named = F.transform(given, lambda x: F.when(F.contains(x, F.lit("=")), x).otherwise(F.concat(x, F.lit("="))))
+    return F.when(F.size(named) > 0, F.concat(path, F.lit("?"), F.array_join(F.array_sort(named), "&"))).otherwise(path)
+
+
 def source_domain(url: Column | str) -> Column:
     """Host part, without ``www.`` if it begins with it; NULL for an address without ``//``."""
     u = as_column(url)

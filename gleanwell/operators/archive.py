@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions.text import rstrip, sanitize_text
-from gleanwell.functions.urls import channel_file_key, channel_id, clean_channel_name
+from gleanwell.functions.urls import channel_file_key, channel_id, clean_channel_name, request_key
 from gleanwell.joins import anti_join
 
 
@@ -62,8 +62,9 @@ def channels_to_list(channels: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def not_crawled(requests: DataFrame, responses: DataFrame, url: str = "url") -> DataFrame:
-    """Requested addresses that never got a response, each once."""
-    return anti_join(requests.select(url).distinct(), responses.select(url), [url])
+    """Requests that never got a response, each once under its least address (see ``request_key``)."""
+    asked = requests.groupBy(request_key(url).alias("_key")).agg(F.min(url).alias(url))
+    return anti_join(asked, responses.select(request_key(url).alias("_key")), ["_key"]).select(url)
 
 
 def new_archive_rows(consumed: DataFrame, archive: DataFrame) -> DataFrame:

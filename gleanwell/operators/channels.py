@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 from gleanwell.config import (
     DOWNLOAD_ABORT,
     DOWNLOAD_ERRORS,
-    MAX_ATTEMPTS,
     MAX_STDERR_CHARS,
     SCRAPED_SITE_PREFIX,
     ChannelSearchConfig,
 )
-from gleanwell.functions.media import license_code_label
 from gleanwell.functions.predicates import any_of
 from gleanwell.functions.text import has_tamil
 from gleanwell.functions.urls import (
@@ -106,11 +104,15 @@ def download_attempts(log: DataFrame) -> DataFrame:
 
 
 def download_outcome(log: DataFrame) -> DataFrame:
-    """Per video: attempts made, rejected (its last attempt failed) and abort (rate limit hit)."""
-    tried = download_attempts(log.where(F.col("attempt") <= MAX_ATTEMPTS))
+    """Per video: attempts made, rejected (its last attempt failed) and abort (rate limit hit).
+
+    Every attempt of the log counts. One that met the rate limit stops the run and says nothing about the video, so a
+    video whose last attempt it is stays to be fetched.
+    """
+    tried = download_attempts(log)
     return tried.groupBy("video_id").agg(
         F.count(F.lit(1)).alias("attempts"),
-        F.max_by("failed", "attempt").alias("rejected"),
+        F.max_by(F.col("failed") & ~F.col("abort"), "attempt").alias("rejected"),
         F.bool_or("abort").alias("abort"),
     )
 
@@ -139,10 +141,6 @@ def channel_video_report(
     )
 
 
-def label_video_licenses(codes: DataFrame) -> DataFrame:
-    return codes.select("video_id", license_code_label("license").alias("license"))
-
-
 # --- scraped three-line files ----------------------------------------------
 
 

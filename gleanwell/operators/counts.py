@@ -12,10 +12,10 @@ def total_hours(media: DataFrame, keys: tuple[str, ...] = (), seconds: str = "du
     return media.groupBy(*keys).agg((F.coalesce(exact, F.lit(0.0)) / F.lit(3600.0)).alias("hours"))
 
 
-def total_hours_floor(media: DataFrame, keys: tuple[str, ...] = (), minutes: str = "minutes") -> DataFrame:
-    """Whole hours of media whose length is in minutes."""
-    exact = F.sum(F.col(minutes).cast("decimal(20,6)"))
-    return media.groupBy(*keys).agg(F.floor(F.coalesce(exact, F.lit(0)) / 60).cast("bigint").alias("hours"))
+def total_hours_floor(media: DataFrame, keys: tuple[str, ...] = (), seconds: str = "seconds") -> DataFrame:
+    """Whole hours of media by their whole seconds, which is what file names hold (see ``media_name_seconds``)."""
+    exact = F.coalesce(F.sum(F.col(seconds).cast("bigint")), F.lit(0))
+    return media.groupBy(*keys).agg(F.floor(exact / 3600).cast("bigint").alias("hours"))
 
 
 def channel_video_counts(videos: DataFrame, channel: str = "channel_name") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanwell.config import CrawlConfig
 from gleanwell.functions.search import search_term, search_url
+from gleanwell.functions.urls import request_key
 from gleanwell.joins import anti_join, key_set
 from gleanwell.storage import write_scratch
 
@@ -19,29 +20,35 @@ def search_request_grid(keywords: DataFrame, cfg: CrawlConfig) -> DataFrame:
 
 
 def crawl_reach(seeds: DataFrame, links: DataFrame, max_depth: int, written: bool = False) -> DataFrame:
-    """Addresses a crawl visits and the depth at which it first does: (url, depth).
+    """Requests a crawl makes and the depth at which it first does: (key, url, depth).
 
+    Requests are told apart by ``request_key``; ``url`` is the least of the addresses first met. All captures of an
+    address take part, and their links are followed.
     Seeds have depth 1 and links are followed while the depth is below ``max_depth``. Each
     level is written to the shared folder and read back, which cuts the lineage and lets a
     lost executor's work be redone from files; the next level is the linked addresses minus
     those seen. Only the loop over levels runs on the driver.
     """
     spark = seeds.sparkSession
-    edges = links.select("src_url", "dst_url")
+    edges = links.select(request_key("src_url").alias("src_key"), F.col("dst_url").alias("url"))
     if max_depth > 2 and not written:
         edges = write_scratch(edges, "crawl_edges")
-    levels = [write_scratch(seeds.select("url").distinct(), "crawl_level")]
+
+    def once(urls: DataFrame) -> DataFrame:
+        return urls.groupBy(request_key("url").alias("key")).agg(F.min("url").alias("url"))
+
+    levels = [write_scratch(once(seeds), "crawl_level")]
     while len(levels) < max_depth:
-        frontier = key_set(levels[-1].select(F.col("url").alias("src_url")), ["src_url"])
-        reached = edges.join(frontier, "src_url", "left_semi").select(F.col("dst_url").alias("url"))
+        frontier = key_set(levels[-1].select(F.col("key").alias("src_key")), ["src_key"])
+        reached = edges.join(frontier, "src_key", "left_semi")
         seen = levels[0]
         for level in levels[1:]:
             seen = seen.unionByName(level)
-        fresh = write_scratch(anti_join(reached.distinct(), seen, ["url"]), "crawl_level")
+        fresh = write_scratch(anti_join(once(reached), seen, ["key"]), "crawl_level")
         if fresh.isEmpty():
             break
         levels.append(fresh)
-    result = spark.createDataFrame([], "url string, depth int")
+    result = spark.createDataFrame([], "key string, url string, depth int")
     for depth, level in enumerate(levels, start=1):
-        result = result.unionByName(level.select("url", F.lit(depth).alias("depth")))
+        result = result.unionByName(level.select("key", "url", F.lit(depth).alias("depth")))
     return result

@@ -86,8 +86,9 @@ def resolve_video_license(
     codes = first_per_key(licenses, "video_id", "license", ["license"]).withColumnRenamed("license", "_code")
     joined = lookup(files, codes, "video_id", ["_code"])
     looked_up = license_code_label("_code") if cc_code is None else license_code_label("_code", cc_code)
-    label = F.when(F.col("curated_license") == "", looked_up).otherwise(F.col("curated_license"))
-    return joined.select(*files.columns, (label if mode == "file" else looked_up).alias("license"))
+    curated = F.col("curated_license") if mode == "file" else F.lit(None)
+    label = F.coalesce(F.nullif(curated, F.lit("")), looked_up)
+    return joined.select(*files.columns, label.alias("license"))
 
 
 def video_info(files: DataFrame, mode: str = "channel") -> DataFrame:

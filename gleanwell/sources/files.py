@@ -100,13 +100,18 @@ def read_archive(
 
 
 def read_curated_videos(
-    spark: SparkSession, path: str, cfg: ChannelPipelineConfig = ChannelPipelineConfig()
+    spark: SparkSession,
+    path: str,
+    cfg: ChannelPipelineConfig = ChannelPipelineConfig(),
+    multi_line: bool = True,
 ) -> DataFrame:
     """A curated list with a header, all text, plus ``pos``.
 
-    Raises ``KeyError`` if the address, speaker or gender column is not there.
+    Cells may be quoted, with quotes inside doubled. ``multi_line`` allows line breaks in quoted cells, as lists edited
+    by hand may have; such a file is read by one task, so turn it off for large lists that have none. Raises
+    ``KeyError`` if the address, speaker or gender column is not there.
     """
-    listed = spark.read.option("header", True).csv(path)
+    listed = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
     for column in (cfg.url_column, cfg.speaker_column, cfg.gender_column):
         if column not in listed.columns:
             raise KeyError(f"{column} is not a column of the curated list")

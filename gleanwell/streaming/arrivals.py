@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleanwell.config import CrawlConfig
-from gleanwell.functions.urls import source_domain, url_title
+from gleanwell.functions.urls import request_key, source_domain, url_title
 from gleanwell.operators.archive import media_not_archived
 from gleanwell.operators.links import extract_links, route_links
 from gleanwell.storage import read_or_empty
@@ -73,8 +73,11 @@ def latest_hours(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_dedupe(urls: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Each URL once per run. The state grows with the URLs seen; prefer the archive form above."""
-    once = urls.select("url").dropDuplicates(["url"])
+    """Each request once per run, under the address that came first (see ``request_key``).
+
+    The state grows with the requests seen; prefer the archive form above.
+    """
+    once = urls.select("url", request_key("url").alias("_key")).dropDuplicates(["_key"]).select("url")
     return _start(once.writeStream.format("parquet").option("path", out), checkpoint)
 
 

@@ -56,14 +56,19 @@ def test_download_outcome(spark):
             ("warn", 1, "", "WARNING: x"),
             ("limit", 1, "", "HTTP Error 429"),
             ("short", 1, "", "oops"),
-            ("many", 4, "", "failure"), ("many", 5, "", ""),
+            ("many", 1, "", "failure"), ("many", 2, "", "failure"), ("many", 3, "", "failure"), ("many", 4, "", "failure"),
+            ("many", 5, "", ""),
+            ("late", 1, "", "failure"), ("late", 2, "", "HTTP Error 429: Too Many Requests"),
+            ("past", 1, "", "HTTP Error 429: Too Many Requests"), ("past", 2, "", "failure"),
         ],
         "video_id string, attempt int, stdout string, stderr string",
     )
-    got = {r.video_id: (r.rejected, r.abort) for r in ops.download_outcome(log).collect()}
+    outcome = ops.download_outcome(log).collect()
+    assert {r.video_id: r.attempts for r in outcome}["many"] == 5
+    got = {r.video_id: (r.rejected, r.abort) for r in outcome}
     assert got == {
         "ok": (False, False), "gone": (True, False), "retry": (False, False), "warn": (True, False),
-        "limit": (True, True), "short": (False, False), "many": (True, False),
+        "limit": (False, True), "short": (False, False), "many": (False, False), "late": (False, True), "past": (True, True),
     }
 
 
@@ -112,3 +117,12 @@ def test_crawl_reach_first_depth_counts(spark):
     assert got == {"a": 1, "b": 2, "c": 2, "d": 3}
     assert {r.url for r in crawl_reach(seeds, links, 1).collect()} == {"a"}
     assert crawl_reach(seeds, links, 50).count() == 5
+
+
+def test_crawl_reach_tells_requests_apart_without_fragment_and_argument_order(spark):
+    links = spark.createDataFrame(
+        [("/1", "/4#x"), ("/4", "/5"), ("/1#top", "/2#top"), ("/1", "/2"), ("/5", "/6?b=1&a=2"), ("/6?a=2&b=1", "/7")],
+        "src_url string, dst_url string",
+    )
+    got = {r.url: r.depth for r in crawl_reach(spark.createDataFrame([("/1",)], "url string"), links, 9).collect()}
+    assert got == {"/1": 1, "/4#x": 2, "/2": 2, "/5": 3, "/6?b=1&a=2": 4, "/7": 5}

@@ -133,3 +133,19 @@ def test_hot_channel_order_over_many_files(spark, tmp_path):
     assert len(files) > 1
     read = sources.read_lines(spark, str(tmp_path / "c"), "channel").orderBy("pos").collect()
     assert [r.value for r in read] == [f"v{i}" for i in range(2999, -1, -1)]
+
+
+def test_curated_cells_with_quotes_and_line_breaks(spark, tmp_path):
+    text = (
+        "video_url,speaker_name,speaker_gender\n"
+        'u1,"The ""Great"" X, Jr",male\n'
+        'u2,"first\nsecond",female\n'
+        "u3,plain,male\n"
+    )
+    path = write(tmp_path / "lists", "curated.csv", text)
+    rows = sources.read_curated_videos(spark, path).orderBy("pos").collect()
+    assert [(r.video_url, r.speaker_name, r.speaker_gender) for r in rows] == [
+        ("u1", 'The "Great" X, Jr', "male"), ("u2", "first\nsecond", "female"), ("u3", "plain", "male"),
+    ]
+    one_line = write(tmp_path / "short", "curated.csv", "video_url,speaker_name,speaker_gender\nu1,a,b\n")
+    assert sources.read_curated_videos(spark, one_line, multi_line=False).count() == 1

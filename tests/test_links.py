@@ -159,3 +159,15 @@ def test_crawl_follows_captured_pages(spark):
     seeds = spark.createDataFrame([("http://a.com/",)], "url string")
     routed = crawl(frame, seeds, CrawlConfig(depth=2)).where("action = 'media'")
     assert sorted((r.url, r.depth) for r in routed.collect()) == [("http://a.com/m.mp3", 1), ("http://a.com/n.mp3", 2)]
+
+
+def test_visible_text_of_pages_without_head_end_or_body(spark):
+    cases = {
+        "<html><head><title>t</title><body><p>licence text</p></body></html>": ["licence text"],
+        "<html><head><meta x=1><title>t</title> <style>p{}</style><p>licence text</p>": ["licence text"],
+        "<head><title>t</title></head><p>a</p><head>b": ["a", "b"],
+        "<header>top</header><p>a</p>": ["top", "a"],
+        "<html><body><header>top</header></body></html>": ["top"],
+    }
+    for html, texts in cases.items():
+        assert page_visible_text(pages(spark, ("u", html))).first().texts == texts, html

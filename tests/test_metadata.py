@@ -92,3 +92,10 @@ def test_parse_media_name(column):
     video_id, minutes = media.media_name_parts("x")
     assert column(video_id, ["60file-idsfgsft.mp4"]) == ["sfgsft"]
     assert column(minutes, ["60file-idsfgsft.mp4"]) == [1.0]
+
+
+def test_a_blank_curated_licence_is_looked_up(spark):
+    files = spark.createDataFrame([("a", None), ("b", ""), ("c", "own")], "video_id string, curated_license string")
+    codes = spark.createDataFrame([("a", "creativeCommon"), ("c", "creativeCommon")], "video_id string, license string")
+    rows = ops.resolve_video_license(files, codes, mode="file").collect()
+    assert {r.video_id: r.license for r in rows} == {"a": "Creative Commons", "b": "Standard Youtube", "c": "own"}

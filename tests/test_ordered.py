@@ -1,5 +1,6 @@
 import random
 
+from gleanwell.functions.media import media_name_seconds
 from gleanwell.operators import counts, ordered
 
 
@@ -45,6 +46,14 @@ def test_uploaded_counts(spark):
 
 
 def test_hours(spark):
-    rows = spark.createDataFrame([(1800.0, 30.0), (5400.5, 90.0), (None, None)], "duration double, minutes double")
+    rows = spark.createDataFrame([(1800.0, 1800), (5400.5, 5400), (None, None)], "duration double, seconds bigint")
     assert counts.total_hours(rows).first().hours == 7200.5 / 3600
     assert counts.total_hours_floor(rows).first().hours == 2
+
+
+def test_whole_hours_of_files_whose_minutes_do_not_come_out_even(spark):
+    for seconds, files in ((80, 45), (20, 180)):
+        names = spark.createDataFrame([(f"{seconds}file-id{k}.mp4",) for k in range(files)], "name string")
+        rows = names.select(media_name_seconds("name").alias("seconds"))
+        assert counts.total_hours_floor(rows).first().hours == 1
+        assert counts.total_hours_floor(rows.limit(files - 1)).first().hours == 0

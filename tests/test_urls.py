@@ -82,3 +82,15 @@ def test_storage_paths(column):
     assert column(paths.channel_list_path(cfg, "x"), ["s"]) == ["data//raw/channels/s/videos_list.txt"]
     assert column(paths.metadata_path(cfg, "x", F.lit("a.mp4")), ["s"]) == ["data//raw/s/a.csv"]
     assert column(paths.curated_path(cfg, "x"), ["s"]) == ["data/<language>/raw/data_to_be_scraped/s.csv"]
+
+
+def test_request_key(column):
+    same = [
+        ("http://a.b/4", "http://a.b/4#x"), ("http://a.b/?b=2&a=1", "http://a.b/?a=1&b=2#y"),
+        ("http://a.b/p?a", "http://a.b/p?a="), ("http://a.b/p", "http://a.b/p?"), ("http://a.b/p?&a=1&", "http://a.b/p?a=1"),
+    ]
+    for pair in same:
+        first, second = column(urls.request_key("x"), list(pair))
+        assert first == second, pair
+    keys = column(urls.request_key("x"), ["http://a.b/4", "http://a.b/4?a=1", "http://a.b/4?a=2", "http://a.b/4?a=1&a=1", None])
+    assert len(set(keys)) == 5 and keys[-1] is None

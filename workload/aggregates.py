@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gleanwell.functions.media import duration_prefixed_name, media_name_seconds
 from gleanwell.operators import channels as ops
 from gleanwell.operators import counts
 from gleanwell.operators.channels import curated_video_ids, flatten_channels, usable_file_counts, videos_by_channel
@@ -42,11 +43,13 @@ def total_hours(spark, folder):
 
 @query(
     "total_hours_floor",
-    f"""WITH {FILES} SELECT source, CAST(floor(sum(CAST(duration AS DECIMAL(20, 6))) / 60) AS BIGINT) AS hours
-    FROM infos GROUP BY source""",
+    """SELECT event_type AS source, CAST(sum(CAST(trunc(value) AS BIGINT)) // 3600 AS BIGINT) AS hours
+    FROM events GROUP BY 1""",
 )
 def total_hours_floor(spark, folder):
-    return counts.total_hours_floor(media_info(media_files(spark, folder)), ("source",), minutes="duration")
+    name = duration_prefixed_name("value", F.concat(F.lit("file-idv"), "event_id", F.lit(".mp4")))
+    files = table(spark, folder, "events").select(F.col("event_type").alias("source"), name.alias("raw_file_name"))
+    return counts.total_hours_floor(files.withColumn("seconds", media_name_seconds("raw_file_name")), ("source",))
 
 
 @query("channel_video_counts", f"WITH {VIDEOS} SELECT channel_name, count(*) AS videos FROM videos GROUP BY 1")

@@ -16,6 +16,7 @@ from gleanwell.plans.web import crawl
 from gleanwell.config import ChannelPipelineConfig
 from workload.filters import CODES, license_codes
 from workload.registry import (
+    key_sql,
     ARCHIVE,
     CRAWL,
     CURATED,
@@ -133,7 +134,7 @@ def enrich_from_curated(spark, folder):
     f"""WITH {VIDEOS}, {CURATED}, {CODES}, named AS (
       SELECT replace(video_url, 'https://www.youtube.com/watch?v=', '') AS video_id, license AS curated
       FROM curated WHERE video_url IS NOT NULL)
-    SELECT v.video_id, CASE WHEN n.video_id IS NOT NULL THEN n.curated
+    SELECT v.video_id, CASE WHEN coalesce(n.curated, '') <> '' THEN n.curated
       WHEN c.license = 'creativeCommon' THEN 'Creative Commons' ELSE 'Standard Youtube' END AS license
     FROM videos v LEFT JOIN named n USING (video_id) LEFT JOIN codes c USING (video_id)""",
 )
@@ -251,17 +252,23 @@ def page_tree(spark, folder):
 
 @query(
     "crawl_reach",
-    """WITH RECURSIVE edges AS (
-      SELECT s.url AS src, d.url AS dst FROM pages s JOIN pages d
+    f"""WITH RECURSIVE edges AS (
+      SELECT {key_sql('s.url')} AS src, {key_sql('d.url')} AS dst, d.url AS url FROM pages s JOIN pages d
       ON d.page_id IN (s.page_id * 2 + 1, s.page_id * 2 + 2, CAST(floor((s.page_id - 1) / 2) AS BIGINT))),
-    walk(url, depth) AS (
-      SELECT url, 1 FROM pages WHERE contains(url, 'spam')
-      UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.url WHERE w.depth < 4)
-    SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url""",
+    seeds AS (SELECT {key_sql('url')} AS key, url FROM pages WHERE contains(url, 'spam')),
+    walk(key, depth) AS (
+      SELECT key, 1 FROM seeds
+      UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.key WHERE w.depth < 4),
+    reach AS (SELECT key, min(depth) AS depth FROM walk GROUP BY key),
+    shown AS (
+      SELECT r.key, s.url, r.depth FROM reach r JOIN seeds s ON s.key = r.key WHERE r.depth = 1
+      UNION ALL SELECT r.key, e.url, r.depth FROM reach r JOIN edges e ON e.dst = r.key
+      JOIN reach p ON p.key = e.src AND p.depth = r.depth - 1)
+    SELECT min(url) AS url, CAST(depth AS INTEGER) AS depth FROM shown GROUP BY key, depth""",
 )
 def crawl_reach_query(spark, folder):
     seeds = table(spark, folder, "pages").where(F.contains("url", F.lit("spam"))).select("url")
-    return crawl_reach(seeds, page_tree(spark, folder), max_depth=4)
+    return crawl_reach(seeds, page_tree(spark, folder), max_depth=4).select("url", "depth")
 
 
 def linked_pages(spark, folder):
@@ -282,14 +289,14 @@ def linked_pages(spark, folder):
       ON d.page_id IN (s.page_id * 2 + 1, s.page_id * 2 + 2, CAST(floor((s.page_id - 1) / 2) AS BIGINT))),
     every AS (SELECT page_id, page_url, url FROM links UNION ALL SELECT page_id, page_url, url FROM tree),
     judged AS (SELECT *, {REASON} AS reason FROM every),
-    walk(url, depth) AS (
-      SELECT url, 1 FROM pages WHERE contains(url, 'spam')
-      UNION SELECT e.url, w.depth + 1 FROM walk w JOIN judged e ON e.page_url = w.url
-      WHERE w.depth < 3 AND e.reason = 'follow'),
-    reach AS (SELECT url, min(depth) AS depth FROM walk GROUP BY url)
+    keyed AS (SELECT {key_sql('page_url')} AS src, {key_sql('url')} AS dst FROM judged WHERE reason = 'follow'),
+    walk(key, depth) AS (
+      SELECT {key_sql('url')}, 1 FROM pages WHERE contains(url, 'spam')
+      UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN keyed e ON e.src = w.key WHERE w.depth < 3),
+    reach AS (SELECT key, min(depth) AS depth FROM walk GROUP BY key)
     SELECT j.page_id, CAST(r.depth AS INTEGER) AS depth, j.url,
            CASE WHEN reason = 'follow' AND depth >= 3 THEN 'depth' ELSE reason END AS reason
-    FROM judged j JOIN reach r ON r.url = j.page_url""",
+    FROM judged j JOIN reach r ON r.key = {key_sql('j.page_url')}""",
 )
 def crawl_query(spark, folder):
     seeds = table(spark, folder, "pages").where(F.contains("url", F.lit("spam"))).select("url")
@@ -299,20 +306,21 @@ def crawl_query(spark, folder):
 
 @query(
     "not_crawled",
-    f"""WITH {LINKS}, requests AS (SELECT url FROM links UNION SELECT url FROM pages WHERE NOT contains(url, '#'))
-    SELECT r.url FROM requests r WHERE r.url NOT IN (SELECT url FROM pages)""",
+    f"""WITH {LINKS}, requests AS (SELECT url FROM links UNION SELECT url FROM pages)
+    SELECT min(url) AS url FROM requests WHERE {key_sql('url')} NOT IN (SELECT {key_sql('url')} FROM pages WHERE page_id % 2 = 0)
+    GROUP BY {key_sql('url')}""",
 )
 def not_crawled(spark, folder):
-    pages = table(spark, folder, "pages").select("url")
-    requests = page_link_rows(spark, folder).select("url").unionByName(pages.where(~F.contains("url", F.lit("#"))))
-    return ops.not_crawled(requests, pages)
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    requests = page_link_rows(spark, folder).select("url").unionByName(pages.select("url"))
+    return ops.not_crawled(requests, pages.where("page_id % 2 = 0"))
 
 
 OUTCOME = f"""{LOG}, tries AS (
   SELECT *, coalesce(length(stderr), 0) > 5 OR contains(coalesce(stderr, ''), 'HTTP Error 404: Not Found') AS failed,
          contains(coalesce(stderr, ''), 'HTTP Error 429') AS abort FROM log),
 outcome AS (
-  SELECT video_id, count(*) AS attempts, arg_max(failed, attempt) AS rejected, bool_or(abort) AS abort
+  SELECT video_id, count(*) AS attempts, arg_max(failed AND NOT abort, attempt) AS rejected, bool_or(abort) AS abort
   FROM tries GROUP BY video_id)"""
 
 

@@ -106,6 +106,15 @@ CASE WHEN NOT (starts_with(lower(url), 'http:') OR starts_with(lower(url), 'http
 ROUTED = f"{LINKS}, routed AS (SELECT *, {REASON} AS reason FROM links)"
 
 
+def key_sql(url: str) -> str:
+    """What tells requests apart, as SQL: no fragment, arguments sorted, each with an equals sign."""
+    asked = f"regexp_replace({url}, '#.*$', '')"
+    given = f"list_filter(string_split(regexp_extract({asked}, '[?](.*)$', 1), '&'), lambda x: x <> '')"
+    named = f"list_sort(list_transform({given}, lambda x: CASE WHEN contains(x, '=') THEN x ELSE x || '=' END))"
+    path = f"regexp_replace({asked}, '[?].*$', '')"
+    return f"({path} || CASE WHEN len({named}) > 0 THEN '?' || array_to_string({named}, '&') ELSE '' END)"
+
+
 def domain_sql(url: str) -> str:
     host = f"split_part(split_part({url}, '//', 2), '/', 1)"
     return f"CASE WHEN starts_with({host}, 'www.') THEN replace({host}, 'www.', '') ELSE {host} END"
@@ -249,7 +258,7 @@ SCRAPED = """scraped AS (
 
 
 def download_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as download attempts, four per video."""
+    """Events as download attempts, six per video."""
     events = table(spark, folder, "events")
     error = (
         F.when(F.col("event_type") == "error", "ERROR: HTTP Error 404: Not Found")
@@ -258,15 +267,15 @@ def download_log(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_type") == "view", "ok")
     )
     return events.select(
-        F.concat(F.lit("v"), F.floor(F.col("event_id") / 4)).alias("video_id"),
-        (F.col("event_id") % 4 + 1).cast("int").alias("attempt"),
+        F.concat(F.lit("v"), F.floor(F.col("event_id") / 6)).alias("video_id"),
+        (F.col("event_id") % 6 + 1).cast("int").alias("attempt"),
         F.col("props").alias("stdout"),
         error.alias("stderr"),
     )
 
 
 LOG = """log AS (
-  SELECT 'v' || (event_id // 4) AS video_id, CAST(event_id % 4 + 1 AS INTEGER) AS attempt, props AS stdout,
+  SELECT 'v' || (event_id // 6) AS video_id, CAST(event_id % 6 + 1 AS INTEGER) AS attempt, props AS stdout,
          CASE WHEN event_type = 'error' THEN 'ERROR: HTTP Error 404: Not Found'
               WHEN event_type = 'purchase' THEN 'WARNING: no subtitles'
               WHEN event_type = 'signup' AND value > 50 THEN 'ERROR: HTTP Error 429: Too Many Requests'

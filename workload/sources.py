@@ -72,10 +72,16 @@ def read_archive(spark, folder):
     return sources.read_archive(spark, path, kind="video", partitioned=True)
 
 
-@query("read_curated_videos", f"WITH {CURATED} SELECT video_url, speaker_name, speaker_gender, license, channel_name FROM curated")
+@query(
+    "read_curated_videos",
+    f"""WITH {CURATED} SELECT video_url, 'The "Great" ' || speaker_name || ',' || chr(10) || ' Jr' AS speaker_name,
+    speaker_gender, license, channel_name FROM curated""",
+)
 def read_curated_videos(spark, folder):
     path = scratch_path(spark, "curated")
-    curated(spark, folder).drop("pos").write.option("header", True).csv(path)
+    name = F.concat(F.lit('The "Great" '), "speaker_name", F.lit(",\n Jr"))
+    rows = curated(spark, folder).drop("pos").withColumn("speaker_name", name)
+    rows.write.options(header=True, quote='"', escape='"').csv(path)
     return sources.read_curated_videos(spark, path).drop("pos")
 
 
@@ -121,11 +127,6 @@ def read_scraped_triplets(spark, folder):
     return zip_positional(scraped_files(spark, folder)).select("file", "title", "file_type", "download_link")
 
 
-@query("read_media_listing")
-def read_media_listing(spark, folder):
-    return sources.read_media_listing(spark, folder, "*.parquet").select("raw_file_name", "length")
-
-
 @query("read_download_log", f"WITH {LOG} SELECT * FROM log")
 def read_download_log(spark, folder):
     path = scratch_path(spark, "log")

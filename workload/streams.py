@@ -35,10 +35,11 @@ def stream_hours(spark, folder):
     return arrivals.latest_hours(spark, out)
 
 
-@query("stream_dedupe", "SELECT DISTINCT 'https://www.site.example/' || user_id AS url FROM events")
+@query("stream_dedupe", "SELECT DISTINCT 'https://www.site.example/' || user_id AS request FROM events")
 def stream_dedupe(spark, folder):
     out, checkpoint = scratch_path(spark, "stream_urls"), scratch_path(spark, "stream_state")
     events = arrivals.stream_table(spark, folder, EVENTS, "events.parquet")
-    urls = events.select(F.concat(F.lit("https://www.site.example/"), "user_id").alias("url"))
+    urls = events.select(F.concat(F.lit("https://www.site.example/"), "user_id", F.lit("#"), "event_id").alias("url"))
     arrivals.stream_dedupe(urls, out, checkpoint).awaitTermination()
-    return spark.read.schema("url string").parquet(out)
+    # Which of a request's addresses came first is open.
+    return spark.read.schema("url string").parquet(out).select(F.substring_index("url", "#", 1).alias("request"))
