@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gleanwell.llm.bloom import bloom_filter, passing
 from gleanwell.llm.bytesets import mixed, prefix_sums, span_hashes, steps, text_bytes
+from gleanwell.llm.frames import without
 from gleanwell.storage import write_scratch
 
 #: A 1 marks a token that must agree.
@@ -157,5 +158,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no item, with their columns."""
-    leaked = overlaps(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, F.col("doc_id") == F.col("_leaked"), "left_anti")
+    return without(docs, overlaps(docs, benchmark))

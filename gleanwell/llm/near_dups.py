@@ -19,11 +19,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from gleanwell.llm.bytesets import lower_ascii, mixed, prefix_sums, span_hashes, steps, text_bytes, word_spans
 from gleanwell.llm.components import smallest_reachable
+from gleanwell.llm.frames import without
 from gleanwell.storage import write_scratch
 
 SHINGLE = 5
+#: Sets of fewer shingles are as similar as 0.8 only if they are equal.
+SMALLEST = 4
 #: Registers of a sketch; bands of registers that must agree for two texts to be compared. At a similarity of 0.85
-#: no band agrees once in four million pairs; at 0.80, once in twenty-five thousand.
+#: no band agrees once in four million pairs; at 0.80, once in sixteen thousand.
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 #: Base, and scale of the largest number that has a register value of its own.
@@ -140,9 +143,8 @@ def _sketches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[
             size = np.diff(bounds)
             keys = [np.concatenate((np.zeros(1, _U), np.cumsum(mixed(hashes + _U(k)), dtype=_U))) for k in (1, 2)]
             keys = [(k[bounds[1:]] - k[bounds[:-1]]).view(np.int64) for k in keys]
-            # Smaller sets are as similar as 0.8 only if they are equal.
-            large = np.repeat(size > SHINGLE, size)
-            made = sketch(hashes[large], np.concatenate(([0], np.cumsum(np.where(size > SHINGLE, size, 0)))))
+            large = np.repeat(size >= SMALLEST, size)
+            made = sketch(hashes[large], np.concatenate(([0], np.cumsum(np.where(size >= SMALLEST, size, 0)))))
             columns = [ids.slice(a, b - a), pa.array(size), *map(pa.array, keys), pa.array([x.tobytes() for x in made], pa.binary())]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -240,7 +242,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = made.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("least"), F.first("sketch").alias("sketch"))
     classes = write_scratch(classes, "classes")
 
-    large = classes.where(f"n > {SHINGLE} AND least IS NOT NULL").select(F.col("least").alias("doc_id"), "n", "sketch")
+    large = classes.where(f"n >= {SMALLEST} AND least IS NOT NULL").select(F.col("least").alias("doc_id"), "n", "sketch")
     bands = write_scratch(large.mapInPandas(_bands, "band bigint, doc_id bigint"), "bands")
     shared = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("many")).where("many > 1")
     spokes = bands.join(shared.select("band", "hub"), "band").where("hub <> doc_id").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
@@ -267,5 +269,4 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document stays: one of each class of near-duplicates, with its columns."""
-    gone = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return without(docs, near_duplicates(docs, percent).where("NOT kept"))

@@ -102,12 +102,12 @@ class Plan:
 
 
 def digests(docs: DataFrame, old_shards: int, shards: int, kept: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, size, text_crc32, the old shard and the block of every row, and the columns ``kept``."""
+    """doc_id, size, text_crc32, the old shard and the block of every row, and a struct of the columns ``kept``."""
     text = F.coalesce("text", F.lit(""))
     spread = F.xxhash64(text)
     rows = docs.select(
         "doc_id",
-        *kept,
+        F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("_kept"),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         spread.alias("_spread"),
@@ -154,7 +154,7 @@ def reshard(docs: DataFrame, old_shards: int = 16, shards: int = 24, kept: tuple
     placed = rows.withColumn("_place", F.row_number().over(own))
     placed = placed.join(starts, (F.col("_old") == F.col("_o")) & (F.col("_block") == F.col("_b")))
     slot = F.col("_start") + F.col("_place") - 1
-    return placed.select("doc_id", *kept, "size", "text_crc32", F.col("_old").alias("old_shard"), "shard", slot.cast("long").alias("slot"))
+    return placed.select("doc_id", *[F.col(f"_kept.`{c}`") for c in kept], "size", "text_crc32", F.col("_old").alias("old_shard"), "shard", slot.cast("long").alias("slot"))
 
 
 def rewrite_affected(docs: DataFrame, path: str, old_shards: int, shards: int) -> list[int]:
@@ -163,11 +163,12 @@ def rewrite_affected(docs: DataFrame, path: str, old_shards: int, shards: int) -
     ``docs`` are the rows that lie there. Only shards that lose or gain a block are written; they are staged in the
     shared folder first, so that a run that fails half-way can be repeated from there. Returns their numbers.
     """
-    rows = digests(docs, old_shards, shards, tuple(c for c in docs.columns if c != "doc_id"))
+    rows = digests(docs, old_shards, shards, tuple(c for c in docs.columns if c not in ("doc_id", "shard")))
     plan, starts = plan_reshard(rows, old_shards, shards)
     changed = sorted(plan.changed())
     moved = rows.join(starts, (F.col("_old") == F.col("_o")) & (F.col("_block") == F.col("_b"))).where(F.col("shard").isin(changed))
-    staged = write_scratch(moved.select(*docs.columns, "shard"), "shard-staged")
+    columns = [F.col("doc_id") if c == "doc_id" else F.col(f"_kept.`{c}`") for c in docs.columns if c != "shard"]
+    staged = write_scratch(moved.select(*columns, "shard"), "shard-staged")
     out = staged.repartition(F.col("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(8)))
     out.write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return changed
