@@ -83,15 +83,14 @@ def curated_video_ids(curated: DataFrame) -> DataFrame:
     return curated.where(F.col("video_url").isNotNull()).withColumn("video_id", video_id_from_url("video_url"))
 
 
-def videos_by_channel(curated: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+def videos_by_channel(curated: DataFrame) -> DataFrame:
     """Curated videos of each named channel in list order, numbered per channel.
 
     One row per video rather than one list per channel: a list would have to fit one task.
     """
     named = curated.where(F.col("channel_name").isNotNull() & (F.col("channel_name") != ""))
     rows = named.select("channel_name", "pos", "video_id")
-    options = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
-    return dense_position(rows, ["channel_name"], **options).drop("pos")
+    return dense_position(rows, ["channel_name"]).drop("pos")
 
 
 def download_attempts(log: DataFrame) -> DataFrame:

@@ -1,26 +1,17 @@
 """Running totals and positions without one task per group.
 
-A window over a whole group would put a hot group into one task. Here each group is cut
-into chunks along its order: totals per chunk (combined on the map side), a prefix over
-those few totals, and a window inside each chunk. The join to the prefix and the window
-share one partitioning, so the rows are shuffled once.
+A window over a whole group would put a hot group into one task. Here the rows are written once, dealt into ranges of
+about equal size along groups and order, and written again with the number of their range. Totals per group and
+range, a prefix over a group's ranges, and a window inside each range give the rest. A group has as many ranges as
+there are partitions at most, whatever its positions look like: sparse, equal or NULL.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 1 << 20
-CHUNKS_PER_SPAN = 1 << 12
-
-
-def chunk_of(position: Column | str, rows: int = CHUNK_ROWS) -> Column:
-    """Chunk number of an integer position; a chunk spans at most ``rows`` positions."""
-    p = F.col(position) if isinstance(position, str) else position
-    return F.floor(p / F.lit(rows)).cast("bigint")
+from gleanwell.storage import write_scratch
 
 
 def _group_key(name: str) -> Column:
@@ -37,61 +28,44 @@ def _or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0))
 
 
-def _chunk_offsets(totals: DataFrame, groups: list[str], names: list[str]) -> DataFrame:
-    """Sum over the chunks before each chunk, by way of spans of chunks.
-
-    Only the span totals of a group, one row per ``CHUNKS_PER_SPAN`` chunks, meet in a window.
-    """
-    spans = totals.withColumn("_span", chunk_of("_chunk", CHUNKS_PER_SPAN))
-    per_span = spans.groupBy(*groups, "_span").agg(*[F.sum(f"_t_{n}").alias(f"_s_{n}") for n in names])
-    offsets = per_span.select(
-        *groups, "_span", *[F.sum(f"_s_{n}").over(_before(groups, ["_span"])).alias(f"_s_{n}") for n in names]
-    )
-    joined = spans.join(offsets, [*groups, "_span"], "left")
-    inside = _before([*groups, "_span"], ["_chunk"])
-    return joined.select(
-        *groups,
-        "_chunk",
-        *[(_or_zero(F.col(f"_s_{n}")) + _or_zero(F.sum(f"_t_{n}").over(inside))).alias(f"_o_{n}") for n in names],
-    )
-
-
-def running(
-    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], chunk: Column
-) -> DataFrame:
+def running(df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column]) -> DataFrame:
     """Add, for each name in ``values``, the sum over the group's rows *before* the current one.
 
-    ``chunk`` must be an integer that does not decrease along ``order`` within a group, and no
-    chunk may hold more rows than a task can sort. The input is read twice: once for the
-    totals per chunk, combined before they are shuffled, and once for the rows.
+    Rows with a NULL position come first; which of two rows in the same place comes first is open. The input is
+    evaluated once.
     """
     names = list(values)
     groups = [f"_g_{k}" for k in keys]
     rows = df.select(
-        "*", *[_group_key(k).alias(g) for k, g in zip(keys, groups)], F.coalesce(chunk, F.lit(-1)).alias("_chunk")
+        "*",
+        *[_group_key(k).alias(g) for k, g in zip(keys, groups)],
+        *[values[n].alias(f"_v_{n}") for n in names],
+        F.monotonically_increasing_id().alias("_tie"),
     )
-    totals = rows.groupBy(*groups, "_chunk").agg(*[F.sum(values[n]).alias(f"_t_{n}") for n in names])
-    joined = rows.join(_chunk_offsets(totals, groups, names), [*groups, "_chunk"], "left")
-    inside = _before([*groups, "_chunk"], order)
+    rows = write_scratch(rows, "ordered_rows")
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(ranges, *groups, *order, "_tie").withColumn("_range", F.spark_partition_id())
+    dealt = write_scratch(dealt, "ordered_ranges")
+    totals = dealt.groupBy(*groups, "_range").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
+    over = _before(groups, ["_range"])
+    offsets = totals.select(*groups, "_range", *[F.sum(f"_t_{n}").over(over).alias(f"_o_{n}") for n in names])
+    joined = dealt.join(offsets, [*groups, "_range"])
+    inside = _before([*groups, "_range"], [*order, "_tie"])
     return joined.select(
         *df.columns,
-        *[(_or_zero(F.col(f"_o_{n}")) + _or_zero(F.sum(values[n]).over(inside))).alias(n) for n in names],
+        *[(_or_zero(F.col(f"_o_{n}")) + _or_zero(F.sum(f"_v_{n}").over(inside))).alias(n) for n in names],
     )
 
 
-def dense_position(
-    df: DataFrame, keys: list[str], order: str = "pos", name: str = "seq", chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
-    """1-based rank of each row in its group by an integer position."""
-    counted = running(df, keys, [order], {"_before": F.lit(1).cast("bigint")}, chunk_of(order, chunk_rows))
+def dense_position(df: DataFrame, keys: list[str], order: str = "pos", name: str = "seq") -> DataFrame:
+    """1-based rank of each row in its group by a position of any type that can be ordered."""
+    counted = running(df, keys, [order], {"_before": F.lit(1).cast("bigint")})
     return counted.select(*df.columns, (F.col("_before") + 1).alias(name))
 
 
-def batch_plan(
-    videos: DataFrame, batch_size: int, keys: tuple[str, ...] = ("channel_name",), chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
+def batch_plan(videos: DataFrame, batch_size: int, keys: tuple[str, ...] = ("channel_name",)) -> DataFrame:
     """Batch number per pending video: the n-th repetition of "take the next N"."""
-    ranked = dense_position(videos, list(keys), name="_seq", chunk_rows=chunk_rows)
+    ranked = dense_position(videos, list(keys), name="_seq")
     batch = F.floor((F.col("_seq") - 1) / F.lit(batch_size)) + 1
     return ranked.select(*videos.columns, batch.cast("bigint").alias("batch"))
 
@@ -103,7 +77,6 @@ def hours_budget(
     order: str = "pos",
     seconds: str = "duration",
     enabled: bool = True,
-    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Media kept while the hours before them stay under the limit.
 
@@ -113,14 +86,12 @@ def hours_budget(
     if not enabled:
         return media
     exact = F.coalesce(F.col(seconds).cast("decimal(20,3)"), F.lit(0).cast("decimal(20,3)"))
-    summed = running(media, list(keys), [order], {"_spent": exact}, chunk_of(order, chunk_rows))
+    summed = running(media, list(keys), [order], {"_spent": exact})
     return summed.where(F.col("_spent") < F.lit(max_hours * 3600)).select(*media.columns)
 
 
-def uploaded_counts(
-    uploads: DataFrame, keys: tuple[str, ...] = ("channel_name",), chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
+def uploaded_counts(uploads: DataFrame, keys: tuple[str, ...] = ("channel_name",)) -> DataFrame:
     """Files per batch and files so far in the run, by batch number."""
     per_batch = uploads.groupBy(*keys, "batch").agg(F.count(F.lit(1)).alias("files"))
-    total = running(per_batch, list(keys), ["batch"], {"_before": F.col("files")}, chunk_of("batch", chunk_rows))
+    total = running(per_batch, list(keys), ["batch"], {"_before": F.col("files")})
     return total.select(*keys, "batch", "files", (F.col("_before") + F.col("files")).alias("files_so_far"))

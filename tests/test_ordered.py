@@ -8,7 +8,7 @@ def test_batches_and_positions_equal_the_plain_rule(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice(["hot", "hot", "hot", "b", None]), p) for p in rnd.sample(range(5000), 700)]
     frame = spark.createDataFrame(rows, "channel_name string, pos bigint")
-    got = {(r.channel_name, r.pos): r.batch for r in ordered.batch_plan(frame, 7, chunk_rows=100).collect()}
+    got = {(r.channel_name, r.pos): r.batch for r in ordered.batch_plan(frame, 7).collect()}
     for channel in {r[0] for r in rows}:
         for n, pos in enumerate(sorted(p for c, p in rows if c == channel)):
             assert got[channel, pos] == n // 7 + 1
@@ -25,8 +25,8 @@ def test_hours_budget_keeps_the_crossing_item(spark):
         if total < limit * 3600:
             kept.add(pos)
         total += seconds
-    assert {r.pos for r in ordered.hours_budget(frame, limit, chunk_rows=64).collect()} == kept
-    by_source = ordered.hours_budget(frame, 1.0, keys=("source",), chunk_rows=64).collect()
+    assert {r.pos for r in ordered.hours_budget(frame, limit).collect()} == kept
+    by_source = ordered.hours_budget(frame, 1.0, keys=("source",)).collect()
     expected = set()
     for source in "ab":
         total = 0.0

@@ -1,17 +1,18 @@
 """Shape of the physical plans: native expressions, one page scan, no group in one task."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+import workload
 from gleanwell.config import CrawlConfig
 from gleanwell.joins import anti_join, first_per_key, lookup
 from gleanwell.operators import archive as archive_ops
 from gleanwell.operators import ordered
 from gleanwell.operators.links import extract_links
-from gleanwell.plans.web import page_links, page_media
+from gleanwell.plans.web import link_actions_by_domain, page_links, page_media
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -55,16 +56,36 @@ def test_no_window_over_a_whole_group(spark):
     text = plan(ordered.batch_plan(rows, 5))
     windows = re.findall(r"windowspecdefinition\((.*?)specifiedwindowframe", text)
     by_rows = [w for w in windows if "pos#" in w]
-    assert by_rows and all("_chunk#" in w for w in by_rows)
+    assert by_rows and all("_range#" in w for w in by_rows)
 
 
-def test_running_totals_shuffle_the_rows_once(spark, large_joins, tmp_path):
+def test_prefix_is_bounded_whatever_the_positions(spark, tmp_path):
+    """Sparse, equal and NULL positions all give ranges of about equal size."""
+    for k, position in enumerate(("id * 8589934592", "CAST(7 AS bigint)", "CAST(NULL AS bigint)")):
+        rows = spark.range(4000).selectExpr("'c' AS channel_name", f"{position} AS pos", "id")
+        got = ordered.dense_position(rows, ["channel_name"]).collect()
+        assert sorted(r.seq for r in got) == list(range(1, 4001))
+        if not k:
+            assert all(r.seq == r.id + 1 for r in got)
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    newest = max(Path(shared).glob("ordered_ranges-*"), key=lambda p: p.stat().st_mtime)
+    sizes = [r["count"] for r in spark.read.parquet(str(newest)).groupBy("_range").count().collect()]
+    assert 1 < len(sizes) <= many and max(sizes) < 2 * 4000 / many
+
+
+def test_running_totals_shuffle_the_written_rows_once(spark, large_joins, tmp_path):
     spark.range(1000).selectExpr("'c' AS channel_name", "id AS pos", "'x' AS payload").write.parquet(str(tmp_path / "r"))
     text = plan(ordered.batch_plan(spark.read.parquet(str(tmp_path / "r")), 5))
     upper = text[: text.index("FileScan")]
     assert upper.count("Exchange hashpartitioning(_g_channel_name") == 1
 
 
+def test_one_shuffle_counts_links_by_domain(pages):
+    text = plan(link_actions_by_domain(pages, CrawlConfig()))
+    assert text.count("Exchange") == 1
+
+
 @pytest.fixture
 def large_joins(spark):
     settings = {
@@ -108,6 +129,6 @@ def test_hot_key_results_stay_whole(spark, large_joins):
 
 
 def test_no_query_needs_python_workers(spark):
-    for name, run in contract.queries().items():
+    for name, run in workload.QUERIES.items():
         if not name.startswith(("read_", "write_", "stream_", "export_", "append_", "crawl_", "save_", "split_")):
             assert "Python" not in plan(run(spark, FOLDER)), name

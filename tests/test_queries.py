@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import workload
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -27,12 +28,12 @@ def keyed(rows):
     return sorted(tuple((v is None, type(v).__name__, str(v)) for v in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_query_equals_sql(spark, sql, name):
-    frame = contract.queries()[name](spark, FOLDER)
+    frame = workload.QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
     rows = [tuple(r) for r in frame.select(*[f"`{c}`" for c in columns]).collect()]
-    question = contract.oracle_sql().get(name)
+    question = workload.ORACLES.get(name)
     if question is None:
         assert rows
         return
@@ -45,3 +46,5 @@ def test_query_equals_sql(spark, sql, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+    assert workload.QUERIES.items() <= contract.queries().items()
+    assert workload.ORACLES.items() <= contract.oracle_sql().items()

@@ -34,7 +34,7 @@ from workload.registry import (
 )
 def batch_plan(spark, folder):
     pending = pending_videos(videos(spark, folder), archive(spark, folder))
-    return ordered.batch_plan(pending, 5, chunk_rows=256).select("channel_name", "video_id", "batch")
+    return ordered.batch_plan(pending, 5).select("channel_name", "video_id", "batch")
 
 
 _SPENT = "sum(CAST(seconds AS DECIMAL(20, 3))) OVER ({0} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -51,7 +51,7 @@ def timed_files(spark, folder):
     SELECT pos, source, seconds AS duration FROM summed WHERE spent < 7.5 * 3600""",
 )
 def hours_budget(spark, folder):
-    rows = ordered.hours_budget(timed_files(spark, folder), 7.5, chunk_rows=512)
+    rows = ordered.hours_budget(timed_files(spark, folder), 7.5)
     return rows.select("pos", "source", "duration")
 
 
@@ -61,7 +61,7 @@ def hours_budget(spark, folder):
     SELECT pos, source, seconds AS duration FROM summed WHERE spent < 2 * 3600""",
 )
 def hours_budget_by_source(spark, folder):
-    rows = ordered.hours_budget(timed_files(spark, folder), 2, keys=("source",), chunk_rows=512)
+    rows = ordered.hours_budget(timed_files(spark, folder), 2, keys=("source",))
     return rows.select("pos", "source", "duration")
 
 
