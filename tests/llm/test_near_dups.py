@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from gleanwell.llm import near_dups
+from gleanwell.llm import components, near_dups
 from gleanwell.llm.components import smallest_reachable
 from gleanwell.llm.near_dups import keep_one_of_each, near_duplicates, similarity, sketch
 
@@ -77,7 +77,9 @@ def test_sketches_merge_and_estimate():
     assert abs(close - 0.7) < 0.12
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [0, 250_000])
+def test_components(spark, monkeypatch, per_task):
+    monkeypatch.setattr(components, "EDGES_PER_TASK", per_task)
     rnd = random.Random(10)
     links = [(k, k + 1) for k in range(200)] + [(1000 + rnd.randrange(60), 1000 + rnd.randrange(60)) for _ in range(50)] + [(5000, 5000 + k) for k in range(1, 50)]
     root = {x: x for e in links for x in e}
