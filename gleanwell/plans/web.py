@@ -7,13 +7,15 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanwell.config import CrawlConfig
+from gleanwell.config import CC_URL_PREFIXES, LICENSE_TERMS, CrawlConfig
 from gleanwell.functions import html as markup
 from gleanwell.functions.urls import request_key, source_domain
 from gleanwell.operators.archive import media_not_archived
 from gleanwell.operators.crawl import crawl_reach
+from gleanwell.operators.filters import filter_search_results
 from gleanwell.operators.licenses import license_urls
 from gleanwell.operators.links import build_media_items, extract_links, route_links, routing_reason
+from gleanwell.operators.ordered import hours_budget
 from gleanwell.storage import write_scratch
 
 
@@ -31,7 +33,9 @@ def link_actions_by_domain(pages: DataFrame, cfg: CrawlConfig, depth: str | int
     return page_links(named, cfg, depth, keep=("source",)).groupBy("source", "action").agg(F.count(F.lit(1)).alias("links"))
 
 
-def page_media(pages: DataFrame, cfg: CrawlConfig) -> DataFrame:
+def page_media(
+    pages: DataFrame, cfg: CrawlConfig, cc_prefixes=CC_URL_PREFIXES, terms=LICENSE_TERMS
+) -> DataFrame:
     """Media items of pages with their page's licence links.
 
     Nothing is shuffled: links are routed and licences found inside the page's row, and only
@@ -48,7 +52,7 @@ def page_media(pages: DataFrame, cfg: CrawlConfig) -> DataFrame:
         "page_id",
         "page_url",
         "_media",
-        F.when(F.size("_media") > 0, license_urls("html", "_tags", "_base")).alias("license_urls"),
+        F.when(F.size("_media") > 0, license_urls("html", "_tags", "_base", cc_prefixes, terms)).alias("license_urls"),
     )
     # An outer explode gets no inferred filter, which would compute the media a second time.
     rows = licensed.select("page_id", "page_url", "license_urls", F.explode_outer("_media").alias("_m"))
@@ -58,12 +62,27 @@ def page_media(pages: DataFrame, cfg: CrawlConfig) -> DataFrame:
     return build_media_items(found, cfg.language, ("page_id", "pos"), "license_urls")
 
 
-def new_media(pages: DataFrame, archive: DataFrame, cfg: CrawlConfig) -> DataFrame:
+def new_media(pages: DataFrame, archive: DataFrame, cfg: CrawlConfig, **licences) -> DataFrame:
     """Media items still to be fetched: those whose address is not archived for their source."""
-    items = page_media(pages, cfg).withColumn("url", F.get("file_urls", F.lit(0)))
+    items = page_media(pages, cfg, **licences).withColumn("url", F.get("file_urls", F.lit(0)))
     return media_not_archived(items, archive)
 
 
+def media_within_hours(media: DataFrame, cfg: CrawlConfig, order: str = "pos", seconds: str = "duration") -> DataFrame:
+    """Media that a crawl with an hours limit still fetches, in its order; all of them without a limit."""
+    return hours_budget(media, cfg.max_hours, order=order, seconds=seconds, enabled=cfg.hours_limited)
+
+
+def search_crawl(results: DataFrame, pages: DataFrame, cfg: CrawlConfig) -> DataFrame:
+    """The crawl that starts from the links of captured search result pages (url, html).
+
+    Links of the search site itself are left out; the others are the seeds.
+    """
+    found = extract_links(results, keep=()).where(F.col("tag") == "a")
+    seeds = filter_search_results(found.select(F.col("href").alias("url")))
+    return crawl(pages, seeds, cfg)
+
+
 def crawl(pages: DataFrame, seeds: DataFrame, cfg: CrawlConfig) -> DataFrame:
     """Routed links of the captured pages a crawl from the seeds reaches, each at its depth.
 

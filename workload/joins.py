@@ -12,7 +12,7 @@ from gleanwell.operators.channels import curated_video_ids, zip_positional
 from gleanwell.operators.crawl import crawl_reach, search_request_grid
 from gleanwell.plans.channel import channel_metadata, channel_work
 from gleanwell.plans.playlist import playlist_files, playlist_work
-from gleanwell.plans.web import crawl
+from gleanwell.plans.web import crawl, search_crawl
 from gleanwell.config import ChannelPipelineConfig
 from workload.filters import CODES, license_codes
 from workload.registry import (
@@ -282,28 +282,38 @@ def linked_pages(spark, folder):
     return joined.select("page_id", "url", F.concat("html", F.lit("</b>"), added).alias("html"))
 
 
-@query(
-    "crawl",
-    f"""WITH RECURSIVE {LINKS}, tree AS (
+def _crawl_sql(seeds: str) -> str:
+    return f"""WITH RECURSIVE {LINKS}, tree AS (
       SELECT s.page_id, s.url AS page_url, d.url FROM pages s JOIN pages d
       ON d.page_id IN (s.page_id * 2 + 1, s.page_id * 2 + 2, CAST(floor((s.page_id - 1) / 2) AS BIGINT))),
     every AS (SELECT page_id, page_url, url FROM links UNION ALL SELECT page_id, page_url, url FROM tree),
     judged AS (SELECT *, {REASON} AS reason FROM every),
     keyed AS (SELECT {key_sql('page_url')} AS src, {key_sql('url')} AS dst FROM judged WHERE reason = 'follow'),
     walk(key, depth) AS (
-      SELECT {key_sql('url')}, 1 FROM pages WHERE contains(url, 'spam')
+      SELECT {key_sql('url')}, 1 FROM pages WHERE {seeds}
       UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN keyed e ON e.src = w.key WHERE w.depth < 3),
     reach AS (SELECT key, min(depth) AS depth FROM walk GROUP BY key)
     SELECT j.page_id, CAST(r.depth AS INTEGER) AS depth, j.url,
            CASE WHEN reason = 'follow' AND depth >= 3 THEN 'depth' ELSE reason END AS reason
-    FROM judged j JOIN reach r ON r.key = {key_sql('j.page_url')}""",
-)
+    FROM judged j JOIN reach r ON r.key = {key_sql('j.page_url')}"""
+
+
+@query("crawl", _crawl_sql("contains(url, 'spam')"))
 def crawl_query(spark, folder):
     seeds = table(spark, folder, "pages").where(F.contains("url", F.lit("spam"))).select("url")
     routed = crawl(linked_pages(spark, folder), seeds, replace(CRAWL, depth=3))
     return routed.select("page_id", "depth", "url", "reason")
 
 
+@query("search_crawl", _crawl_sql("page_id % 10 = 3"))
+def search_crawl_query(spark, folder):
+    found = table(spark, folder, "pages").where("page_id % 10 = 3")
+    listed = F.concat(F.lit('<a href="'), "url", F.lit('">x</a><a href="/search?q=next">next</a>'))
+    results = found.select(F.lit("https://www.bing.com/search?q=x").alias("url"), listed.alias("html"))
+    routed = search_crawl(results, linked_pages(spark, folder), replace(CRAWL, depth=3))
+    return routed.select("page_id", "depth", "url", "reason")
+
+
 @query(
     "not_crawled",
     f"""WITH {LINKS}, requests AS (SELECT url FROM links UNION SELECT url FROM pages)

@@ -6,8 +6,8 @@ from gleanwell.functions.media import license_code_label, license_label
 from gleanwell.functions.predicates import has_license_terms, is_cc_url
 from gleanwell.operators import licenses as ops
 from gleanwell.operators.links import build_media_items
-from gleanwell.plans.web import page_links
-from workload.registry import CRAWL, LINKS, REASON, domain_sql, page_link_rows, query, table
+from gleanwell.plans.web import new_media, page_links, page_media
+from workload.registry import CRAWL, LINKS, REASON, domain_sql, page_link_rows, query, table, title_sql
 
 CC = ("/th", "/pour")
 TERMS = ("la", "in")
@@ -174,3 +174,30 @@ def attach_page_licenses(spark, folder):
         F.get("file_urls", F.lit(0)).alias("file_url"),
         F.array_join("license_urls", " ").alias("license_urls"),
     )
+
+
+LICENSED_MEDIA = f"""{PAGE_LICENSES}, media AS (
+  SELECT page_id, CAST(pos AS INTEGER) AS pos, {title_sql('url')} AS title, url, {domain_sql('page_url')} AS source,
+         array_to_string(urls, ' ') AS license_urls
+  FROM (SELECT *, {REASON} AS reason FROM links) JOIN (SELECT page_id, urls FROM licenses) USING (page_id)
+  WHERE reason = 'media')"""
+
+
+@query("page_media", f"WITH {LICENSED_MEDIA} SELECT page_id, pos, title, source, license_urls FROM media")
+def page_media_query(spark, folder):
+    items = page_media(table(spark, folder, "pages"), CRAWL, cc_prefixes=CC, terms=TERMS)
+    return items.select("page_id", "pos", "title", "source", F.array_join("license_urls", " ").alias("license_urls"))
+
+
+@query(
+    "new_media",
+    f"""WITH {LICENSED_MEDIA}, archive AS (SELECT source, url FROM media WHERE page_id % 2 = 0)
+    SELECT page_id, pos, url, license_urls FROM media m
+    WHERE NOT EXISTS (SELECT 1 FROM archive a WHERE a.source = m.source AND a.url = m.url)""",
+)
+def new_media_query(spark, folder):
+    pages = table(spark, folder, "pages")
+    fetched = page_media(pages.where("page_id % 2 = 0"), CRAWL)
+    done = fetched.select("source", F.get("file_urls", F.lit(0)).alias("key"))
+    items = new_media(pages, done, CRAWL, cc_prefixes=CC, terms=TERMS)
+    return items.select("page_id", "pos", "url", F.array_join("license_urls", " ").alias("license_urls"))

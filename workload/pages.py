@@ -13,7 +13,7 @@ from gleanwell.operators.links import (
     resolve_links,
     route_links,
 )
-from gleanwell.plans.web import link_actions_by_domain, page_links, page_media
+from gleanwell.plans.web import link_actions_by_domain, page_links
 from workload.registry import (
     CRAWL,
     DECODE,
@@ -96,16 +96,6 @@ def build_media_items_query(spark, folder):
     )
 
 
-@query(
-    "page_media",
-    f"""WITH {ROUTED} SELECT page_id, CAST(pos AS INTEGER) AS pos, {title_sql('url')} AS title,
-    {domain_sql('page_url')} AS source, '' AS license_urls FROM routed WHERE reason = 'media'""",
-)
-def page_media_query(spark, folder):
-    items = page_media(table(spark, folder, "pages"), CRAWL)
-    return items.select("page_id", "pos", "title", "source", F.array_join("license_urls", " ").alias("license_urls"))
-
-
 @query(
     "direct_media_items",
     f"""SELECT {title_sql('url')} AS title, url AS file_url, {domain_sql('url')} AS source, url AS source_url,

@@ -153,28 +153,27 @@ def media_info(spark, folder):
 
 @query(
     "has_kannada",
-    "SELECT doc_id, regexp_matches(text, '[ಀ-೿]') OR contains(lower(text || ' Kannada'), 'kannada') AS named, "
-    "regexp_matches(text, '[ಀ-೿]') AS scripted FROM documents",
+    "SELECT doc_id, doc_id % 3 = 0 AS named, contains(text, ' the ') AS scripted FROM documents",
 )
 def has_kannada(spark, folder):
     docs = table(spark, folder, "documents")
     return docs.select(
         "doc_id",
-        text.has_kannada(F.concat("text", F.lit(" Kannada"))).alias("named"),
-        text.has_kannada("text").alias("scripted"),
+        text.has_kannada(F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" Kannada"))).otherwise(F.col("text"))).alias("named"),
+        text.has_kannada(F.replace("text", F.lit(" the "), F.lit(" ಕನ್ನಡ "))).alias("scripted"),
     )
 
 
 @query(
     "has_tamil",
-    "SELECT doc_id, regexp_matches(text, '[஀-௿]') OR contains(lower(text), 'tamil') AS tamil, "
+    "SELECT doc_id, contains(text, 'p') OR contains(text, 'ü') OR doc_id % 5 = 0 AS tamil, "
     "regexp_matches(text, '[À-ÿ]') OR contains(lower(text), 'the') AS accented FROM documents",
 )
 def has_tamil(spark, folder):
     docs = table(spark, folder, "documents")
     return docs.select(
         "doc_id",
-        text.has_tamil("text").alias("tamil"),
+        text.has_tamil(F.concat(F.translate("text", "pü", "அழ"), F.when(F.col("doc_id") % 5 == 0, " TAMIL").otherwise(""))).alias("tamil"),
         text.has_script("text", "À", "ÿ", "the", whole_word=False).alias("accented"),
     )
 

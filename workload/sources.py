@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from gleanwell import sinks, sources
 from gleanwell.functions.urls import channel_file_key
-from gleanwell.operators.channels import zip_positional
 from gleanwell.operators.ordered import dense_position
 from gleanwell.storage import scratch_path
 from workload.registry import (
@@ -122,9 +121,11 @@ def read_channel_dump_json(spark, folder):
 
 @query("read_scraped_triplets", f"WITH {SCRAPED} SELECT file, title, file_type, download_link FROM scraped")
 def read_scraped_triplets(spark, folder):
-    # One small file per document is the reader's own format; at table scale the files'
-    # contents come as rows, which is what the reader itself hands on.
-    return zip_positional(scraped_files(spark, folder)).select("file", "title", "file_type", "download_link")
+    path = scratch_path(spark, "scraped")
+    scraped_files(spark, folder).repartition("file").write.partitionBy("file").text(path)
+    rows = sources.read_scraped_triplets(spark, path)
+    name = F.regexp_extract("file", "file=([^/]+)/", 1).alias("file")
+    return rows.select(name, "title", "file_type", "download_link")
 
 
 @query("read_download_log", f"WITH {LOG} SELECT * FROM log")

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from gleanwell.config import ChannelSearchConfig
+from gleanwell.config import ChannelSearchConfig, CrawlConfig
 from gleanwell.operators import channels as ops
 from gleanwell.operators import ordered
 from gleanwell.operators.metadata import media_info
 from gleanwell.plans.harvest import harvest_links
-from gleanwell.operators.archive import pending_videos
+from gleanwell.operators.archive import media_not_archived, pending_videos
+from gleanwell.plans.web import media_within_hours
 from workload.registry import (
     ARCHIVE,
     FILES,
@@ -55,6 +56,20 @@ def hours_budget(spark, folder):
     return rows.select("pos", "source", "duration")
 
 
+@query(
+    "media_within_hours",
+    f"""WITH {FILES}, fresh AS (SELECT * FROM files WHERE pos % 4 <> 0),
+    summed AS (SELECT *, coalesce({_SPENT.format('')}, 0) AS spent FROM fresh)
+    SELECT pos, source, seconds AS duration FROM summed WHERE spent < 3 * 3600""",
+)
+def media_within_hours_query(spark, folder):
+    files = timed_files(spark, folder)
+    done = files.where("pos % 4 = 0").select("source", F.col("pos").cast("string").alias("key"))
+    fresh = media_not_archived(files.withColumn("url", F.col("pos").cast("string")), done)
+    cfg = CrawlConfig(enable_hours_restriction="YES", max_hours=3)
+    return media_within_hours(fresh, cfg).select("pos", "source", "duration")
+
+
 @query(
     "hours_budget_by_source",
     f"""WITH {FILES}, summed AS (SELECT *, coalesce({_SPENT.format('PARTITION BY source')}, 0) AS spent FROM files)
