@@ -12,39 +12,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleanwell.config import CrawlConfig
-from gleanwell.functions.urls import request_key, source_domain, url_title
+from gleanwell.functions.urls import request_key, url_title
 from gleanwell.operators.archive import media_not_archived
-from gleanwell.operators.links import extract_links, route_links
+from gleanwell.plans.web import page_media
 from gleanwell.storage import read_or_empty
 
-MEDIA = "source string, url string, title string, page_url string, batch_id bigint"
+MEDIA = (
+    "source string, url string, title string, page_url string, language string, license_urls array<string>, "
+    "batch_id bigint"
+)
 
 
-def stream_table(spark: SparkSession, folder: str, schema: str, pattern: str | None = None) -> DataFrame:
-    """Parquet files as they arrive in a folder."""
+def stream_table(
+    spark: SparkSession, folder: str, schema: str, pattern: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """Parquet files as they arrive in a folder, at most ``files_per_batch`` of them in a batch."""
     reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(folder)
 
 
-def stream_media(pages: DataFrame, out: str, checkpoint: str, cfg: CrawlConfig, depth: int = 1) -> StreamingQuery:
-    """New pages to media that were never emitted before.
+def stream_media(
+    pages: DataFrame, out: str, checkpoint: str, cfg: CrawlConfig, archive: DataFrame | None = None, **licences
+) -> StreamingQuery:
+    """New pages to media, with language and licence links, that were never emitted before.
 
-    The output itself is the archive: a batch drops what earlier batches hold, and what it
-    holds twice. Looking at earlier batch ids only makes a replay start from the same archive.
+    The output itself is an archive: a batch drops what earlier batches hold, what it holds twice, and what the given
+    ``archive`` (source, key) of other runs holds. Looking at earlier batch ids only makes a replay start from the same
+    archive.
     """
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        routed = route_links(extract_links(batch), cfg, depth=depth)
-        found = routed.where(F.col("action") == "media").select(
-            source_domain("page_url").alias("source"), "url", "page_id", "page_url"
-        )
-        once = found.groupBy("source", "url").agg(F.min_by("page_url", "page_id").alias("page_url"))
+        items = page_media(batch, cfg, **licences)
+        page = F.struct(F.col("source_url").alias("page_url"), "language", "license_urls")
+        found = items.select("source", F.get("file_urls", F.lit(0)).alias("url"), "page_id", page.alias("_page"))
+        once = found.groupBy("source", "url").agg(F.min_by("_page", "page_id").alias("_page"))
         earlier = read_stream_media(spark, out).where(F.col("batch_id") < batch_id)
-        fresh = media_not_archived(once, earlier.select("source", F.col("url").alias("key")))
-        rows = fresh.select("source", "url", url_title("url").alias("title"), "page_url")
+        done = earlier.select("source", F.col("url").alias("key"))
+        if archive is not None:
+            done = done.unionByName(archive.select("source", "key"))
+        fresh = media_not_archived(once, done)
+        rows = fresh.select("source", "url", url_title("url").alias("title"), "_page.*")
         rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return _start(pages.writeStream.foreachBatch(emit), checkpoint)

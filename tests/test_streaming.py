@@ -18,6 +18,20 @@ def test_stream_media_emits_each_item_once(spark, tmp_path):
     assert got == [("http://a.com/x.mp3", 0), ("http://a.com/y.mp3", 1)]
 
 
+def test_stream_media_knows_other_runs_and_replays_alike(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    html = '<a href="/x.mp3">x</a><a href="/y.mp3">y</a><a href="https://creativecommons.org/licenses/by/4.0/">l</a>'
+    spark.createDataFrame([(1, "http://a.com/p", html)], PAGES).coalesce(1).write.parquet(source)
+    archive = spark.createDataFrame([("a.com", "http://a.com/x.mp3"), ("b.com", "http://a.com/y.mp3")], "source string, key string")
+    cfg = CrawlConfig(language="Tamil")
+    for checkpoint in (state, state + "2"):  # without the first one's checkpoint, batch 0 runs again
+        arrivals.stream_media(arrivals.stream_table(spark, source, PAGES), out, checkpoint, cfg, archive).awaitTermination()
+        rows = arrivals.read_stream_media(spark, out).collect()
+        assert [(r.url, r.language, r.license_urls) for r in rows] == [
+            ("http://a.com/y.mp3", "Tamil", ["https://creativecommons.org/licenses/by/4.0/"])
+        ]
+
+
 def test_stream_hours_equals_batch(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     schema = "source string, duration double"

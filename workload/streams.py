@@ -5,21 +5,36 @@ from pyspark.sql import functions as F
 from gleanwell.sources.tables import PAGES
 from gleanwell.storage import scratch_path
 from gleanwell.streaming import arrivals
-from workload.registry import CRAWL, ROUTED, domain_sql, query, title_sql
+from gleanwell.plans.web import page_media
+from workload.licenses import CC, LICENSED_MEDIA, TERMS
+from workload.registry import CRAWL, query, table
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
 @query(
     "stream_media",
-    f"""WITH {ROUTED}, media AS (SELECT {domain_sql('page_url')} AS source, url, page_id, page_url FROM routed WHERE reason = 'media')
-    SELECT source, url, {title_sql('url')} AS title, arg_min(page_url, page_id) AS page_url FROM media GROUP BY source, url""",
+    f"""WITH {LICENSED_MEDIA}, known AS (SELECT source, url FROM media WHERE page_id % 5 = 0)
+    SELECT m.source, m.url, any_value(m.title) AS title, arg_min(p.url, page_id) AS page_url, 'French' AS language,
+    arg_min(license_urls, page_id) AS license_urls
+    FROM media m JOIN pages p USING (page_id)
+    WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.source = m.source AND k.url = m.url) GROUP BY m.source, m.url""",
 )
 def stream_media(spark, folder):
-    out, checkpoint = scratch_path(spark, "stream_media"), scratch_path(spark, "stream_state")
-    pages = arrivals.stream_table(spark, folder, PAGES, "pages.parquet")
-    arrivals.stream_media(pages, out, checkpoint, CRAWL).awaitTermination()
-    return arrivals.read_stream_media(spark, out).select("source", "url", "title", "page_url")
+    out, checkpoint, arrived = (scratch_path(spark, x) for x in ("stream_media", "stream_state", "stream_pages"))
+    pages = table(spark, folder, "pages")
+    # Four files, one after the other, of which each batch takes two.
+    for lower, upper in ((0, 0.1), (0.1, 0.4), (0.4, 0.6), (0.6, 2)):
+        last = pages.agg(F.max("page_id")).first()[0]
+        part = pages.where((F.col("page_id") >= lower * last) & (F.col("page_id") < upper * last))
+        part.coalesce(1).write.mode("append").parquet(arrived)
+    known = page_media(pages.where("page_id % 5 = 0"), CRAWL)
+    known = known.select("source", F.get("file_urls", F.lit(0)).alias("key"))
+    stream = arrivals.stream_table(spark, arrived, PAGES, "*.parquet", files_per_batch=2)
+    licences = {"cc_prefixes": CC, "terms": TERMS}
+    arrivals.stream_media(stream, out, checkpoint, CRAWL, known, **licences).awaitTermination()
+    rows = arrivals.read_stream_media(spark, out)
+    return rows.select("source", "url", "title", "page_url", "language", F.array_join("license_urls", " ").alias("license_urls"))
 
 
 @query(
