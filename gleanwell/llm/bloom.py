@@ -43,7 +43,7 @@ def bloom_filter(hashes: DataFrame) -> np.ndarray:
     marked = hashes.select("seed").mapInPandas(lambda it: _mark(it, bits), "chunk int, bit int").distinct()
     chunks = marked.groupBy("chunk").applyInPandas(_chunk, "chunk int, bytes binary")
     out = np.zeros(bits // 8, np.uint8)
-    for r in chunks.toLocalIterator():
+    for r in chunks.collect():
         out[r.chunk * _CHUNK // 8 : (r.chunk + 1) * _CHUNK // 8] = np.frombuffer(r.bytes, np.uint8)
     return out
 
