@@ -155,9 +155,17 @@ def _cut(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"digit": found["digit"], "hash": found["hash"], "doc_id": frame.doc_id.to_numpy()[run], "at": at})
 
 
+def _twice_or_more(places: DataFrame) -> DataFrame:
+    counts = places.groupBy("digit").agg(F.count("*").alias("n"))
+    return counts.where("n > 1").select(F.col("digit").alias("_digit"))
+
+
 def _split(places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What stands twice or more, and what must go on to the next digit: one of each group of equals."""
-    often = places.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select(F.col("digit").alias("_digit"))
+    """What stands twice or more, and what must go on to the next digit: one of each group of equals.
+
+    Lists of digits are written before they are joined, so that the join can split a digit that stands very often.
+    """
+    often = write_scratch(_twice_or_more(places), "repeat-digits")
     places = write_scratch(places.join(often, F.col("digit") == F.col("_digit"), "left_semi"), "repeat-places")
     key = ["digit", "hash", "range"]
     ranged = places.withColumn("range", F.col("at").bitwiseAND(2**20 - 1))
@@ -165,7 +173,7 @@ def _split(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = write_scratch(groups, "repeat-groups")
     twice = groups.where("many > 1").select(*[F.col(k).alias(f"_{k}") for k in key])
     found = ranged.join(twice, [F.col(k) == F.col(f"_{k}") for k in key], "left_semi").select("doc_id", "at")
-    differ = groups.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select(F.col("digit").alias("_digit"))
+    differ = write_scratch(_twice_or_more(groups), "repeat-digits")
     going = groups.join(differ, F.col("digit") == F.col("_digit"), "left_semi").select("one.doc_id", "one.at")
     return found, going
 
