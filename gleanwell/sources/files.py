@@ -10,45 +10,61 @@ from gleanwell.functions.urls import split_channel_file
 from gleanwell.operators.channels import zip_positional
 from gleanwell.storage import read_or_empty
 
-_FILE_SPAN = 1 << 40
+#: Order of a line in its list; see ``with_position``.
+POSITION = "struct<written: timestamp, write: string, file: string, block: bigint, place: bigint>"
 
 
-def line_position() -> Column:
-    """Order of a line in its list, as one integer (increasing, with gaps).
+def _write_of(name: Column) -> Column:
+    """What files of one write share in their names: the job's id in Spark's part files, else a file's own name."""
+    job = F.regexp_extract(name, r"^part-\d+-(.*?)(?:-c\d+)?(?:\.[^-]*)?$", 1)
+    return F.when(job == "", name).otherwise(job)
 
-    A list may be one file or the numbered part files Spark writes; large files are read in
-    blocks by many tasks. The part number, the block's byte offset and the row's place in its
-    task put the lines in order without a shuffle: a line takes at least one byte, so places
-    in one block never reach the next block's offset.
+
+def _writes(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Each write under ``path`` and when its first file was finished. Files are listed, not read."""
+    listed = spark.read.format("binaryFile").options(**options).load(path)
+    files = listed.select(_write_of(F.col("_metadata.file_name")).alias("_write"), "_metadata.file_modification_time")
+    return files.groupBy("_write").agg(F.min("file_modification_time").alias("_written"))
+
+
+def with_position(lines: DataFrame, path: str, columns: list, **options) -> DataFrame:
+    """``columns`` of lines read from files under ``path``, and ``pos``, their order in their list.
+
+    A list may be one file, several, or the part files of several appends; large files are read in blocks by many
+    tasks. Writes come in the order of time, the files of a write by name (part files are numbered), blocks by byte
+    offset, and lines by their place in the task, so no two lines share a position and nothing is shuffled.
     """
-    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
-    part_no = F.when(part == "", "0").otherwise(part).cast("bigint")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return part_no * F.lit(_FILE_SPAN) + F.col("_metadata.file_block_start") + place
+    name = F.col("_metadata.file_name")
+    placed = lines.select(
+        *columns, _write_of(name).alias("_key"), name.alias("_file"), F.col("_metadata.file_block_start").alias("_block"), place.alias("_place")
+    )
+    joined = placed.join(_writes(lines.sparkSession, path, **options), F.col("_key") == F.col("_write"), "left")
+    position = F.struct(
+        F.col("_written").alias("written"), F.col("_key").alias("write"), F.col("_file").alias("file"),
+        F.col("_block").alias("block"), F.col("_place").alias("place"),
+    )
+    return joined.withColumn("pos", position).drop("_key", "_file", "_block", "_place", "_write", "_written")
 
 
 def read_lines(spark: SparkSession, path: str, group: str | None = None, **options) -> DataFrame:
-    """Lines of text files: ``group``, file, folder, pos, value; empty if the path is missing.
+    """Lines of text files: ``group``, file, folder, value, pos; empty if the path is missing.
 
     ``group`` names the partition column of a ``group=<name>/`` directory layout.
     """
     reader = spark.read.options(**options)
     if group is not None:
         reader = reader.schema(f"value string, `{group}` string")
-    extra = f"`{group}` string, " if group else ""
-    empty = f"{extra}file string, folder string, pos bigint, value string"
-    return read_or_empty(spark, lambda: _positioned(reader.text(path), group), empty)
-
-
-def _positioned(lines: DataFrame, group: str | None) -> DataFrame:
     folder = F.regexp_extract("_metadata.file_path", "([^/]*)/[^/]*$", 1)
-    return lines.select(
+    columns = [
         *([group] if group else []),
         _decoded(F.col("_metadata.file_name")).alias("file"),
         _decoded(folder).alias("folder"),
-        line_position().alias("pos"),
         "value",
-    )
+    ]
+    extra = f"`{group}` string, " if group else ""
+    empty = f"{extra}file string, folder string, value string, pos {POSITION}"
+    return read_or_empty(spark, lambda: with_position(reader.text(path), path, columns, **options), empty)
 
 
 def _decoded(name: Column) -> Column:
@@ -115,7 +131,7 @@ def read_curated_videos(
     for column in (cfg.url_column, cfg.speaker_column, cfg.gender_column):
         if column not in listed.columns:
             raise KeyError(f"{column} is not a column of the curated list")
-    return listed.select("*", line_position().alias("pos"))
+    return with_position(listed, path, ["*"])
 
 
 def read_scraped_files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ def test_line_order_survives_file_splits(spark, tmp_path):
     try:
         read = sources.read_channel_videos(spark, folder)
         assert read.rdd.getNumPartitions() > 5
-        ranked = dense_position(read, ["channel_id"], chunk_rows=1000)
+        ranked = dense_position(read, ["channel_id"])
         got = [r.video_id for r in ranked.where("channel_id = 'UC1'").orderBy("seq").collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -149,3 +152,19 @@ def test_curated_cells_with_quotes_and_line_breaks(spark, tmp_path):
     ]
     one_line = write(tmp_path / "short", "curated.csv", "video_url,speaker_name,speaker_gender\nu1,a,b\n")
     assert sources.read_curated_videos(spark, one_line, multi_line=False).count() == 1
+
+
+def test_order_over_appends_and_several_plain_files(spark, tmp_path):
+    path = str(tmp_path / "lists")
+    for part in (["a", "b"], ["c", "d"], ["e"]):
+        rows = spark.createDataFrame([("L", k, v) for k, v in enumerate(part)], "playlist string, pos int, video_id string")
+        sinks.write_channel_videos(rows, path, channel="playlist", mode="append")
+        time.sleep(1.1)
+    read = sources.read_playlists(spark, path, partitioned=True)
+    assert read.select("pos").distinct().count() == 5
+    assert [r.video_id for r in dense_position(read, ["playlist"]).orderBy("seq").collect()] == list("abcde")
+    for k, name in enumerate(("z.txt", "a.txt")):
+        write(tmp_path / "plain" / "playlist=P", name, f"{name}1\n{name}2\n")
+        os.utime(tmp_path / "plain" / "playlist=P" / name, (1_700_000_000 + k, 1_700_000_000 + k))
+    plain = sources.read_playlists(spark, str(tmp_path / "plain"), partitioned=True)
+    assert [r.video_id for r in plain.orderBy("pos").collect()] == ["z.txt1", "z.txt2", "a.txt1", "a.txt2"]
