@@ -87,10 +87,13 @@ def crawl(pages: DataFrame, seeds: DataFrame, cfg: CrawlConfig) -> DataFrame:
     """Routed links of the captured pages a crawl from the seeds reaches, each at its depth.
 
     Only the last rule depends on the depth. So the links of the whole capture are routed and
-    written once, the traversal runs over that narrow table, and the depth rule comes last;
-    page texts are never shuffled.
+    written once, by action, the traversal reads the followed ones, and the depth rule comes last;
+    page texts are never shuffled. A crawl of the seeds alone writes no links. ``storage.release_scratch`` removes
+    the tables when the result has been written.
     """
-    routed = write_scratch(page_links(pages, replace(cfg, depth=2)), "crawl_links")
+    routed = page_links(pages, replace(cfg, depth=2))
+    if cfg.depth > 1:
+        routed = write_scratch(routed, "crawl_links", partition="action")
     follow = routed.where(F.col("action") == "follow")
     edges = follow.select(F.col("page_url").alias("src_url"), F.col("url").alias("dst_url"))
     reach = crawl_reach(seeds, edges, cfg.depth, written=True).select("key", "depth")

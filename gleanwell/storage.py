@@ -8,8 +8,10 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,14 +33,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def write_scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back, cutting the lineage."""
+def write_scratch(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back, cutting the lineage.
+
+    Filters on column ``partition`` then read only its files. The table stays until ``release_scratch``.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this application has put under scratch paths; results read from there are gone, too.
+
+    To be called when the results of a run have been written elsewhere. Returns how many paths there were.
+    """
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def read_or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:

@@ -12,7 +12,8 @@ from gleanwell.joins import anti_join, first_per_key, lookup
 from gleanwell.operators import archive as archive_ops
 from gleanwell.operators import ordered
 from gleanwell.operators.links import extract_links
-from gleanwell.plans.web import link_actions_by_domain, page_links, page_media
+from gleanwell.plans.web import crawl, link_actions_by_domain, page_links, page_media
+from gleanwell.storage import release_scratch
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -132,3 +133,14 @@ def test_no_query_needs_python_workers(spark):
     for name, run in workload.QUERIES.items():
         if not name.startswith(("read_", "write_", "stream_", "export_", "append_", "crawl_", "save_", "split_")):
             assert "Python" not in plan(run(spark, FOLDER)), name
+
+
+def test_crawl_reads_followed_links_only_and_releases_its_tables(spark, pages):
+    with_links = pages.withColumn("html", F.lit('<a href="/p">p</a><a href="/a.mp3">a</a>'))
+    seeds = pages.select("url").limit(1)
+    routed = crawl(with_links, seeds, CrawlConfig(depth=3))
+    assert routed.count() > 0
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    assert list(shared.glob("crawl_links-*/action=follow"))
+    release_scratch(spark)
+    assert not list(shared.glob("crawl_*-*"))
