@@ -3,7 +3,8 @@
 A mask is a fixed pattern over a window of tokens; only the tokens it marks are hashed, so a window matches even if the
 ignored tokens differ. Hashes of all windows of the benchmark and of the training texts are joined; each hit names a
 document, an item and the distance of their places, and the two texts are then compared along that distance. An
-overlap counts where a stretch of ``STRETCH`` tokens (or the whole of a shorter item) agrees in ``AGREE`` percent.
+overlap counts where a stretch of ``STRETCH`` tokens (or the whole of a shorter item) agrees in ``AGREE`` percent,
+whether it lies inside the text or reaches over its edge.
 
 Before the join a Bloom filter of the benchmark's hashes, of a size with a fixed limit, keeps all but few of the
 other windows on their executors. A larger benchmark only lets more of them pass.
@@ -101,16 +102,19 @@ def _candidates(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Record
 def best_stretch(text: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
     """Along one distance: the stretch of the item that agrees most, as (start in the text, tokens, equal tokens).
 
-    ``shift`` is the place in the text minus the place in the item.
+    ``shift`` is the place in the text minus the place in the item. Tokens of the item beyond an edge of the text agree
+    with nothing; a stretch that begins before the text starts at 0.
     """
     size = min(STRETCH, len(item))
     first, last = max(0, -shift), min(len(item), len(text) - shift)
-    if last - first < size:
+    if last <= first:
         return 0, size, 0
-    equal = np.concatenate(([0], np.cumsum(text[first + shift : last + shift] == item[first:last])))
+    same = np.zeros(len(item), np.int64)
+    same[first:last] = text[first + shift : last + shift] == item[first:last]
+    equal = np.concatenate(([0], np.cumsum(same)))
     sums = equal[size:] - equal[:-size]
     at = int(sums.argmax())
-    return first + shift + at, size, int(sums[at])
+    return max(0, at + shift), size, int(sums[at])
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,8 +133,8 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that overlap benchmark items: doc_id, item_id, start, tokens, equal, distances.
 
-    ``start`` is the token of the text where the best stretch begins, ``equal`` how many of its ``tokens`` agree, and
-    ``distances`` at how many distances the two texts overlap. ``docs`` has doc_id and text, ``benchmark`` item_id and
+    ``start`` is the token of the text where the best stretch begins (0 if before the text), ``equal`` how many of its
+    ``tokens`` agree, and ``distances`` at how many distances the two texts overlap. ``docs`` has doc_id and text, ``benchmark`` item_id and
     text. NULL and empty texts and items overlap nothing, nor do items of fewer tokens than a mask. Rows that share an
     id count as one document or item; rows without id are left out. Empty tables give an empty table.
     """

@@ -69,3 +69,30 @@ def test_filter_odd_and_empty(texts, odd, empty, items):
     assert without_benchmark(frame, table).columns == frame.columns
     assert overlaps(odd, table).count() == 0 and without_benchmark(odd, table).count() == odd.count()
     assert overlaps(empty, table).count() == 0 and overlaps(odd, table.limit(0)).count() == 0
+
+
+def padded_best(text, item):
+    """As ``best``, with places beyond the text's edges that agree with nothing."""
+    wide = [None] * len(item) + text + [None] * len(item)
+    return best(wide, item)
+
+
+def test_passages_cut_at_an_edge(texts, prose, items):
+    rnd = random.Random(21)
+    given, table = items
+    long = given[0].split()
+    values = []
+    for n in range(13, 21):
+        for part in (long[:n], long[-n:], long[9 : 9 + n]):
+            quote, rest = " ".join(part), prose(rnd, 30)
+            values += [f"{quote} {rest}", f"{rest} {quote}", f"{rest} {quote} {rest}", quote]
+    got = {(r.doc_id, r.item_id): (r.start, r.equal, r.tokens) for r in overlaps(texts(values), table).collect()}
+    want = {}
+    for d, text in enumerate(values):
+        for i in range(4):
+            equal, size = padded_best(plain(text), plain(given[i]))
+            if 100 * equal >= AGREE * size:
+                want[d, i] = (equal, size)
+    assert {x: y[1:] for x, y in got.items()} == want and all(y[0] >= 0 for y in got.values())
+    # A quote of 16 of 20 tokens counts in every place.
+    assert {d for d, i in want if i == 0} >= set(range(3 * 12, len(values)))
