@@ -1,11 +1,12 @@
 """Against a search along every distance in plain Python."""
 
+import itertools
 import random
 import re
 
 import pytest
 
-from gleanwell.llm.decontamination import AGREE, MASKS, STRETCH, overlaps, without_benchmark
+from gleanwell.llm.decontamination import AGREE, BY_SIZE, MASKS, STRETCH, overlaps, without_benchmark
 
 
 def plain(text):
@@ -96,3 +97,35 @@ def test_passages_cut_at_an_edge(texts, prose, items):
     assert {x: y[1:] for x, y in got.items()} == want and all(y[0] >= 0 for y in got.values())
     # A quote of 16 of 20 tokens counts in every place.
     assert {d for d, i in want if i == 0} >= set(range(3 * 12, len(values)))
+
+
+def test_every_placement_of_changes_has_a_seed():
+    for size in range(1, STRETCH + 1):
+        marked = [
+            {start + d for d, x in enumerate(mask) if x == "1"} for mask in BY_SIZE[size] for start in range(size - len(mask) + 1)
+        ]
+        for changed in itertools.combinations(range(size), size * (100 - AGREE) // 100):
+            assert any(m.isdisjoint(changed) for m in marked), (size, changed)
+
+
+def test_all_overlaps_of_the_rule_and_no_others(spark, texts, prose):
+    rnd = random.Random(22)
+    given = [prose(rnd, n) for n in [*range(1, 21), 33]]
+    table = spark.createDataFrame(list(enumerate(given)), "item_id bigint, text string")
+    values = [prose(rnd, 60)]
+    for text in given:
+        words = text.split()[:STRETCH]
+        most = len(words) * (100 - AGREE) // 100
+        for extra in (0, 0, 0, 1):
+            new = list(words)
+            for k in rnd.sample(range(len(words)), min(len(words), most + extra)):
+                new[k] = prose(rnd, 1)
+            values += [" ".join([prose(rnd, a), *new, prose(rnd, b)]) for a, b in ((5, 5), (0, 5), (5, 0))]
+    got = {(r.doc_id, r.item_id): (r.equal, r.tokens) for r in overlaps(texts(values), table).collect()}
+    want = {}
+    for d, text in enumerate(values):
+        for i, item in enumerate(given):
+            equal, size = padded_best(plain(text), plain(item))
+            if equal and 100 * equal >= AGREE * size:
+                want[d, i] = (equal, size)
+    assert got == want and {i for _, i in want} == set(range(len(given)))
