@@ -1,26 +1,29 @@
 """Resharding by minimum-cost flow: new shards of given capacities with the fewest bytes moved.
 
-Documents lie in old shards by a hash of their text. Each old shard is cut into blocks by further bits of the hash,
+Documents lie in old shards, at first by a hash of their text. Each old shard is cut into blocks by further bits of the hash,
 so that equal texts share a block; only copies that would fill a large part of a shard are split by document.
 The flow decides how many bytes go from each old shard to each new one: bytes that stay in the shard of the same
-number cost nothing, every other byte costs one. Blocks are then dealt out to meet the flow. Only sizes of shards
-and blocks reach the driver, and their number depends on the shards alone.
+number cost nothing, every other byte costs one. Blocks are then dealt out to meet the flow, and the
+texts are written to the files of their new shards. Only sizes of shards, blocks and files reach the driver, and
+their number depends on the shards alone.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwell.storage import write_scratch
+from gleanwell.storage import scratch_path, write_scratch
 
 #: Blocks of an old shard, a power of two, and the bytes of other columns in a row.
 BLOCKS = 512
 ROW_BYTES = 8
 #: Copies of one text stay together up to this share of a new shard; beyond it they are split by document.
 GROUP_SHARE, PIECES = 1 / 8, 64
+#: Files of a shard.
+PARTS = 8
 
 
 def shard_sizes(old: list[int], shards: int) -> list[int]:
@@ -101,27 +104,35 @@ class Plan:
         return taken | given
 
 
-def digests(docs: DataFrame, old_shards: int, shards: int, kept: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, size, text_crc32, the old shard and the block of every row, and a struct of the columns ``kept``."""
+def blocked(docs: DataFrame, old_shards: int, shards: int, layout: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A table of sizes, and ``docs`` itself, both with the old shard ``_old`` and the block ``_block`` of every row.
+
+    The old shard is column ``layout``; without one, in a first layout, it is a hash of the text. The table of sizes has
+    doc_id, size and text_crc32 and is written; ``docs`` keeps its columns and is not.
+    """
     text = F.coalesce("text", F.lit(""))
     spread = F.xxhash64(text)
-    rows = docs.select(
-        "doc_id",
-        F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("_kept"),
-        (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        spread.alias("_spread"),
-        F.pmod(spread, F.lit(old_shards)).cast("int").alias("_old"),
-        F.pmod(F.shiftright(spread, 32), F.lit(BLOCKS)).cast("int").alias("_block"),
-    )
+    old = F.col(f"`{layout}`") if layout else F.pmod(spread, F.lit(old_shards))
+    size = (F.octet_length(text) + ROW_BYTES).cast("long")
+    rows = docs.select("doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), spread.alias("_spread"), old.cast("int").alias("_old"))
     rows = write_scratch(rows, "shard-digests")
     total = rows.agg(F.sum("size")).first()[0] or 0
     # So many groups at most as the share allows: shards / GROUP_SHARE.
     large = rows.groupBy("_spread").agg(F.sum("size").alias("_all")).where(F.col("_all") > F.lit(GROUP_SHARE * total / shards))
-    large = write_scratch(large.select(F.col("_spread").alias("_large")), "shard-large-groups")
-    piece = (F.lit(BLOCKS) + F.pmod(F.xxhash64("doc_id"), F.lit(PIECES))).cast("int")
-    cut = rows.join(large, F.col("_spread") == F.col("_large"), "left")
-    return cut.withColumn("_block", F.when(F.col("_large").isNull(), F.col("_block")).otherwise(piece)).drop("_large", "_spread")
+    large = [r["_spread"] for r in large.collect()]
+
+    def block(spread: Column) -> Column:
+        piece = F.lit(BLOCKS) + F.pmod(F.xxhash64("doc_id"), F.lit(PIECES))
+        own = F.pmod(F.shiftright(spread, 32), F.lit(BLOCKS))
+        return (F.when(spread.isin(large), piece).otherwise(own) if large else own).cast("int")
+
+    cut = rows.withColumn("_block", block(F.col("_spread"))).drop("_spread")
+    return cut, docs.withColumns({"_old": old.cast("int"), "_block": block(spread)})
+
+
+def digests(docs: DataFrame, old_shards: int, shards: int, layout: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, the old shard and the block of every row."""
+    return blocked(docs, old_shards, shards, layout)[0]
 
 
 def plan_reshard(rows: DataFrame, old_shards: int, shards: int) -> tuple[Plan, DataFrame]:
@@ -129,6 +140,8 @@ def plan_reshard(rows: DataFrame, old_shards: int, shards: int) -> tuple[Plan, D
     sums = rows.groupBy("_old", "_block").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
     blocks: dict[int, dict[int, int]] = {i: {} for i in range(old_shards)}
     for r in sums:
+        if r["_old"] not in blocks:
+            raise ValueError(f"rows lie in shard {r['_old']}, which is none of the {old_shards} old ones")
         blocks[r["_old"]][r["_block"]] = r["size"]
     old = [sum(blocks[i].values()) for i in range(old_shards)]
     flow = cheapest_moves(old, shard_sizes(old, shards))
@@ -141,34 +154,72 @@ def plan_reshard(rows: DataFrame, old_shards: int, shards: int) -> tuple[Plan, D
     return plan, rows.sparkSession.createDataFrame(starts, "_o int, _b int, shard int, _start long")
 
 
+def _new_shard(plan: Plan) -> Column:
+    """The new shard of ``_old`` and ``_block``, looked up in a constant that has one number per block."""
+    wide = BLOCKS + PIECES
+    numbers = ",".join(str(plan.target[i].get(b, -1)) for i in sorted(plan.target) for b in range(wide))
+    return F.split(F.lit(numbers), ",").cast("array<int>")[F.col("_old") * wide + F.col("_block")]
+
+
+def _write_shards(rows: DataFrame, path: str) -> None:
+    """Write rows to one directory per shard, each in up to PARTS files."""
+    dealt = rows.repartition(F.col("shard"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)))
+    dealt.write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def reshard(docs: DataFrame, old_shards: int = 16, shards: int = 24, kept: tuple[str, ...] = ()) -> DataFrame:
-    """Where every document goes: doc_id, ``kept``, size, text_crc32, old_shard, shard, slot.
+    """Move every document to its new shard: doc_id, ``kept``, size, text_crc32, old_shard, shard, slot.
 
-    Slots count the rows of a shard from 0 without gaps. NULL and empty texts have ROW_BYTES bytes. Repeated rows are
-    kept, each in a slot of its own; which of two equal rows comes first is open. Columns that are not named are
-    ignored; an empty table gives an empty table.
+    ``docs`` has no layout yet; its old shards are those of the hash. The texts are written to new files, one directory
+    per shard below the shared folder, and what is returned is read from these. Slots count the rows of a shard from 0
+    without gaps, in the order of its files and of the rows in them. NULL and empty texts have ROW_BYTES bytes.
+    Repeated rows are kept, each in a slot of its own. Columns that are not named are ignored; an empty table gives an
+    empty table.
     """
-    rows = write_scratch(digests(docs, old_shards, shards, kept), "shard-blocks")
-    _, starts = plan_reshard(rows, old_shards, shards)
-    own = Window.partitionBy("_old", "_block").orderBy("doc_id", "text_crc32", "size")
-    placed = rows.withColumn("_place", F.row_number().over(own))
-    placed = placed.join(starts, (F.col("_old") == F.col("_o")) & (F.col("_block") == F.col("_b")))
-    slot = F.col("_start") + F.col("_place") - 1
-    return placed.select("doc_id", *[F.col(f"_kept.`{c}`") for c in kept], "size", "text_crc32", F.col("_old").alias("old_shard"), "shard", slot.cast("long").alias("slot"))
+    spark = docs.sparkSession
+    carried = docs.select("doc_id", "text", F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("_kept"))
+    sizes, rows = blocked(carried, old_shards, shards)
+    plan, _ = plan_reshard(sizes, old_shards, shards)
+    moved = rows.withColumn("shard", _new_shard(plan)).select("doc_id", "text", "_kept", "_old", "shard")
+    path = scratch_path(spark, "shards")
+    _write_shards(moved, path)
+    written = spark.read.schema(moved.schema).parquet(path).withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+
+    # Names and rows of files: shards times PARTS at most.
+    before, starts = [0] * shards, []
+    for r in sorted(written.groupBy("shard", "_file").count().collect()):
+        starts.append((r["shard"], r["_file"], before[r["shard"]]))
+        before[r["shard"]] += r["count"]
+    starts = spark.createDataFrame(starts, "_s int, _f string, _start long")
+    placed = written.join(starts, (F.col("shard") == F.col("_s")) & (F.col("_file") == F.col("_f")))
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id",
+        *[F.col(f"_kept.`{c}`") for c in kept],
+        (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.col("_old").alias("old_shard"),
+        "shard",
+        (F.col("_start") + F.col("_row")).cast("long").alias("slot"),
+    )
 
 
 def rewrite_affected(docs: DataFrame, path: str, old_shards: int, shards: int) -> list[int]:
     """Bring the files under ``path`` (one directory ``shard=K`` each) from the old layout to the new one.
 
-    ``docs`` are the rows that lie there. Only shards that lose or gain a block are written; they are staged in the
-    shared folder first, so that a run that fails half-way can be repeated from there. Returns their numbers.
+    ``docs`` are the rows that lie there, with their column shard. Only shards that lose or gain a block are written; they
+    are staged in the shared folder first, so that a run that fails half-way can be repeated from there. Directories
+    of shards that lose all rows are deleted. Returns the numbers of all these shards.
     """
-    rows = digests(docs, old_shards, shards, tuple(c for c in docs.columns if c not in ("doc_id", "shard")))
-    plan, starts = plan_reshard(rows, old_shards, shards)
+    spark = docs.sparkSession
+    sizes, rows = blocked(docs, old_shards, shards, "shard")
+    plan, _ = plan_reshard(sizes, old_shards, shards)
     changed = sorted(plan.changed())
-    moved = rows.join(starts, (F.col("_old") == F.col("_o")) & (F.col("_block") == F.col("_b"))).where(F.col("shard").isin(changed))
-    columns = [F.col("doc_id") if c == "doc_id" else F.col(f"_kept.`{c}`") for c in docs.columns if c != "shard"]
-    staged = write_scratch(moved.select(*columns, "shard"), "shard-staged")
-    out = staged.repartition(F.col("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(8)))
-    out.write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "shard"]
+    moved = rows.select(*columns, _new_shard(plan).alias("shard")).where(F.col("shard").isin(changed))
+    staged = write_scratch(moved, "shard-staged")
+    _write_shards(staged, path)
+    for shard in set(changed) - {r["shard"] for r in staged.select("shard").distinct().collect()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     return changed

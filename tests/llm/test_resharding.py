@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from gleanwell import storage
 from gleanwell.llm.resharding import cheapest_moves, digests, plan_reshard, reshard, rewrite_affected, shard_sizes
 
 
@@ -79,3 +80,38 @@ def test_rewrite_touches_only_what_changes(spark, corpus, tmp_path):
 
 def test_odd_and_empty(odd, empty):
     assert reshard(odd).count() == odd.count() and reshard(empty).count() == 0
+
+
+def test_two_reshards_in_a_row_and_fewer_shards(spark, corpus, tmp_path):
+    path = str(tmp_path / "shards")
+    plain = corpus.select("doc_id", "text", "lang")
+    spread = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(3)).cast("int")
+    plain.withColumn("shard", spread).repartition("shard").write.partitionBy("shard").parquet(path)
+    want, now = sorted(map(str, plain.collect())), 3
+    for shards in (5, 2, 4):
+        before = {(r.doc_id, r.text): r.shard for r in spark.read.parquet(path).collect()}
+        files = {x.name: {f.name for f in x.iterdir()} for x in (tmp_path / "shards").glob("shard=*")}
+        changed = rewrite_affected(spark.read.parquet(path), path, now, shards)
+        after = spark.read.parquet(path)
+        assert sorted(map(str, after.select(*plain.columns).collect())) == want
+        sizes = defaultdict(int)
+        for r in after.collect():
+            sizes[r.shard] += len((r.text or "").encode()) + 8
+            assert before[r.doc_id, r.text] == r.shard or {before[r.doc_id, r.text], r.shard} <= set(changed)
+        assert set(sizes) == set(range(shards)) and max(sizes.values()) - min(sizes.values()) < 0.1 * sum(sizes.values())
+        assert {x.name for x in (tmp_path / "shards").glob("shard=*")} == {f"shard={k}" for k in range(shards)}
+        for name, those in files.items():
+            if int(name.split("=")[1]) not in changed:
+                assert {f.name for f in (tmp_path / "shards" / name).iterdir()} == those
+        now = shards
+    with pytest.raises(ValueError):
+        rewrite_affected(spark.read.parquet(path), path, 2, 4)
+
+
+def test_reshard_writes_the_texts(spark, corpus):
+    before = set(storage._scratch.get(spark.sparkContext.applicationId, []))
+    rows = {r.doc_id: r for r in reshard(corpus, old_shards=6, shards=4).collect()}
+    path = next(x for x in storage._scratch[spark.sparkContext.applicationId] if x not in before and "/shards-" in x)
+    found = spark.read.parquet(path).collect()
+    assert {r.doc_id: (r.text, r.shard) for r in found} == {r.doc_id: (r.text, rows[r.doc_id].shard) for r in corpus.collect()}
+    assert len(found) == len(rows) and {r.shard for r in found} == set(range(4))
