@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanwell.llm.decontamination import overlaps
 from gleanwell.llm.frames import remainder, table
+from gleanwell.llm.id_files import id_index, write_ids
 from gleanwell.llm.language_id import identify
 from gleanwell.llm.lm_scoring import score_texts
 from gleanwell.llm.mixing import mix
@@ -18,6 +19,7 @@ from gleanwell.llm.quality_rules import judge
 from gleanwell.llm.repeats import remove_repeats
 from gleanwell.llm.resharding import reshard
 from gleanwell.llm.token_counts import Vocabulary, count_tokens
+from gleanwell.storage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +85,12 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), Vocabulary.read())
+
+
+@query
+def op11_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = scratch_path(spark, "token_ids")
+    write_ids(table(spark, folder, "documents"), files, public_tokenizers.path("word_bpe_49k.json"))
+    return id_index(spark, files)
