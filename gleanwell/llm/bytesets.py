@@ -46,13 +46,22 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
+def blank_bytes() -> np.ndarray:
+    """Which of the 256 bytes are white space (9-13 and 32)."""
+    return np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs of bytes other than 9-13 and 32) and words per row.
 
     ``offsets`` are the rows' bounds in ``data``; no word crosses one.
     """
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    n = len(data)
+    return runs(~((data == 32) | ((data >= 9) & (data <= 13))), offsets)
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True, and runs per row; no run crosses a bound in ``offsets``."""
+    n = len(inside)
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     before = np.concatenate(([False], inside[:-1])) if n else inside
@@ -63,6 +72,27 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, per_row
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the rows, longer ones cut before a ``parting`` byte after about ``most`` bytes, and each piece's row.
+
+    ``parting`` says of each of the 256 bytes whether it lies between words. A row without such a byte stays whole.
+    """
+    cuts: list[tuple[int, int]] = []
+    for row in np.flatnonzero(np.diff(offsets) > most):
+        at, end = int(offsets[row]), int(offsets[row + 1])
+        while end - at > most:
+            at += most
+            while at < end and not (found := parting[data[at : min(at + most, end)]]).any():
+                at = min(at + most, end)
+            if at < end:
+                at += int(found.argmax())
+                cuts.append((at, int(row)))
+    bounds = np.concatenate((offsets, np.array([c for c, _ in cuts], np.int64)))
+    rows = np.concatenate((np.arange(len(offsets)), np.array([r for _, r in cuts], np.int64)))
+    order = np.lexsort((bounds, rows))
+    return bounds[order], rows[order][:-1]
+
+
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     if len(_powers[0]) < n:

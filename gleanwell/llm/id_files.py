@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwell.llm.bytesets import prefix_sums, span_hashes, text_bytes, word_spans
+from gleanwell.llm.bytesets import blank_bytes, pieces, prefix_sums, span_hashes, steps, text_bytes, word_spans
 from gleanwell.operators.ordered import running
 
 #: Ids and bits of a word by selector; the counts of an escape and of a run are in the word.
@@ -198,26 +198,8 @@ class WordIds:
         return size, self.ids[np.repeat(first - before, size) + np.arange(size.sum())]
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bounds of rows, longer ones cut at white space after about ``STEP_BYTES``, and the row of each piece."""
-    long = np.flatnonzero(np.diff(offsets) > STEP_BYTES)
-    cuts = []
-    for row in long:
-        at, end = offsets[row], offsets[row + 1]
-        while end - at > STEP_BYTES:
-            tail = data[at + STEP_BYTES : end]
-            blank = (tail == 32) | ((tail >= 9) & (tail <= 13))
-            at = at + STEP_BYTES + (int(blank.argmax()) if blank.any() else len(tail))
-            if at < end:
-                cuts.append((at, row))
-    bounds = np.concatenate((offsets, np.array([c for c, _ in cuts], np.int64)))
-    rows = np.concatenate((np.arange(len(offsets)), np.array([r for _, r in cuts], np.int64)))
-    order = np.lexsort((bounds, rows))
-    return bounds[order], rows[order][:-1]
-
-
 def _encode(batches: Iterator[pa.RecordBatch], model, end_id: int) -> Iterator[pa.RecordBatch]:
-    words = WordIds(model.value)
+    words, blank = WordIds(model.value), blank_bytes()
     docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     ids: list[np.ndarray] = []
     waiting = 0
@@ -240,12 +222,9 @@ def _encode(batches: Iterator[pa.RecordBatch], model, end_id: int) -> Iterator[p
         column = batch.column(batch.schema.get_field_index("doc_id"))
         known = np.asarray(column.is_valid())
         numbers = np.asarray(column.cast(pa.int64()).fill_null(0))
-        bounds, rows = _pieces(data, offsets)
+        bounds, rows = pieces(data, offsets, blank, STEP_BYTES)
         open_ids = 0
-        a = 0
-        while a < len(rows):
-            b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + STEP_BYTES, "right")) - 1)
-            b = min(b, len(rows))
+        for a, b in steps(bounds, STEP_BYTES):
             part, cut = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
             starts, ends, per_piece = word_spans(part, cut)
             size, found = words.of(part, starts, ends)
@@ -264,7 +243,6 @@ def _encode(batches: Iterator[pa.RecordBatch], model, end_id: int) -> Iterator[p
             # Only whole documents are written.
             if waiting >= SEGMENT_IDS and not open_ids:
                 yield from flush()
-            a = b
     if docs:
         yield from flush()
 

@@ -11,6 +11,7 @@ from gleanwell.llm.decontamination import overlaps
 from gleanwell.llm.frames import remainder, table
 from gleanwell.llm.id_files import id_index, write_ids
 from gleanwell.llm.language_id import identify
+from gleanwell.llm.lexical_search import top_documents
 from gleanwell.llm.lm_scoring import score_texts
 from gleanwell.llm.mixing import mix
 from gleanwell.llm.near_dups import near_duplicates
@@ -94,3 +95,8 @@ def op11_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     files = scratch_path(spark, "token_ids")
     write_ids(table(spark, folder, "documents"), files, public_tokenizers.path("word_bpe_49k.json"))
     return id_index(spark, files)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), best=50)
