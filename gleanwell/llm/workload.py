@@ -15,6 +15,7 @@ from gleanwell.llm.lexical_search import top_documents
 from gleanwell.llm.lm_scoring import score_texts
 from gleanwell.llm.mixing import mix
 from gleanwell.llm.near_dups import near_duplicates
+from gleanwell.llm.prefix_trie import prefix_trie
 from gleanwell.llm.quality_cnn import classify
 from gleanwell.llm.quality_rules import judge
 from gleanwell.llm.repeats import remove_repeats
@@ -100,3 +101,8 @@ def op11_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return top_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), best=50)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"))
