@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwell.llm.bytesets import blank_bytes, pieces, prefix_sums, span_hashes, steps, text_bytes, word_spans
+from gleanwell.llm.bytesets import STEP_BYTES, blank_bytes, pieces, prefix_sums, span_hashes, steps, text_bytes, word_spans
 from gleanwell.operators.ordered import running
 
 #: Ids and bits of a word by selector; the counts of an escape and of a run are in the word.
@@ -42,28 +42,53 @@ END = "\0" * 8
 #: Ids in a segment, unless one document has more; segments in a file.
 SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 32
-#: Bytes of text that one vector step takes, and distinct words whose ids a task remembers.
-STEP_BYTES = 6_000_000
+#: Distinct words whose ids a task remembers, and new words given to the tokenizer at once.
 REMEMBERED = 1_500_000
+NEW_WORDS = 5_000
 
 _U = np.uint64
 
 
-def _steps(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Selector and number of ids of a word that starts at each id; ``ends`` is where that id's block ends."""
+def _steps(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Selector and number of ids of a word that starts at each id; ``cuts`` are the first ids of further blocks."""
     n = len(ids)
-    at = np.arange(n)
-    selector = np.where(ids < _U(1 << 60), 15, ESCAPE).astype(np.int8)
+    # The least selector whose width holds an id, and then all of the ids from each place on; what follows the last is 0.
+    need = np.zeros(n + int(COUNTS.max()), np.uint8)
+    for s in range(2, 16):
+        need[:n] += ids >= _U(1 << int(BITS[s]))
+    need += 2
+    widest = {1: need}
+
+    def over(count: int) -> np.ndarray:
+        """The widest need among ``count`` ids."""
+        if count not in widest:
+            half = 1 << (count - 1).bit_length() - 1
+            first, rest = over(half), over(count - half)
+            out = first.copy()
+            np.maximum(first[: len(out) - half], rest[half:], out=out[: len(out) - half])
+            widest[count] = out
+        return widest[count]
+
+    selector = np.where(need[:n] > 15, ESCAPE, 15).astype(np.int8)
     for s in range(14, 1, -1):
-        over = np.zeros(n + 1, np.int32)
-        np.cumsum(ids >= _U(1 << int(BITS[s])), out=over[1:])
-        selector[over[np.minimum(at + COUNTS[s], ends)] == over[:-1]] = s
+        np.copyto(selector, s, where=over(int(COUNTS[s]))[:n] <= s)
     size = COUNTS[selector]
-    changes = np.concatenate((np.flatnonzero(ids[1:] != ids[:-1]) + 1, [n]))
-    alike = np.minimum(changes[np.searchsorted(changes, at, "right")], ends) - at
-    runs = (alike > size) & (ids < _U(1 << 32))
-    selector[runs] = RUN
-    return selector, np.minimum(np.where(runs, alike, size), ends - at)
+    # Ids of the same value, where they are more than the word would hold.
+    again = np.zeros(n + 1, bool)
+    again[1:-1] = (ids[1:] == ids[:-1]) & (ids[1:] < _U(1 << 32))
+    again[cuts] = False
+    edges = np.flatnonzero(again[1:] != again[:-1])
+    starts, length = edges[::2], edges[1::2] - edges[::2] + 1
+    upto = np.cumsum(length)
+    at = np.repeat(starts - (upto - length), length) + np.arange(length.sum())
+    alike = np.repeat(starts + length, length) - at
+    more = alike > size[at]
+    selector[at[more]] = RUN
+    size[at[more]] = alike[more]
+    left = BLOCK - np.arange(BLOCK)
+    left = np.resize(left, n)
+    left[n - n % BLOCK :] -= -n % BLOCK
+    return selector, np.minimum(size, left)
 
 
 def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,8 +98,7 @@ def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(1, _U), np.zeros(0, _U), np.zeros(0, _U)
     firsts = np.arange(0, n, BLOCK)
-    ends = np.minimum(np.repeat(firsts + BLOCK, BLOCK)[:n], n)
-    selector, size = _steps(ids, ends)
+    selector, size = _steps(ids, firsts[1:])
     # Words follow each other inside a block, all blocks side by side.
     begins = np.zeros(n, bool)
     place, limit = firsts, np.minimum(firsts + BLOCK, n)
@@ -187,10 +211,14 @@ class WordIds:
         if new.any():
             whole = data.tobytes()
             texts = [whole[starts[k] : ends[k]].decode("utf-8", "replace") for k in place[new]]
-            found = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-            numbers = len(self.bounds) - 1 + np.arange(len(found))
-            self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in found])))
-            self.ids = np.concatenate((self.ids, np.array([i for x in found for i in x], np.uint32)))
+            numbers = len(self.bounds) - 1 + np.arange(len(texts))
+            sizes, ids = [], [self.ids]
+            for k in range(0, len(texts), NEW_WORDS):
+                found = [e.ids for e in self.model.encode_batch_fast(texts[k : k + NEW_WORDS], add_special_tokens=False)]
+                sizes += [len(x) for x in found]
+                ids.append(np.array([i for x in found for i in x], np.uint32))
+            self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+            self.ids = np.concatenate(ids)
             self.hashes, self.numbers = np.insert(self.hashes, at[new], distinct[new]), np.insert(self.numbers, at[new], numbers)
         number = self.numbers[np.searchsorted(self.hashes, distinct)][word.reshape(-1)]
         first, size = self.bounds[number], self.bounds[number + 1] - self.bounds[number]
