@@ -20,8 +20,11 @@ rules, and a lost executor costs the tasks it ran. File names sort by part and f
 from __future__ import annotations
 
 import os
+import sys
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,7 @@ END = "\0" * 8
 #: Ids in a segment, unless one document has more; segments in a file.
 SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 32
-#: Distinct words whose ids a task remembers, and new words given to the tokenizer at once.
+#: Distinct words whose ids a process remembers, and new words given to the tokenizer at once.
 REMEMBERED = 1_500_000
 NEW_WORDS = 5_000
 
@@ -188,6 +191,15 @@ class WordIds:
     White space parts words and has no ids, so a text's ids are those of its words, one after the other.
     """
 
+    @classmethod
+    def here(cls, model: str) -> WordIds:
+        """The ones this process keeps for the tokenizer, so that a worker's next tasks know the words of its last."""
+        kept = sys.modules.setdefault("gleanwell_word_ids", ModuleType("gleanwell_word_ids")).__dict__
+        key = zlib.crc32(model.encode())
+        if kept.get("key") != key:
+            kept["key"], kept["words"] = key, cls(model)
+        return kept["words"]
+
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
@@ -209,14 +221,14 @@ class WordIds:
         inside = at < len(self.hashes)
         new[inside] = self.hashes[at[inside]] != distinct[inside]
         if new.any():
-            whole = data.tobytes()
-            texts = [whole[starts[k] : ends[k]].decode("utf-8", "replace") for k in place[new]]
+            whole, fresh = data.tobytes(), place[new]
+            texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())]
             numbers = len(self.bounds) - 1 + np.arange(len(texts))
             sizes, ids = [], [self.ids]
             for k in range(0, len(texts), NEW_WORDS):
                 found = [e.ids for e in self.model.encode_batch_fast(texts[k : k + NEW_WORDS], add_special_tokens=False)]
-                sizes += [len(x) for x in found]
-                ids.append(np.array([i for x in found for i in x], np.uint32))
+                sizes += map(len, found)
+                ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
             self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
             self.ids = np.concatenate(ids)
             self.hashes, self.numbers = np.insert(self.hashes, at[new], distinct[new]), np.insert(self.numbers, at[new], numbers)
@@ -227,7 +239,7 @@ class WordIds:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model, end_id: int) -> Iterator[pa.RecordBatch]:
-    words, blank = WordIds(model.value), blank_bytes()
+    words, blank = WordIds.here(model.value), blank_bytes()
     docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     ids: list[np.ndarray] = []
     waiting = 0
