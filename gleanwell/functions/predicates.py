@@ -15,11 +15,14 @@ from gleanwell.config import (
     WIKI_DOMAINS,
     WIKI_PREFIXES,
 )
+from gleanwell.functions import wordtrie
 from gleanwell.functions.text import WHITESPACE, as_column, let, sanitize_text
 
 # Longer lists go through one loop over a constant array: an OR of many terms would make
 # the generated method too large to be compiled.
 MAX_UNROLLED = 12
+# From here on a list is one pattern (see ``wordtrie``), whose time does not grow with it.
+MIN_PATTERN = 40
 
 
 def any_of(text: Column, values: Iterable[str], test: Callable[[Column, Column], Column]) -> Column:
@@ -29,10 +32,22 @@ def any_of(text: Column, values: Iterable[str], test: Callable[[Column, Column],
         return F.lit(False)
     if len(distinct) <= MAX_UNROLLED:
         return reduce(lambda a, b: a | b, [test(text, F.lit(v)) for v in distinct])
+    if len(distinct) >= MIN_PATTERN and "" not in distinct and test in (F.contains, F.startswith, F.endswith):
+        return _any_by_pattern(text, distinct, test)
     constants = F.array(*[F.lit(v) for v in distinct])
     return let(text, lambda t: F.exists(constants, lambda v: test(t, v)))
 
 
+def _any_by_pattern(text: Column, words: list[str], test) -> Column:
+    """The same for long lists: one walk down a trie at each position, or at the start or the end alone."""
+    if test is F.endswith:
+        text, words = F.reverse(text), [w[::-1] for w in words]
+    found = wordtrie.pattern(words)
+    # The position is asked for because its pattern is handed over as a value; that of RLIKE becomes a Java constant,
+    # whose length is limited.
+    return F.regexp_instr(text, F.lit(found if test is F.contains else rf"\A{found}")) > 0
+
+
 def is_http(url: Column | str) -> Column:
     return as_column(url).rlike("(?i)^https?:")
 

@@ -8,35 +8,49 @@ from pyspark.sql import functions as F
 from gleanwell.functions.text import rstrip, sanitize_text
 from gleanwell.functions.urls import channel_file_key, channel_id, clean_channel_name, request_key
 from gleanwell.joins import anti_join
+from gleanwell.operators.bucketed import not_in_bucketed
 
 
-def pending_videos(videos: DataFrame, archive: DataFrame, channel: str = "channel_name") -> DataFrame:
-    """Channel videos not yet in that channel's archive."""
+def pending_videos(
+    videos: DataFrame, archive: DataFrame, channel: str = "channel_name", in_place: bool = False
+) -> DataFrame:
+    """Channel videos not yet in that channel's archive. ``in_place``: the archive is a bucketed table and is not moved."""
+    if in_place:
+        return not_in_bucketed(videos, archive, channel, "video_id")
     done = archive.select(F.col("source").alias(channel), F.col("key").alias("video_id"))
     return anti_join(videos, done, [channel, "video_id"])
 
 
 def next_batch(
-    videos: DataFrame, archive: DataFrame, size: int, channel: str = "channel_name", order: str = "pos"
+    videos: DataFrame, archive: DataFrame, size: int, channel: str = "channel_name", order: str = "pos", in_place: bool = False
 ) -> DataFrame:
-    """The first ``size`` pending videos of each channel, in list order.
+    """The first ``size`` pending videos of each channel, in list order (see ``pending_videos``).
 
     The rank limit is applied per task before the shuffle, so a hot channel sends at most
     ``size`` rows from each.
     """
     position = Window.partitionBy(channel).orderBy(order)
-    pending = pending_videos(videos, archive, channel).withColumn("_n", F.row_number().over(position))
+    pending = pending_videos(videos, archive, channel, in_place).withColumn("_n", F.row_number().over(position))
     return pending.where(F.col("_n") <= size).drop("_n")
 
 
-def media_not_archived(media: DataFrame, archive: DataFrame, source: str = "source", url: str = "url") -> DataFrame:
-    """Media whose address is not in the archive of their source."""
+def media_not_archived(
+    media: DataFrame, archive: DataFrame, source: str = "source", url: str = "url", in_place: bool = False
+) -> DataFrame:
+    """Media whose address is not in the archive of their source. ``in_place``: the archive is a bucketed table."""
+    if in_place:
+        return not_in_bucketed(media, archive, source, url)
     done = archive.select(F.col("source").alias(source), F.col("key").alias(url))
     return anti_join(media, done, [source, url])
 
 
-def playlist_remaining(playlists: DataFrame, archive: DataFrame) -> DataFrame:
-    """Playlist videos not archived under the playlist's name."""
+def playlist_remaining(playlists: DataFrame, archive: DataFrame, in_place: bool = False) -> DataFrame:
+    """Playlist videos not archived under the playlist's name.
+
+    ``in_place``: the archive is a bucketed table, whose keys are taken as they stand.
+    """
+    if in_place:
+        return not_in_bucketed(playlists, archive, "playlist", "video_id")
     done = archive.select(F.col("source").alias("playlist"), rstrip("key").alias("video_id"))
     return anti_join(playlists, done, ["playlist", "video_id"])
 

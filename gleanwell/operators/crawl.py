@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from gleanwell.config import CrawlConfig
 from gleanwell.functions.search import search_term, search_url
 from gleanwell.functions.urls import request_key
 from gleanwell.joins import anti_join, key_set
-from gleanwell.storage import write_scratch
+from gleanwell.storage import stages
 
 
 def search_request_grid(keywords: DataFrame, cfg: CrawlConfig) -> DataFrame:
@@ -19,7 +21,9 @@ def search_request_grid(keywords: DataFrame, cfg: CrawlConfig) -> DataFrame:
     return rows.select("keyword", "page_no", search_url(term, "page_no", cfg.start_offset).alias("url"))
 
 
-def crawl_reach(seeds: DataFrame, links: DataFrame, max_depth: int, written: bool = False) -> DataFrame:
+def crawl_reach(
+    seeds: DataFrame, links: DataFrame, max_depth: int, written: bool = False, name: str | None = None
+) -> DataFrame:
     """Requests a crawl makes and the depth at which it first does: (key, url, depth).
 
     Requests are told apart by ``request_key``; ``url`` is the least of the addresses first met. All captures of an
@@ -27,24 +31,27 @@ def crawl_reach(seeds: DataFrame, links: DataFrame, max_depth: int, written: boo
     Seeds have depth 1 and links are followed while the depth is below ``max_depth``. Each
     level is written to the shared folder and read back, which cuts the lineage and lets a
     lost executor's work be redone from files; the next level is the linked addresses minus
-    those seen. Only the loop over levels runs on the driver.
+    those seen. Only the loop over levels runs on the driver. With a ``name`` a lost driver's crawl goes on behind its
+    last whole level, and a deeper one behind the levels of a shallower (see ``storage.stages``).
     """
     spark = seeds.sparkSession
+    stage = stages(spark, name)
     edges = links.select(request_key("src_url").alias("src_key"), F.col("dst_url").alias("url"))
     if max_depth > 2 and not written:
-        edges = write_scratch(edges, "crawl_edges")
+        unwritten = edges
+        edges = stage("crawl_edges", lambda: unwritten)
 
     def once(urls: DataFrame) -> DataFrame:
         return urls.groupBy(request_key("url").alias("key")).agg(F.min("url").alias("url"))
 
-    levels = [write_scratch(once(seeds), "crawl_level")]
-    while len(levels) < max_depth:
+    def beyond(levels: list[DataFrame]) -> DataFrame:
         frontier = key_set(levels[-1].select(F.col("key").alias("src_key")), ["src_key"])
         reached = edges.join(frontier, "src_key", "left_semi")
-        seen = levels[0]
-        for level in levels[1:]:
-            seen = seen.unionByName(level)
-        fresh = write_scratch(anti_join(once(reached), seen, ["key"]), "crawl_level")
+        return anti_join(once(reached), reduce(DataFrame.unionByName, levels), ["key"])
+
+    levels = [stage("crawl_level=1", lambda: once(seeds))]
+    while len(levels) < max_depth:
+        fresh = stage(f"crawl_level={len(levels) + 1}", lambda: beyond(levels))
         if fresh.isEmpty():
             break
         levels.append(fresh)

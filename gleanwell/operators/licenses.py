@@ -91,8 +91,9 @@ def classify_license_page(
     url: str = "url",
     texts: str = "texts",
     marker: str = CC_MARKER,
+    own_source: str | None = None,
 ) -> DataFrame:
-    """Licence record of a page that was read.
+    """Licence record of a page that was read, of the page's domain or the source in column ``own_source``.
 
     With the marker in any text the page is a Creative Commons record of its address,
     otherwise its texts are the licence. Empty texts at the start vanish, later ones leave
@@ -103,7 +104,7 @@ def classify_license_page(
     return pages.select(
         *keep,
         F.when(marked, "creativecommons").otherwise("html_page").alias("key_name"),
-        source_domain(url).alias("source"),
+        *([source_domain(url).alias("source")] if own_source is None else [own_source] if own_source not in keep else []),
         F.when(marked, F.array(url)).otherwise(F.array().cast("array<string>")).alias("file_urls"),
         F.when(~marked, content).alias("content"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanwell.config import RESULTS_PER_SEARCH_PAGE, CrawlConfig
 from gleanwell.operators.archive import new_archive_rows
+from gleanwell.storage import commit_run
 
 
 def _by(df: DataFrame, column: str) -> DataFrame:
@@ -45,14 +46,21 @@ def write_channel_videos(
     placed.select(channel, "value").write.mode(mode).partitionBy(channel).text(path)
 
 
-def append_archive(consumed: DataFrame, path: str, archive: DataFrame | None = None, video: bool = False) -> None:
+def append_archive(
+    consumed: DataFrame, path: str, archive: DataFrame | None = None, video: bool = False, run: str | None = None
+) -> None:
     """Append consumed keys per source; keys the given archive already holds are left out.
 
-    Video archives hold ``youtube <id>`` lines.
+    Video archives hold ``youtube <id>`` lines. With a ``run`` the keys are added once, however often the run of that
+    name is repeated, whether or not an archive is given (see ``storage.commit_run``).
     """
     rows = consumed.select("source", "key") if archive is None else new_archive_rows(consumed, archive)
     line = F.concat(F.lit("youtube "), F.col("key")) if video else F.col("key")
-    _by(rows.select("source", line.alias("value")), "source").write.mode("append").partitionBy("source").text(path)
+    lines = _by(rows.select("source", line.alias("value")), "source")
+    if run is None:
+        lines.write.mode("append").partitionBy("source").text(path)
+    else:
+        commit_run(lambda to: lines.write.partitionBy("source").text(to), consumed.sparkSession, path, run)
 
 
 def write_license_docs(items: DataFrame, path: str, order: str = "pos", mode: str = "overwrite") -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanwell.config import ChannelPipelineConfig
 from gleanwell.functions.urls import split_channel_file
 from gleanwell.operators.channels import zip_positional
-from gleanwell.storage import read_or_empty
+from gleanwell.storage import has_partitions, read_or_empty
 
 #: Order of a line in its list; see ``with_position``.
 POSITION = "struct<written: timestamp, write: string, file: string, block: bigint, place: bigint>"
@@ -64,6 +64,8 @@ def read_lines(spark: SparkSession, path: str, group: str | None = None, **optio
     ]
     extra = f"`{group}` string, " if group else ""
     empty = f"{extra}file string, folder string, value string, pos {POSITION}"
+    if group is not None and not has_partitions(spark, path, group):
+        return spark.createDataFrame([], empty)
     return read_or_empty(spark, lambda: with_position(reader.text(path), path, columns, **options), empty)
 
 
@@ -90,8 +92,8 @@ def read_playlists(spark: SparkSession, path: str, partitioned: bool = False) ->
 def read_channel_videos(
     spark: SparkSession, path: str, partitioned: bool = False, file_mode: bool = False
 ) -> DataFrame:
-    """Video ids of ``<id>__<name>.txt`` files, or of ``channel=<id>__<name>/`` directories."""
-    lines = read_lines(spark, path, "channel" if partitioned else None)
+    """Video ids of ``<id>__<name>.txt`` files, or of ``channel=<id>__<name>/`` directories. Blank lines are skipped."""
+    lines = read_lines(spark, path, "channel" if partitioned else None).where(F.col("value") != "")
     cid, name = split_channel_file("channel" if partitioned else "file", file_mode)
     return lines.select(
         cid.alias("channel_id"), name.alias("channel_name"), "pos", F.col("value").alias("video_id")

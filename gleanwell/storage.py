@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 _local_folders: dict[str, str] = {}
 _scratch: dict[str, list[str]] = {}
 
+#: Folder inside a table where new partitions wait; readers skip names that begin with an underscore.
+STAGED = "_staged"
+#: Folder inside a table with the log of the runs that added to it.
+RUNS = "_runs"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir`` or set with ``setCheckpointDir``.
@@ -55,11 +60,136 @@ def release_scratch(spark: SparkSession) -> int:
     """
     paths = _scratch.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, path)
     return len(paths)
 
 
+def _place(spark: SparkSession, path: str):
+    """The file system a path lies in, and the path itself, as Hadoop knows them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none if it is missing. One listing, nothing is read."""
+    files, place = _place(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(place)) if files.exists(place) else []
+
+
+def has_partitions(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether a folder holds partitions of ``column``; it may hold staged ones and logs only, which readers skip."""
+    return any(name.startswith(f"{column}=") for name in names(spark, path))
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write to ``path`` was committed."""
+    files, place = _place(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder or file; what lies at ``to`` goes first."""
+    files, place = _place(spark, path)
+    target = _place(spark, to)[1]
+    files.delete(target, True)
+    files.mkdirs(target.getParent())
+    if not files.rename(place, target):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def write_once(spark: SparkSession, path: str, make: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
+    """The table at ``path``, written from ``make()`` unless a committed one lies there already.
+
+    A write that was cut off is begun anew.
+    """
+    if not is_written(spark, path):
+        made = make()
+        writer = made.write.mode("overwrite")
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        return spark.read.schema(made.schema).parquet(path).select(*made.columns)
+    return spark.read.parquet(path)
+
+
+def stages(spark: SparkSession, name: str | None) -> Callable[..., DataFrame]:
+    """How a run that may be cut off writes its intermediate tables: ``stage(part, make, partition=None)``.
+
+    With a ``name`` the tables lie under it in the shared folder, and a run that begins again under that name reads the
+    committed ones and goes on behind them. The name stands for the run and its inputs; ``forget_stages`` frees it.
+    Without one they are scratch tables.
+    """
+
+    def stage(part: str, make: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
+        if name is None:
+            return write_scratch(make(), part.replace("=", "-"), partition)
+        return write_once(spark, f"{shared_folder(spark)}/{name}/{part}", make, partition)
+
+    return stage
+
+
+def forget_stages(spark: SparkSession, name: str) -> None:
+    """Delete the tables of a named run."""
+    delete(spark, f"{shared_folder(spark)}/{name}")
+
+
+def finish_replacements(spark: SparkSession, path: str) -> int:
+    """Put staged partitions that a lost driver left committed into their place; returns how many.
+
+    Partitions staged without a commit are dropped. To be called by writers before they read ``path``.
+    """
+    moved = 0
+    for run in names(spark, f"{path}/{STAGED}"):
+        staged = f"{path}/{STAGED}/{run}"
+        if is_written(spark, staged):
+            for partition in names(spark, staged):
+                if "=" in partition:
+                    move(spark, f"{staged}/{partition}", f"{path}/{partition}")
+                    moved += 1
+        delete(spark, staged)
+    return moved
+
+
+def replace_partitions(write: Callable[[str], None], spark: SparkSession, path: str) -> int:
+    """Replace the partitions of ``path`` that ``write`` writes to the folder it is given; others keep their files.
+
+    All of them are written beside the table first and committed together by the write's own marker; then each takes
+    its place by a rename. A driver lost before the marker leaves the table as it was; one lost after it leaves the
+    rest to ``finish_replacements``, which the next call runs first. Returns how many partitions were replaced.
+    """
+    finish_replacements(spark, path)
+    write(f"{path}/{STAGED}/{uuid.uuid4().hex}")
+    return finish_replacements(spark, path)
+
+
+def commit_run(write: Callable[[str], None], spark: SparkSession, path: str, run: str) -> int:
+    """Add the partitioned files of a run to the table at ``path`` once; returns how many files came to it.
+
+    ``write`` writes them to a folder under the run's name inside the table; that write's marker commits the run, and
+    then each file takes its place in its partition. A run that is repeated writes again if its write had not been
+    committed, moves what had not been moved, and adds nothing else: the folder with its marker stays as the log of the
+    run. A run's name stands for its rows.
+    """
+    if not run or "/" in run or run in (".", ".."):
+        raise ValueError(f"not a name for a run: {run!r}")
+    staged = f"{path}/{RUNS}/{run}"
+    if not is_written(spark, staged):
+        delete(spark, staged)
+        write(staged)
+    moved = 0
+    for partition in names(spark, staged):
+        if "=" in partition:
+            for name in names(spark, f"{staged}/{partition}"):
+                if not name.startswith((".", "_")):
+                    move(spark, f"{staged}/{partition}/{name}", f"{path}/{partition}/{name}")
+                    moved += 1
+            delete(spark, f"{staged}/{partition}")
+    return moved
+
+
 def read_or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
     """The result of ``read``, or an empty table if its path does not exist."""
     try:

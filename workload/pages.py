@@ -61,15 +61,17 @@ _CUT = (
 )
 
 
+VISIBLE = f"""nodes AS (
+  SELECT page_id, list_filter(regexp_split_to_array(html, '{_CUT}'), lambda x: x <> '') AS raw FROM pages),
+texts AS (
+  SELECT page_id, list_transform(raw, lambda x: regexp_replace(
+    replace(trim({DECODE_BARE.format(DECODE.format('x'))}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)),
+            chr(13) || chr(10), ''), ' +', ' ', 'g')) AS texts FROM nodes)"""
+
+
 @query(
     "page_visible_text",
-    f"""WITH nodes AS (
-      SELECT page_id, list_filter(regexp_split_to_array(html, '{_CUT}'), lambda x: x <> '') AS raw FROM pages),
-    texts AS (
-      SELECT page_id, list_transform(raw, lambda x: regexp_replace(
-        replace(trim({DECODE_BARE.format(DECODE.format('x'))}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)),
-                chr(13) || chr(10), ''), ' +', ' ', 'g')) AS texts FROM nodes)
-    SELECT page_id, CAST(len(texts) AS INTEGER) AS n_texts, list_aggregate(texts, 'string_agg', chr(10)) AS content
+    f"""WITH {VISIBLE} SELECT page_id, CAST(len(texts) AS INTEGER) AS n_texts, list_aggregate(texts, 'string_agg', chr(10)) AS content
     FROM texts""",
 )
 def page_visible_text_query(spark, folder):

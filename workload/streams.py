@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from gleanwell.sources.tables import PAGES
 from gleanwell.storage import scratch_path
 from gleanwell.streaming import arrivals
-from gleanwell.plans.web import page_media
+from gleanwell.functions.urls import source_domain
+from gleanwell.plans.web import page_links
 from workload.licenses import CC, LICENSED_MEDIA, TERMS
 from workload.registry import CRAWL, query, table
 
@@ -23,13 +24,13 @@ EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, valu
 def stream_media(spark, folder):
     out, checkpoint, arrived = (scratch_path(spark, x) for x in ("stream_media", "stream_state", "stream_pages"))
     pages = table(spark, folder, "pages")
+    last = pages.agg(F.max("page_id")).first()[0]
     # Four files, one after the other, of which each batch takes two.
     for lower, upper in ((0, 0.1), (0.1, 0.4), (0.4, 0.6), (0.6, 2)):
-        last = pages.agg(F.max("page_id")).first()[0]
         part = pages.where((F.col("page_id") >= lower * last) & (F.col("page_id") < upper * last))
         part.coalesce(1).write.mode("append").parquet(arrived)
-    known = page_media(pages.where("page_id % 5 = 0"), CRAWL)
-    known = known.select("source", F.get("file_urls", F.lit(0)).alias("key"))
+    known = page_links(pages.where("page_id % 5 = 0"), CRAWL).where("action = 'media'")
+    known = known.select(source_domain("page_url").alias("source"), F.col("url").alias("key"))
     stream = arrivals.stream_table(spark, arrived, PAGES, "*.parquet", files_per_batch=2)
     licences = {"cc_prefixes": CC, "terms": TERMS}
     arrivals.stream_media(stream, out, checkpoint, CRAWL, known, **licences).awaitTermination()
@@ -58,3 +59,25 @@ def stream_dedupe(spark, folder):
     arrivals.stream_dedupe(urls, out, checkpoint).awaitTermination()
     # Which of a request's addresses came first is open.
     return spark.read.schema("url string").parquet(out).select(F.substring_index("url", "#", 1).alias("request"))
+
+
+@query(
+    "stream_new_requests",
+    """SELECT 'site' || event_id % 7 || '.example' AS source, 'https://www.site' || event_id % 7 || '.example/' || user_id AS request
+    FROM events WHERE user_id % 5 <> 0 GROUP BY 1, 2""",
+)
+def stream_new_requests(spark, folder):
+    out, checkpoint = scratch_path(spark, "stream_requests"), scratch_path(spark, "stream_state")
+    site = F.concat(F.lit("https://www.site"), F.col("event_id") % 7, F.lit(".example/"))
+    known = table(spark, folder, "events").where("user_id % 5 = 0")
+    archive = known.select(
+        F.concat(F.lit("site"), F.col("event_id") % 7, F.lit(".example")).alias("source"), F.concat(site, "user_id").alias("key")
+    ).distinct()
+    arrived = scratch_path(spark, "stream_events")
+    events = table(spark, folder, "events").select("event_id", "user_id")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(arrived)
+    stream = arrivals.stream_table(spark, arrived, "event_id bigint, user_id bigint", "*.parquet", files_per_batch=1)
+    urls = stream.select(F.concat(site, "user_id", F.lit("#"), "event_id").alias("url"))
+    arrivals.stream_new_requests(urls, out, checkpoint, archive).awaitTermination()
+    return arrivals.read_new_requests(spark, out).select("source", F.col("key").alias("request"))

@@ -134,7 +134,7 @@ _ACCEPTED = (
     f"""WITH twice AS (
       SELECT replace(url, 'example', 'wikipedia') AS url, page_id AS pos FROM pages UNION ALL
       SELECT replace(url, 'example', 'wikipedia'), page_id + 1000000 FROM pages)
-    SELECT url, min(pos) AS pos FROM twice WHERE NOT contains(url, '?page') AND {_ACCEPTED.replace("'wikipedia.org'", "'wikipedia.org'")}
+    SELECT url, min(pos) AS pos FROM twice WHERE NOT contains(url, '?page') AND {_ACCEPTED}
     GROUP BY url""",
 )
 def harvest_links_query(spark, folder):
