@@ -38,6 +38,8 @@ GRAM = 64
 DISTANCES = LENGTH - GRAM + 1
 HALF = (DISTANCES + 1) // 2
 CELL = 16
+#: Bytes of text that are hashed at once.
+STEP_BYTES = 256_000
 
 #: ``at`` packs the place of the first start in its text and the cell's first and last distance.
 _PLACES = "digit bigint, hash bigint, doc_id bigint, at bigint"
@@ -113,17 +115,39 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray],
     return found, row, zero[found["run"]] + found["low"] - offsets[row]
 
 
+def _parts(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """First and last row, and bounds in bytes, of what is hashed at once: some short texts or a part of a long one.
+
+    Parts of a text overlap by all but one byte of a string, so that each start has its whole string in one of them.
+    """
+    for a, b in steps(offsets, STEP_BYTES):
+        first, last = int(offsets[a]), int(offsets[b])
+        if b - a > 1 or last - first <= STEP_BYTES + LENGTH:
+            yield a, b, first, last
+            continue
+        for at in range(first, last - LENGTH + 1, STEP_BYTES):
+            yield a, b, at, min(at + STEP_BYTES + LENGTH - 1, last)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
         ids = batch.column(batch.schema.get_field_index("doc_id"))
-        for a, b in steps(offsets, 1_000_000):
-            found, row, first = runs(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            at = pa.array(pack_place(first, found["low"], found["high"]))
+        for a, b, first_byte, last_byte in _parts(offsets):
+            bounds = np.clip(offsets[a : b + 1], first_byte, last_byte) - first_byte
+            found, row, first = runs(data[first_byte:last_byte], bounds)
+            # Only the first part of a text begins where the text does.
+            at = pa.array(pack_place(first + max(0, first_byte - int(offsets[a])), found["low"], found["high"]))
             columns = [pa.array(found["digit"]), pa.array(found["hash"]), ids.take(pa.array(row + a)), at]
             yield pa.RecordBatch.from_arrays(columns, names=["digit", "hash", "doc_id", "at"])
 
 
+def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive pieces of ``data`` of the given sizes as an array of binaries, without an object for each."""
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes that the places of each text cover."""
     for batch in batches:
@@ -133,12 +157,14 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = places.flatten().to_numpy()
         row = np.repeat(np.arange(len(many)), many)
         first, low, high = unpack_place(at)
-        begin = offsets[:-1][row] + first
-        end = begin + high - low + LENGTH
-        whole = data.tobytes()
-        pieces = pa.array([whole[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
-        ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(row))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(at), pieces], names=["doc_id", "at", "bytes"])
+        begin, size = offsets[:-1][row] + first, high - low + LENGTH
+        ids = batch.column(batch.schema.get_field_index("doc_id"))
+        for a, b in steps(np.concatenate(([0], np.cumsum(size))), STEP_BYTES):
+            own = size[a:b]
+            before = np.cumsum(own) - own
+            covered = data[np.repeat(begin[a:b] - before, own) + np.arange(own.sum())]
+            pieces = _binaries(covered, own).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row[a:b])), pa.array(at[a:b]), pieces], names=["doc_id", "at", "bytes"])
 
 
 def _cut(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
@@ -225,30 +251,25 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, low, high = unpack_place(found.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
         begin = first + offsets[:-1][row]
         end = begin + high - low + LENGTH
-        for a, b in steps(offsets, 1_000_000):
-            mine = (row >= a) & (row < b)
-            base, top = offsets[a], offsets[b]
-            depth = np.zeros(top - base + 1, np.int64)
-            np.add.at(depth, begin[mine] - base, 1)
-            np.add.at(depth, end[mine] - base, -1)
-            gone = np.cumsum(depth[:-1]) > 0
-            part, bounds = data[base:top], offsets[a : b + 1] - base
-            removed = np.concatenate(([0], np.cumsum(gone)))
-            opens = gone.copy()
-            opens[1:] &= ~gone[:-1]
-            edge = bounds[:-1][bounds[:-1] < len(gone)]
-            opens[edge] = gone[edge]
-            opened = np.concatenate(([0], np.cumsum(opens)))
-            kept = part[~gone].tobytes()
-            at = bounds - removed[bounds]
-            columns = [
-                ids.slice(a, b - a),
-                pa.array(np.diff(bounds)),
-                pa.array(np.diff(removed[bounds])),
-                pa.array(np.diff(opened[bounds])),
-                pa.array([kept[x:y] for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        # Places that overlap or touch become one span; rows lie one after the other and none reaches into the next.
+        order = np.argsort(begin, kind="stable")
+        begin, end, row = begin[order], np.maximum.accumulate(end[order]), row[order]
+        new = np.ones(len(begin), bool)
+        new[1:] = (begin[1:] > end[:-1]) | (row[1:] != row[:-1])
+        opens = np.flatnonzero(new)
+        starts, stops, of = begin[opens], end[np.append(opens[1:], len(end)) - 1] if len(opens) else end, row[opens]
+        spans = np.bincount(of, minlength=len(many))
+        removed = np.zeros(len(many), np.int64)
+        np.add.at(removed, of, stops - starts)
+        # A span may begin where that of the row before it ends, so both edges are counted.
+        marks = np.zeros(len(data) + 1, np.int8)
+        np.add.at(marks, starts, 1)
+        np.add.at(marks, stops, -1)
+        kept = data[np.cumsum(marks[:-1], dtype=np.int8) == 0]
+        sizes = np.diff(offsets)
+        whole = _binaries(kept, sizes - removed)
+        columns = [ids, pa.array(sizes), pa.array(removed), pa.array(spans.astype(np.int64)), whole.cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -64,3 +64,31 @@ def test_odd_and_empty(odd, empty):
     assert {(r.n_removed, bytes(r.kept)) for r in rows if r.doc_id is None} == {(0, b"no id")}
     assert remove_repeats(empty).count() == 0
     assert repeats.HALF * 2 >= repeats.DISTANCES
+
+
+@pytest.mark.parametrize("step", [500, 1100])
+def test_long_texts_are_read_in_parts(texts, prose, monkeypatch, step):
+    monkeypatch.setattr(repeats, "STEP_BYTES", step)
+    rnd = random.Random(19)
+    passage = prose(rnd, 150)
+    values = [
+        prose(rnd, 300) + passage + prose(rnd, 200), passage[7:], "ab" * 1500, "z" * 2500, prose(rnd, 900),
+        prose(rnd, 40), "", prose(rnd, 100) + " " + passage[100:700] + passage[50:640], prose(rnd, 77)[:LENGTH],
+    ]
+    check(texts(values + values[4:5]), values + values[4:5])
+
+
+def test_memory_does_not_follow_the_longest_text():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    data = np.random.default_rng(20).integers(97, 123, 6_000_000).astype(np.uint8).tobytes().decode()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([data])], names=["doc_id", "text"])
+    tracemalloc.start()
+    rows = sum(len(b) for b in repeats._runs(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Each start lies in a cell; a text's own bytes come from Arrow and are not counted.
+    assert rows > 6_000_000 / repeats.HALF / 2
+    assert peak < 60_000_000
