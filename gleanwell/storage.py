@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -136,33 +136,40 @@ def forget_stages(spark: SparkSession, name: str) -> None:
     delete(spark, f"{shared_folder(spark)}/{name}")
 
 
-def finish_replacements(spark: SparkSession, path: str) -> int:
-    """Put staged partitions that a lost driver left committed into their place; returns how many.
+def finish_replacements(spark: SparkSession, path: str) -> list[str]:
+    """Put staged partitions that a lost driver left committed into their place; returns their names.
 
     Partitions staged without a commit are dropped. To be called by writers before they read ``path``.
     """
-    moved = 0
+    moved = []
     for run in names(spark, f"{path}/{STAGED}"):
         staged = f"{path}/{STAGED}/{run}"
         if is_written(spark, staged):
-            for partition in names(spark, staged):
-                if "=" in partition:
+            for partition in [name for name in names(spark, staged) if "=" in name]:
+                if names(spark, f"{staged}/{partition}"):
                     move(spark, f"{staged}/{partition}", f"{path}/{partition}")
-                    moved += 1
+                else:
+                    delete(spark, f"{path}/{partition}")
+                moved.append(partition)
         delete(spark, staged)
     return moved
 
 
-def replace_partitions(write: Callable[[str], None], spark: SparkSession, path: str) -> int:
+def replace_partitions(write: Callable[[str], None], spark: SparkSession, path: str, emptied: Iterable[str] = ()) -> int:
     """Replace the partitions of ``path`` that ``write`` writes to the folder it is given; others keep their files.
 
     All of them are written beside the table first and committed together by the write's own marker; then each takes
-    its place by a rename. A driver lost before the marker leaves the table as it was; one lost after it leaves the
+    its place by a rename. Partitions named in ``emptied`` (``column=value``) are deleted with them; ``write`` then has to
+    append. A driver lost before the marker leaves the table as it was; one lost after it leaves the
     rest to ``finish_replacements``, which the next call runs first. Returns how many partitions were replaced.
     """
     finish_replacements(spark, path)
-    write(f"{path}/{STAGED}/{uuid.uuid4().hex}")
-    return finish_replacements(spark, path)
+    staged = f"{path}/{STAGED}/{uuid.uuid4().hex}"
+    for name in emptied:
+        files, place = _place(spark, f"{staged}/{name}")
+        files.mkdirs(place)
+    write(staged)
+    return len(finish_replacements(spark, path))
 
 
 def commit_run(write: Callable[[str], None], spark: SparkSession, path: str, run: str) -> int:

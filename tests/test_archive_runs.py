@@ -192,6 +192,6 @@ def test_a_driver_lost_between_renames_leaves_whole_lists(lists, monkeypatch, sp
     with pytest.raises(OSError):
         lists(licences=cc("b", "e"))
     monkeypatch.setattr(storage, "move", move)
-    assert storage.finish_replacements(spark, lists.path) == 2
+    assert len(storage.finish_replacements(spark, lists.path)) == 2
     assert lists.read() == {("UC1", "One_two"): ["b"], ("UC3", "Three"): ["e"]}
-    assert storage.finish_replacements(spark, lists.path) == 0
+    assert storage.finish_replacements(spark, lists.path) == []
