@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwell.storage import scratch_path, write_scratch
+from gleanwell.storage import finish_replacements, replace_partitions, scratch_path, write_scratch
 
 #: Blocks of an old shard, a power of two, and the bytes of other columns in a row.
 BLOCKS = 512
@@ -161,10 +161,10 @@ def _new_shard(plan: Plan) -> Column:
     return F.split(F.lit(numbers), ",").cast("array<int>")[F.col("_old") * wide + F.col("_block")]
 
 
-def _write_shards(rows: DataFrame, path: str) -> None:
+def _write_shards(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write rows to one directory per shard, each in up to PARTS files."""
     dealt = rows.repartition(F.col("shard"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)))
-    dealt.write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    dealt.write.partitionBy("shard").mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def reshard(docs: DataFrame, old_shards: int = 16, shards: int = 24, kept: tuple[str, ...] = ()) -> DataFrame:
@@ -207,19 +207,20 @@ def reshard(docs: DataFrame, old_shards: int = 16, shards: int = 24, kept: tuple
 def rewrite_affected(docs: DataFrame, path: str, old_shards: int, shards: int) -> list[int]:
     """Bring the files under ``path`` (one directory ``shard=K`` each) from the old layout to the new one.
 
-    ``docs`` are the rows that lie there, with their column shard. Only shards that lose or gain a block are written; they
-    are staged in the shared folder first, so that a run that fails half-way can be repeated from there. Directories
-    of shards that lose all rows are deleted. Returns the numbers of all these shards.
+    ``docs`` are the rows that lie there, with their column shard. Only shards that lose or gain a block are written. They
+    are staged beside the old ones, all of them, and committed by one marker; then each takes its place by a rename, and
+    directories of shards that lose all rows are deleted (see ``storage.replace_partitions``). A run that was cut off
+    before the marker has changed nothing; one cut off after it is finished by the next call, which does nothing else.
+    Returns the numbers of all shards that were changed.
     """
     spark = docs.sparkSession
+    if finished := finish_replacements(spark, path):
+        return sorted(int(name.partition("=")[2]) for name in finished)
     sizes, rows = blocked(docs, old_shards, shards, "shard")
     plan, _ = plan_reshard(sizes, old_shards, shards)
     changed = sorted(plan.changed())
     columns = [F.col(f"`{c}`") for c in docs.columns if c != "shard"]
     moved = rows.select(*columns, _new_shard(plan).alias("shard")).where(F.col("shard").isin(changed))
-    staged = write_scratch(moved, "shard-staged")
-    _write_shards(staged, path)
-    for shard in set(changed) - {r["shard"] for r in staged.select("shard").distinct().collect()}:
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    held = {to for blocks in plan.target.values() for to in blocks.values()}
+    replace_partitions(lambda to: _write_shards(moved, to, "append"), spark, path, [f"shard={k}" for k in changed if k not in held])
     return changed

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanwell import storage
+from gleanwell.llm import resharding
 from gleanwell.llm.resharding import cheapest_moves, digests, plan_reshard, reshard, rewrite_affected, shard_sizes
 
 
@@ -108,6 +109,36 @@ def test_two_reshards_in_a_row_and_fewer_shards(spark, corpus, tmp_path):
         rewrite_affected(spark.read.parquet(path), path, 2, 4)
 
 
+@pytest.mark.parametrize("done", range(4))
+def test_a_rewrite_cut_off_loses_and_doubles_nothing(spark, corpus, tmp_path, monkeypatch, done):
+    """A driver lost at any of the renames, and at the write."""
+    path = str(tmp_path / "shards")
+    plain = corpus.select("doc_id", "text", "lang")
+    spread = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(5)).cast("int")
+    plain.withColumn("shard", spread).repartition("shard").write.partitionBy("shard").parquet(path)
+    want, left, move = sorted(map(str, plain.collect())), [done - 1], storage.move
+
+    def stop(*args):
+        if not left[0]:
+            raise OSError("lost")
+        left[0] -= 1
+        move(*args)
+
+    if done:
+        monkeypatch.setattr(storage, "move", stop)
+    else:
+        monkeypatch.setattr(resharding, "_write_shards", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        rewrite_affected(spark.read.parquet(path), path, 5, 3)
+    monkeypatch.undo()
+    docs = spark.read.parquet(path) if not done else spark.createDataFrame([], "doc_id bigint, text string, lang string, shard int")
+    changed = rewrite_affected(docs, path, 5, 3)
+    after = spark.read.parquet(path)
+    assert sorted(map(str, after.select(*plain.columns).collect())) == want
+    assert {r.shard for r in after.select("shard").distinct().collect()} == {0, 1, 2} <= set(changed) | {0, 1, 2}
+    assert {x.name for x in (tmp_path / "shards").glob("shard=*")} == {"shard=0", "shard=1", "shard=2"}
+
+
 def test_reshard_writes_the_texts(spark, corpus):
     before = set(storage._scratch.get(spark.sparkContext.applicationId, []))
     rows = {r.doc_id: r for r in reshard(corpus, old_shards=6, shards=4).collect()}
