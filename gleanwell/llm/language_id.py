@@ -11,16 +11,17 @@ words. Letters are lower-cased. An n-gram is a number: its code points side by s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gleanwell.llm.bytesets import steps, text_bytes
+from gleanwell.storage import write_scratch
 
 #: Length of a profile.
 PROFILE = 400
@@ -28,8 +29,10 @@ PROFILE = 400
 TEXT_PROFILE = 300
 UNKNOWN = "und"
 
-#: More languages than this would make the profiles too large to send to every task.
-MOST_LANGUAGES = 2000
+#: Languages whose profiles are sent to every task at once; more are compared group after group.
+GROUP = 2000
+#: Groups that one pass over the texts goes through; between passes the texts and their nearest so far are written.
+GROUPS_PER_PASS = 4
 
 _BLANK = 32
 _COMMON = 0x3000
@@ -56,9 +59,14 @@ def letters_of(points: np.ndarray) -> np.ndarray:
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of each text, and the bounds of the texts. One of n letters belongs to the text of its letters."""
-    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    whole, texts = data.tobytes(), len(offsets) - 1
+    points = np.frombuffer(whole.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     starts = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offsets]
-    texts = len(offsets) - 1
+    if len(points) != starts[-1]:
+        # Bytes that are not UTF-8 are replaced by as many points as the decoder likes.
+        each = [whole[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
+        points = np.frombuffer("".join(each).encode("utf-32-le"), np.uint32)
+        starts = np.concatenate(([0], np.cumsum([len(x) for x in each])))
     # A gap before each text and behind the last one ends the words there.
     owner = np.append(np.repeat(np.arange(texts), np.diff(starts) + 1), texts)
     letters = np.zeros(len(points) + texts + 1, np.int64)
@@ -94,20 +102,49 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pydict({"lang": [name] * len(kinds), "gram": kinds, "n": counts})
 
 
-def learn_profiles(texts: DataFrame) -> dict[str, np.ndarray]:
-    """Each language's most frequent n-grams by falling frequency, from ``texts`` (text, lang), rows without lang left out.
+def learn_profiles(texts: DataFrame) -> DataFrame:
+    """Each language's most frequent n-grams by falling frequency, from ``texts`` (text, lang), rows without lang left out:
+    a written table of lang, gram and rank (from 0).
 
     Of equally frequent ones the smaller number comes first.
     """
     known = texts.where("lang IS NOT NULL AND text IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
     counts = known.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= PROFILE).select("lang", "gram", "rank")
-    rows = top.orderBy("lang", "rank").limit(MOST_LANGUAGES * PROFILE + 1).collect()
-    if len(rows) > MOST_LANGUAGES * PROFILE:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    frame = pd.DataFrame(rows, columns=["lang", "gram", "rank"])
-    return {lang: part.gram.to_numpy() for lang, part in frame.groupby("lang")}
+    top = counts.withColumn("rank", rank - 1).where(F.col("rank") < PROFILE)
+    return write_scratch(top.select("lang", "gram", "rank"), "language-profiles")
+
+
+@dataclass(frozen=True)
+class Profiles:
+    """Profiles of some languages by n-gram: which of ``names`` hold it (between two ``bounds``), and at which rank."""
+
+    names: list[str]
+    kinds: np.ndarray
+    bounds: np.ndarray
+    holders: np.ndarray
+    ranks: np.ndarray
+
+    @classmethod
+    def of(cls, names: list[str], langs: np.ndarray, grams: np.ndarray, ranks: np.ndarray) -> Profiles:
+        """``langs`` are places in the sorted ``names``."""
+        order = np.lexsort((langs, grams))
+        kinds, first = np.unique(grams[order], return_index=True)
+        return cls(names, kinds, np.append(first, len(grams)), langs[order].astype(np.int32), ranks[order].astype(np.int32))
+
+
+def _groups(profiles: DataFrame) -> Iterator[Profiles]:
+    """The profiles in groups of ``GROUP`` languages, in their order. One group at a time is on the driver."""
+    names: list[str] = []
+    langs = profiles.select("lang").distinct().orderBy("lang").toLocalIterator()
+    for row in chain(langs, [None]):
+        if names and (row is None or len(names) == GROUP):
+            own = profiles.where(F.col("lang").between(names[0], names[-1])).toPandas()
+            place = {x: k for k, x in enumerate(names)}
+            yield Profiles.of(names, own["lang"].map(place).to_numpy(np.int64), own["gram"].to_numpy(), own["rank"].to_numpy())
+            names = []
+        if row is not None:
+            names.append(row.lang)
 
 
 def text_profile(codes: np.ndarray) -> np.ndarray:
@@ -116,61 +153,76 @@ def text_profile(codes: np.ndarray) -> np.ndarray:
     return kinds[np.argsort(-counts, kind="stable")[:TEXT_PROFILE]]
 
 
-def _ranks(profiles: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Names, all n-grams, and the rank of each n-gram in each profile (PROFILE where it is not in it)."""
-    names = sorted(profiles)
-    kinds = np.unique(np.concatenate([profiles[x] for x in names])) if names else np.zeros(0, np.int64)
-    ranks = np.full((len(kinds) + 1, len(names)), PROFILE, np.int64)
-    for k, x in enumerate(names):
-        ranks[np.searchsorted(kinds, profiles[x]), k] = np.arange(len(profiles[x]))
-    return names, kinds, ranks
+def distances(mine: np.ndarray, profiles: Profiles) -> np.ndarray:
+    """Out-of-place distance of a text's list to every profile."""
+    at = np.searchsorted(profiles.kinds, mine)
+    known = at < len(profiles.kinds)
+    known[known] = profiles.kinds[at[known]] == mine[known]
+    place, at = np.flatnonzero(known), at[known]
+    many = profiles.bounds[at + 1] - profiles.bounds[at]
+    entry = np.repeat(profiles.bounds[at] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    nearer = PROFILE - np.abs(profiles.ranks[entry] - np.repeat(place, many))
+    found = np.bincount(profiles.holders[entry], weights=nearer, minlength=len(profiles.names))
+    return PROFILE * len(mine) - found.astype(np.int64)
 
 
-def distances(mine: np.ndarray, kinds: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """Out-of-place distance of a text's list to every profile."""
-    at = np.searchsorted(kinds, mine)
-    known = at < len(kinds)
-    known[known] = kinds[at[known]] == mine[known]
-    theirs = ranks[np.where(known, at, len(kinds))]
-    away = np.abs(theirs - np.arange(len(mine))[:, None])
-    return np.where(theirs == PROFILE, PROFILE, away).sum(axis=0)
+_NONE = np.iinfo(np.int64).max
 
 
-def _predict(batches: Iterator[pa.RecordBatch], schema: pa.Schema, names: list[str], kinds: np.ndarray, ranks: np.ndarray):
+def _nearest(batches: Iterator[pa.RecordBatch], schema: pa.Schema, shared) -> Iterator[pa.RecordBatch]:
+    """The nearest language and the two least distances of each text, among these profiles and what came before."""
+    profiles = shared.value
     for batch in batches:
-        data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        held = batch.column(batch.schema.get_field_index("held_out"))
+        column = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+        data, offsets = text_bytes(column["text"])
+        best = column["best"].to_pylist()
+        first, second = (np.array(column[c]) for c in ("first", "second"))
         for a, b in steps(offsets):
             codes, bounds = grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            langs, scores = [UNKNOWN] * (b - a), np.zeros(b - a)
-            for k in np.flatnonzero(np.diff(bounds)) if names else ():
-                away = distances(text_profile(codes[bounds[k] : bounds[k + 1]]), kinds, ranks)
-                best = int(away.argmin())
-                langs[k] = names[best]
-                other = np.delete(away, best).min() if len(names) > 1 else 1
-                scores[k] = other / max(1, away[best] + other)
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), held.slice(a, b - a), pa.array(langs), pa.array(scores)], schema=schema)
+            for k in np.flatnonzero(np.diff(bounds)):
+                away = distances(text_profile(codes[bounds[k] : bounds[k + 1]]), profiles)
+                own = int(away.argmin())
+                least = away[own]
+                away[own] = _NONE
+                other = away.min()
+                k += a
+                # Groups come in the order of their names, so an equal distance is no nearer.
+                if least < first[k]:
+                    best[k], second[k], first[k] = profiles.names[own], min(first[k], other), least
+                else:
+                    second[k] = min(second[k], least)
+        state = {"best": pa.array(best, pa.string()), "first": pa.array(first), "second": pa.array(second)}
+        yield pa.RecordBatch.from_arrays([state.get(x, column.get(x)) for x in schema.names], schema=schema)
 
 
 def identify(docs: DataFrame, held_out: Column) -> DataFrame:
     """The language of every text of ``docs`` (doc_id, text, lang): doc_id, held_out, lang_pred, score.
 
-    Profiles come from the rows with a lang where ``held_out`` is not true. A text without a letter, NULL or empty, is
-    ``und`` with score 0, and so is every text if nothing can be learnt. ``score`` is the runner-up's share of the sum
+    Profiles come from the rows with a lang where ``held_out`` is not true; there may be any number of languages. A text
+    without a letter, NULL or empty, is ``und`` with score 0, and so is every text if nothing can be learnt. Bytes that are
+    not UTF-8 are no letters. ``score`` is the runner-up's share of the sum
     of the two least distances: 0.5 for a tie, which the alphabetically first language wins, up to 1. Repeated rows
     count as often as they stand; other columns are ignored; an empty table gives an empty table.
     """
+    spark = docs.sparkSession
     marked = docs.withColumn("_held", F.coalesce(held_out, F.lit(False)))
-    names, kinds, ranks = _ranks(learn_profiles(marked.where("NOT _held").select("text", "lang")))
-    result = T.StructType(
-        [
-            docs.schema["doc_id"],
-            T.StructField("held_out", T.BooleanType()),
-            T.StructField("lang_pred", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-        ]
+    profiles = learn_profiles(marked.where("NOT _held").select("text", "lang"))
+    none = F.lit(int(_NONE)).cast("bigint")
+    found = marked.select(
+        "doc_id", F.col("_held").alias("held_out"), "text", F.lit(None).cast("string").alias("best"), none.alias("first"), none.alias("second")
     )
-    shape = to_arrow_schema(result)
-    texts = marked.select("doc_id", F.col("_held").alias("held_out"), "text")
-    return texts.mapInArrow(lambda it: _predict(it, shape, names, kinds, ranks), result)
+    groups, number = _groups(profiles), 0
+    group = next(groups, None)
+    while group is not None:
+        following = next(groups, None)
+        if number and number % GROUPS_PER_PASS == 0:
+            found = write_scratch(found, "language-nearest")
+        # The texts are handed on only where another group will want them.
+        result = found.schema if following is not None else found.drop("text").schema
+        shared, shape = spark.sparkContext.broadcast(group), to_arrow_schema(result)
+        found = found.mapInArrow(lambda it, shared=shared, shape=shape: _nearest(it, shape, shared), result)
+        group, number = following, number + 1
+    # With one language alone there is no runner-up.
+    other = F.when(F.col("second") == none, F.lit(1)).otherwise(F.col("second")).cast("double")
+    score = F.when(F.col("best").isNull(), 0.0).otherwise(other / F.greatest(F.lit(1.0), F.col("first") + other))
+    return found.select("doc_id", "held_out", F.coalesce("best", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"))

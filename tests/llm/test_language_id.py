@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from gleanwell.llm import language_id
 from gleanwell.llm.frames import remainder
 from gleanwell.llm.language_id import PROFILE, TEXT_PROFILE, UNKNOWN, identify
 
@@ -43,6 +44,31 @@ def test_profiles_and_distances(texts):
         assert r.lang_pred == best and r.score == pytest.approx(away[other] / max(1, away[best] + away[other]))
 
 
+@pytest.mark.parametrize("group, per_pass", [(1, 4), (2, 1)])
+def test_groups_of_languages_give_the_same(texts, monkeypatch, group, per_pass):
+    values = ["the cat and the dog", "die Katze und der Hund", "le chat et le chien", "кот и собака", "el gato y el perro"] * 2
+    frame = texts([*values, "der chat", "123", None], langs=["en", "de", "fr", "ru", "es"] * 2 + [None] * 3)
+    want = sorted(map(tuple, identify(frame, F.lit(False)).collect()))
+    monkeypatch.setattr(language_id, "GROUP", group)
+    monkeypatch.setattr(language_id, "GROUPS_PER_PASS", per_pass)
+    assert sorted(map(tuple, identify(frame, F.lit(False)).collect())) == want
+
+
+def test_more_languages_than_one_group(texts):
+    names = [f"l{k:04d}" for k in range(2600)]
+    values = [f"{chr(0x4E00 + k)}{chr(0x4E00 + k + 1)} {chr(0x4E00 + k)}" for k in range(2600)]
+    rows = identify(texts(values, langs=names), F.lit(False)).collect()
+    assert all(r.lang_pred == names[r.doc_id] for r in rows) and len(rows) == 2600
+
+
+def test_bytes_that_are_not_utf_8(spark):
+    odd = [b"abc\x80\x80", b"\xed\xa0\x80 the cat", b"the dog \xe3\x81", b"\x82\x80", b"\xff\xfe", b"the cat and dog"]
+    rows = spark.createDataFrame([(k, bytearray(b), "en") for k, b in enumerate(odd)], "doc_id bigint, raw binary, lang string")
+    frame = rows.select("doc_id", F.col("raw").cast("string").alias("text"), "lang")
+    got = {r.doc_id: r.lang_pred for r in identify(frame, F.lit(False)).collect()}
+    assert got == {0: "en", 1: "en", 2: "en", 3: UNKNOWN, 4: UNKNOWN, 5: "en"}
+
+
 def test_odd_and_empty(odd, empty):
     rows = identify(odd, F.lit(False)).collect()
     assert len(rows) == odd.count() and {r.lang_pred for r in rows} == {"en", UNKNOWN}
