@@ -137,7 +137,7 @@ MARGIN = 0.13
 def _sketches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
+        ids, marks = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "mark"))
         for a, b in steps(offsets):
             hashes, bounds = shingle_sets(lower_ascii(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a])
             size = np.diff(bounds)
@@ -145,7 +145,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[
             keys = [(k[bounds[1:]] - k[bounds[:-1]]).view(np.int64) for k in keys]
             large = np.repeat(size >= SMALLEST, size)
             made = sketch(hashes[large], np.concatenate(([0], np.cumsum(np.where(size >= SMALLEST, size, 0)))))
-            columns = [ids.slice(a, b - a), pa.array(size), *map(pa.array, keys), pa.array([x.tobytes() for x in made], pa.binary())]
+            columns = [ids.slice(a, b - a), marks.slice(a, b - a), pa.array(size), *map(pa.array, keys), pa.array([x.tobytes() for x in made], pa.binary())]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
@@ -153,7 +153,7 @@ def _bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         if len(frame):
             keys = band_keys(np.frombuffer(b"".join(map(bytes, frame.sketch)), np.uint8).reshape(len(frame), -1))
-            yield pd.DataFrame({"band": keys.reshape(-1), "doc_id": np.repeat(frame.doc_id.to_numpy(), BANDS)})
+            yield pd.DataFrame({"band": keys.reshape(-1), "class": np.repeat(frame["class"].to_numpy(), BANDS)})
 
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,10 +164,10 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             hashes, bounds = shingle_sets(lower_ascii(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a])
             part = frame.iloc[a:b].copy()
             part["shingles"] = [hashes[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
-            block = part.doc_id.map(lambda x: int(mixed(np.array([x], np.int64).view(_U))[0] >> _U(40))) % part.blocks
+            block = part["class"].map(lambda x: int(mixed(np.array([x], np.int64).view(_U))[0] >> _U(40))) % part.blocks
             part["pair"] = [[f"{min(x, y)}-{max(x, y)}" for y in range(n)] for x, n in zip(block, part.blocks, strict=True)]
             part["block"] = block
-            yield part.explode("pair")[["root", "pair", "block", "doc_id", "sketch", "shingles"]]
+            yield part.explode("pair")[["root", "pair", "block", "class", "sketch", "shingles"]]
 
 
 def linked(members: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -175,8 +175,8 @@ def linked(members: pd.DataFrame, percent: int) -> pd.DataFrame:
 
     Pairs that already hang together are not compared. With two blocks only pairs across them are.
     """
-    members = members.drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
-    ids, block = members.doc_id.to_numpy(), members.block.to_numpy()
+    members = members.drop_duplicates("class").sort_values("class", ignore_index=True)
+    ids, block = members["class"].to_numpy(), members.block.to_numpy()
     across = block.min() != block.max()
     size = members.shingles.map(len).to_numpy() // 8
     first = np.cumsum(size) - size
@@ -225,40 +225,56 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     size fits the tasks; what a large group costs more is that its sets go to a task for each pair of blocks.
 
     NULL, empty and blank texts have no shingle, are linked with nothing and kept. doc_id is an integer; rows that
-    share one are one document in the graph, and each is returned. Rows without doc_id come back with a NULL class
+    share one are one document in the graph, which joins what their texts are linked with, and each is returned. Rows without doc_id come back with a NULL class
     and kept. Other columns are ignored; an empty table gives an empty table.
     """
     schema = T.StructType(
         [
-            T.StructField("doc_id", T.LongType()),
-            *[T.StructField(x, T.LongType()) for x in ("n", "key_a", "key_b")],
+            *[T.StructField(x, T.LongType()) for x in ("doc_id", "mark", "n", "key_a", "key_b")],
             T.StructField("sketch", T.BinaryType()),
         ]
     )
     shape = to_arrow_schema(schema)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # The mark tells the texts of a doc_id apart.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
     made = write_scratch(texts.mapInArrow(lambda it: _sketches(it, shape), schema), "sketches")
     key = ["key_a", "key_b", "n"]
-    classes = made.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("least"), F.first("sketch").alias("sketch"))
+    one = F.min(F.struct("doc_id", "mark"))
+    classes = made.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(one.alias("_one"), F.first("sketch").alias("sketch"))
+    classes = classes.select(*key, F.col("_one.doc_id").alias("least"), F.col("_one.mark").alias("mark"), F.xxhash64(*key).alias("class"), "sketch")
     classes = write_scratch(classes, "classes")
 
-    large = classes.where(f"n >= {SMALLEST} AND least IS NOT NULL").select(F.col("least").alias("doc_id"), "n", "sketch")
-    bands = write_scratch(large.mapInPandas(_bands, "band bigint, doc_id bigint"), "bands")
-    shared = bands.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("many")).where("many > 1")
-    spokes = bands.join(shared.select("band", "hub"), "band").where("hub <> doc_id").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    large = classes.where(f"n >= {SMALLEST}").select("class", "least", "mark", "n", "sketch")
+    bands = write_scratch(large.select("class", "sketch").mapInPandas(_bands, "band bigint, class bigint"), "bands")
+    shared = bands.groupBy("band").agg(F.min("class").alias("hub"), F.count("*").alias("many")).where("many > 1")
+    spokes = bands.join(shared.select("band", "hub"), "band").where("hub <> class").select(F.col("hub").alias("a"), F.col("class").alias("b"))
     groups = smallest_reachable(spokes.distinct())
 
-    members = write_scratch(groups.join(large.withColumnRenamed("doc_id", "id"), "id"), "candidates")
+    members = write_scratch(groups.join(large, F.col("id") == F.col("class")).drop("id"), "candidates")
     volume = members.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    members = members.join(volume.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root")).select("id", "root", "blocks", "sketch")
-    candidates = texts.join(members, F.col("doc_id") == F.col("id")).select("doc_id", "root", "blocks", "sketch", "text")
-    sets = candidates.mapInPandas(_sets, "root bigint, pair string, block int, doc_id bigint, sketch binary, shingles binary")
+    members = members.join(volume.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"))
+    members = members.select(F.col("least").alias("_id"), F.col("mark").alias("_mark"), "class", "root", "blocks", "sketch")
+    # Copies of a class's text come along; ``linked`` takes one.
+    candidates = texts.join(members, (F.col("doc_id") == F.col("_id")) & (F.col("mark") == F.col("_mark")))
+    sets = candidates.select("class", "root", "blocks", "sketch", "text").mapInPandas(
+        _sets, "root bigint, pair string, block int, class bigint, sketch binary, shingles binary"
+    )
     links = sets.groupBy("root", "pair").applyInPandas(lambda x: linked(x, percent), "a bigint, b bigint")
-    components = smallest_reachable(links)
 
-    classed = made.join(classes.select(*[F.col(k).alias(f"_{k}") for k in key], "least"), [F.col(k) == F.col(f"_{k}") for k in key], "left")
-    found = classed.join(components, F.col("least") == F.col("id"), "left")
-    component = F.coalesce("root", "least", "doc_id")
+    # From classes to documents. A doc_id with several texts connects their classes.
+    ids = classes.select(F.col("class").alias("_class"), "least")
+    ends = links.join(ids.withColumnRenamed("least", "x"), F.col("a") == F.col("_class")).select("x", "b")
+    ends = ends.join(ids, F.col("b") == F.col("_class")).select(F.col("x").alias("a"), F.col("least").alias("b"))
+    lookup = classes.select(*[F.col(k).alias(f"_{k}") for k in key], "least")
+    same = [F.col(k) == F.col(f"_{k}") for k in key]
+    often = made.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
+    several = made.join(often, F.col("doc_id") == F.col("_id"), "left_semi").join(lookup, same)
+    edges = ends.unionByName(several.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))).where("a <> b").distinct()
+    components = smallest_reachable(edges)
+
+    classed = made.join(lookup, same, "left")
+    found = classed.join(components, F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("least")), F.col("doc_id")) == F.col("id"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "least", "doc_id"))
     return found.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -268,5 +284,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document stays: one of each class of near-duplicates, with its columns."""
+    """The rows of ``docs`` whose document stays: one of each class of near-duplicates, with its columns.
+
+    Every row of that document stays, repeated or not, and so do rows without id and those without a word, unless their
+    document goes for another text. An empty table gives an empty table.
+    """
     return without(docs, near_duplicates(docs, percent).where("NOT kept"))

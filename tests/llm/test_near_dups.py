@@ -102,3 +102,18 @@ def test_odd_and_empty(odd, empty):
     assert all(r.kept for r in rows if not r.n_shingles) and all(r.kept for r in rows if r.doc_id is None)
     assert {r.component_id for r in rows if r.doc_id in (5, 6)} == {5}
     assert near_duplicates(empty, 85).count() == 0
+
+
+def test_rows_that_share_an_id_are_one_document(texts, prose):
+    rnd = random.Random(21)
+    a, b, c, d = (prose(rnd, 150) for _ in range(4))
+    values = [a, b, a + " tail", b + " tail", c, d, d + " end", "", None, c, "alone here", a]
+    ids = [5, 5, 7, 9, 3, 3, 1, 3, 5, 20, 30, None]
+    rows = near_duplicates(texts(values, ids), 85).collect()
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in rows if r.doc_id is not None)
+    assert got == sorted(
+        [(5, 5, True)] * 3 + [(7, 5, False), (9, 5, False)] + [(3, 1, False)] * 3 + [(1, 1, True), (20, 1, False), (30, 30, True)]
+    )
+    assert [(r.component_id, r.kept) for r in rows if r.doc_id is None] == [(None, True)]
+    kept = keep_one_of_each(texts(values, ids), 85).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 5, 5, 5, 30]
