@@ -43,7 +43,7 @@ def test_stages_take_effect_one_after_the_other(spark):
 def test_run_and_queries(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
-    assert sorted(int(k[2:].split("_")[0]) for k in workload.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in workload.QUERIES) == list(range(1, 14))
 
 
 def test_stages_on_odd_and_empty_tables(spark, odd, empty):
