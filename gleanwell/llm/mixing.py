@@ -3,7 +3,8 @@
 Documents fall into cells by source, language and topic. Raking scales the cells' sampling chances until the expected
 tokens of every source, every language and every topic meet their targets; documents are then drawn by the chance of
 their cell. Few cells are raked by one task; many stay in a table, since there may be as many sources as sites, and a
-round is a few small shuffles.
+round is a few small shuffles. Both ways give the same bits: they share rounds and stopping rule, and add in whole
+numbers (``_LIMBS``), so that no sum depends on its order.
 """
 
 from __future__ import annotations
@@ -17,17 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanwell.llm.frames import unused
-from gleanwell.storage import write_scratch
+from gleanwell.storage import delete, scratch_path, write_scratch
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Share of all tokens to draw, and the power that tempers each dimension's shares; 1 leaves them as they are.
 BUDGET = 0.5
 TEMPER = {"source": 0.5, "lang": 0.6, "topic": 0.8}
 ROUNDS, CLOSE = 2000, 1e-3
-#: So few cells are raked by one task; more are raked in a table, with as many rounds at most.
-CELLS_PER_TASK, TABLE_ROUNDS = 250_000, 100
+#: So few cells are raked by one task; more are raked in a table, by the same rounds.
+CELLS_PER_TASK = 250_000
 #: A round that moves no chance by more is the last. Bounds of the weights, which grow or shrink on where targets contradict.
 STILL, WEIGHTS = 1e-7, (1e-60, 1e60)
+#: Expected tokens are added as two whole numbers, of 1/2**16 and 1/2**48 of a token. Room for 10**14 tokens in 2**31 cells.
+_LIMBS = 2.0**16, 2.0**32
 
 
 def topic_of(text: str = "text") -> Column:
@@ -77,6 +80,29 @@ def tempered(cells: DataFrame, dimension: str, power: float, budget: float) -> D
     return sums.select("_value", F.least(F.lit(scale) * powers, F.col("there")).alias("target"))
 
 
+def _group_sums(code: np.ndarray, values: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of the values of each group, the same in any order; see ``_LIMBS``."""
+    scaled = values * _LIMBS[0]
+    high = np.floor(scaled)
+    sums = np.zeros((2, groups), np.int64)
+    for total, limb in zip(sums, (high, np.floor((scaled - high) * _LIMBS[1])), strict=True):
+        np.add.at(total, code, limb.astype(np.int64))
+    return sums[0] / _LIMBS[0] + sums[1] / (_LIMBS[0] * _LIMBS[1])
+
+
+def _limb_sums(value: Column, name: str) -> list[Column]:
+    """The two sums behind ``_group_sums``, in a table; ``_joined`` makes one number of them."""
+    scaled = value * F.lit(_LIMBS[0])
+    high = F.floor(scaled)
+    low = F.floor((scaled - high.cast("double")) * F.lit(_LIMBS[1]))
+    return [F.sum(high).alias(f"{name}_high"), F.sum(low).alias(f"{name}_low")]
+
+
+def _joined(name: str) -> Column:
+    high, low = F.col(f"{name}_high").cast("double"), F.col(f"{name}_low").cast("double")
+    return high / F.lit(_LIMBS[0]) + low / F.lit(_LIMBS[0] * _LIMBS[1])
+
+
 def rake_cells(tokens: np.ndarray, values: list[np.ndarray], targets: list[np.ndarray], rounds: int, close: float) -> tuple[np.ndarray, list[np.ndarray]]:
     """Chances of cells, and by which share each value of each dimension then misses its target.
 
@@ -85,8 +111,8 @@ def rake_cells(tokens: np.ndarray, values: list[np.ndarray], targets: list[np.nd
     weight = np.ones(len(tokens))
 
     def sums(code: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        now = np.bincount(code, np.minimum(weight, 1) * tokens, len(target))
-        free = np.bincount(code, np.where(weight < 1, weight * tokens, 0), len(target))
+        now = _group_sums(code, np.minimum(weight, 1) * tokens, len(target))
+        free = _group_sums(code, np.where(weight < 1, weight * tokens, 0), len(target))
         return now, free, np.where(target > 0, now / np.where(target > 0, target, 1) - 1, 0)
 
     for _ in range(rounds):
@@ -103,7 +129,9 @@ def rake_cells(tokens: np.ndarray, values: list[np.ndarray], targets: list[np.nd
 
 
 def _furthest(misses: np.ndarray) -> np.ndarray:
-    return np.take_along_axis(misses, np.abs(misses).argmax(axis=0)[None, :], axis=0)[0]
+    """The largest miss of each cell; of two as large the one above zero."""
+    size = np.abs(misses)
+    return np.where(size == size.max(axis=0), misses, -np.inf).max(axis=0)
 
 
 def _rake_in_task(frames: Iterator[pd.DataFrame], names: tuple[str, ...], rounds: int, close: float) -> Iterator[pd.DataFrame]:
@@ -130,7 +158,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     ``cells`` has the dimensions and tokens; a target table has ``_value`` and ``target``. A chance is a weight, a product
     of one factor per dimension, cut at 1. Each step moves the factors of a dimension towards its targets; cells that
     are cut no longer count as room. Stops when every sum is within a share of ``close`` of its target, when a round
-    moves no chance any more, since targets can contradict each other, or after ``rounds``. ``miss`` is the largest share
+    moves no chance any more, since targets can contradict each other, or after ``rounds``, however many cells there are. ``miss`` is the largest share
     by which the cell's source, language or topic then misses its target, below zero where it has too little.
     """
     state = cells
@@ -144,22 +172,30 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
         return write_scratch(state.mapInPandas(lambda it: _rake_in_task(it, names, rounds, close), schema), "cells")
 
     def with_sums(state: DataFrame, name: str) -> DataFrame:
-        now = F.sum(F.least(F.lit(1.0), F.col("weight")) * F.col("tokens")).alias("_now")
-        free = F.sum(F.when(F.col("weight") < 1, F.col("weight") * F.col("tokens")).otherwise(0.0)).alias("_free")
-        sums = state.groupBy(F.col(name).alias("_value")).agg(now, free)
+        now = _limb_sums(F.least(F.lit(1.0), F.col("weight")) * F.col("tokens"), "_now")
+        free = _limb_sums(F.when(F.col("weight") < 1, F.col("weight") * F.col("tokens")).otherwise(0.0), "_free")
+        sums = state.groupBy(F.col(name).alias("_value")).agg(*now, *free)
+        sums = sums.select("_value", _joined("_now").alias("_now"), _joined("_free").alias("_free"))
         state = state.join(sums, F.col(name) == F.col("_value")).drop("_value")
         wanted = F.col(f"_target_{name}")
         return state.withColumn(f"_miss_{name}", F.when(wanted > 0, F.col("_now") / wanted - 1).otherwise(0.0))
 
-    state = write_scratch(state.withColumn("weight", F.lit(1.0)), "cells")
+    def written(state: DataFrame) -> tuple[DataFrame, str]:
+        path = scratch_path(state.sparkSession, "cells")
+        state.write.parquet(path)
+        return state.sparkSession.read.schema(state.schema).parquet(path), path
+
+    state, path = written(state.withColumn("weight", F.lit(1.0)))
     misses = [F.col(f"_miss_{x}") for x in names]
-    for _ in range(min(rounds, TABLE_ROUNDS)):
+    for _ in range(rounds):
         state = state.withColumn("_before", F.least(F.lit(1.0), F.col("weight")))
         for name in names:
             state, wanted, now, free = with_sums(state, name), F.col(f"_target_{name}"), F.col("_now"), F.col("_free")
             factor = F.when((now < wanted) & (free > 0), 1 + (wanted - now) / free).when((now > wanted) & (wanted > 0), wanted / now).otherwise(1.0)
             state = state.withColumn("weight", F.least(F.greatest(F.col("weight") * factor, F.lit(WEIGHTS[0])), F.lit(WEIGHTS[1]))).drop("_now", "_free")
-        state = write_scratch(state, "cells")
+        last, (state, path) = path, written(state)
+        # Rounds may be many; only the last one is kept.
+        delete(state.sparkSession, last)
         moved = F.abs(F.least(F.lit(1.0), F.col("weight")) - F.col("_before"))
         worst, moving = state.agg(F.max(F.greatest(*map(F.abs, misses))), F.max(moved)).first()
         state = state.drop("_before", *[f"_miss_{x}" for x in names])

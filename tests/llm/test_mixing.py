@@ -125,3 +125,26 @@ def test_contradicting_targets_are_reported(texts, prose):
     assert max(map(abs, misses.values())) > 0.05
     for r in rows:
         assert abs(r.miss) == pytest.approx(max(abs(misses[x, r[x]]) for x in DIMENSIONS), abs=1e-6)
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_many_cells_are_raked_as_few_are(spark, texts, prose, monkeypatch, rounds):
+    # The targets contradict each other, so that every round moves something; a tighter limit for tables must not count.
+    monkeypatch.setattr(mixing, "TABLE_ROUNDS", 2, raising=False)
+    docs = hot_corpus(texts, prose, single_language=True)
+    counted = docs.select(*mixing.cell_columns(), mixing.tokens_of().alias("n")).groupBy(*DIMENSIONS).agg(F.sum("n").alias("tokens"))
+    cells = mixing.write_scratch(counted, "cells")
+    targets = {x: mixing.write_scratch(mixing.tempered(cells, x, TEMPER[x], 0.8), "targets") for x in DIMENSIONS}
+    got = []
+    for per_task in (0, 250_000):
+        monkeypatch.setattr(mixing, "CELLS_PER_TASK", per_task)
+        got.append({(r.source, r.lang, r.topic): (r.chance, r.miss) for r in mixing.rake(cells, targets, rounds, 0.0).collect()})
+    assert len(got[0]) == cells.count() and got[0] == got[1]
+
+
+def test_sums_of_a_group_do_not_depend_on_their_order():
+    rnd = random.Random(3)
+    values = mixing.np.array([rnd.random() * 10 ** rnd.randint(-12, 9) for _ in range(2000)])
+    code = mixing.np.zeros(len(values), int)
+    sums = {mixing._group_sums(code, values[order], 1)[0] for order in (slice(None), slice(None, None, -1), values.argsort())}
+    assert len(sums) == 1 and sums.pop() == pytest.approx(values.sum(), rel=1e-12)
