@@ -10,6 +10,10 @@ from gleanwell.operators.archive import new_archive_rows
 from gleanwell.storage import commit_run
 
 
+#: Rows of a CSV file at most. Cells may hold line breaks, so a file is read by one task.
+ROWS_PER_FILE = 100_000
+
+
 def _by(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", F.col(column))
 
@@ -19,6 +23,7 @@ def _csv(df: DataFrame, path: str, mode: str, partition: str | None = None) -> N
         header=True,
         emptyValue="",
         escape='"',
+        maxRecordsPerFile=ROWS_PER_FILE,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )

@@ -168,3 +168,13 @@ def test_order_over_appends_and_several_plain_files(spark, tmp_path):
         os.utime(tmp_path / "plain" / "playlist=P" / name, (1_700_000_000 + k, 1_700_000_000 + k))
     plain = sources.read_playlists(spark, str(tmp_path / "plain"), partitioned=True)
     assert [r.video_id for r in plain.orderBy("pos").collect()] == ["z.txt1", "z.txt2", "a.txt1", "a.txt2"]
+
+
+def test_metadata_of_a_source_lies_in_files_of_limited_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks.writers, "ROWS_PER_FILE", 100, raising=False)
+    rows = spark.range(1000).select(F.lit("s").alias("source"), F.concat(F.lit("two\nlines "), "id").alias("title"))
+    path = str(tmp_path / "metadata")
+    sinks.write_media_metadata(rows, path)
+    assert len(list((tmp_path / "metadata" / "crawl_source=s").glob("*.csv"))) >= 10
+    back = spark.read.options(header=True, escape='"', multiLine=True).csv(path)
+    assert sorted(r.title for r in back.collect()) == sorted(r.title for r in rows.collect())
