@@ -1,7 +1,10 @@
+from pyspark.sql import functions as F
+
 from gleanwell.config import CrawlConfig
 from gleanwell.operators.counts import total_hours
 from gleanwell.sources.tables import PAGES
 from gleanwell.streaming import arrivals
+from workload import streams
 
 
 def test_stream_media_emits_each_item_once(spark, tmp_path):
@@ -50,3 +53,20 @@ def test_stream_dedupe(spark, tmp_path):
         spark.createDataFrame(part, "url string").coalesce(1).write.mode("append").parquet(source)
         arrivals.stream_dedupe(arrivals.stream_table(spark, source, "url string"), out, state).awaitTermination()
     assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def _in_parts(spark, rows, path, parts):
+    """A table of several files, each a part of its own to a reader."""
+    for part in range(parts):
+        rows.where(F.col(rows.columns[0]) % parts == part).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_requests_arrive_in_three_batches_however_many_files(spark, tmp_path, monkeypatch):
+    rows = spark.range(600).select(F.col("id").alias("event_id"), (F.col("id") % 50).alias("user_id"))
+    _in_parts(spark, rows, f"{tmp_path}/events.parquet", 6)
+    monkeypatch.setattr(streams, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    got = {(r.source, r.request) for r in streams.stream_new_requests(spark, str(tmp_path)).collect()}
+    known = {(f"site{e % 7}.example", f"https://www.site{e % 7}.example/{e % 50}") for e in range(600) if e % 50 % 5}
+    assert got == known
+    batches = arrivals.read_new_requests(spark, f"{tmp_path}/stream_requests").select("batch_id").distinct()
+    assert sorted(r.batch_id for r in batches.collect()) == [0, 1, 2]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from gleanwell.sources.tables import PAGES
-from gleanwell.storage import scratch_path
+from gleanwell.storage import scratch_path, write_scratch
 from gleanwell.streaming import arrivals
 from gleanwell.functions.urls import source_domain
 from gleanwell.plans.web import page_links
@@ -73,11 +73,13 @@ def stream_new_requests(spark, folder):
     archive = known.select(
         F.concat(F.lit("site"), F.col("event_id") % 7, F.lit(".example")).alias("source"), F.concat(site, "user_id").alias("key")
     ).distinct()
+    archive = write_scratch(archive, "stream_known")
     arrived = scratch_path(spark, "stream_events")
     events = table(spark, folder, "events").select("event_id", "user_id")
+    # Three arrivals, of as many files as the events have parts; each is a batch, since a batch reads what is known.
     for part in range(3):
         events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(arrived)
-    stream = arrivals.stream_table(spark, arrived, "event_id bigint, user_id bigint", "*.parquet", files_per_batch=1)
-    urls = stream.select(F.concat(site, "user_id", F.lit("#"), "event_id").alias("url"))
-    arrivals.stream_new_requests(urls, out, checkpoint, archive).awaitTermination()
+        stream = arrivals.stream_table(spark, arrived, "event_id bigint, user_id bigint", "*.parquet")
+        urls = stream.select(F.concat(site, "user_id", F.lit("#"), "event_id").alias("url"))
+        arrivals.stream_new_requests(urls, out, checkpoint, archive).awaitTermination()
     return arrivals.read_new_requests(spark, out).select("source", F.col("key").alias("request"))
