@@ -70,3 +70,23 @@ def test_requests_arrive_in_three_batches_however_many_files(spark, tmp_path, mo
     assert got == known
     batches = arrivals.read_new_requests(spark, f"{tmp_path}/stream_requests").select("batch_id").distinct()
     assert sorted(r.batch_id for r in batches.collect()) == [0, 1, 2]
+
+
+def test_pages_arrive_in_files_by_size_and_two_batches(spark, tmp_path, monkeypatch):
+    link = F.concat(F.lit('<a href="/m'), "page_id", F.lit('.able">x</a>'))
+    rows = spark.range(400).select(F.col("id").alias("page_id"))
+    rows = rows.select("page_id", F.concat(F.lit("http://a.com/p"), "page_id").alias("url"), link.alias("html"))
+    _in_parts(spark, rows, f"{tmp_path}/pages.parquet", 6)
+    monkeypatch.setattr(streams, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1B"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        got = {r.url for r in streams.stream_media(spark, str(tmp_path)).collect()}
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert got == {f"http://a.com/m{i}.able" for i in range(400) if i % 5}
+    assert len(list((tmp_path / "stream_pages").glob("*.parquet"))) > 4
+    batches = arrivals.read_stream_media(spark, f"{tmp_path}/stream_media").select("batch_id").distinct()
+    assert sorted(r.batch_id for r in batches.collect()) == [0, 1]

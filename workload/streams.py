@@ -25,15 +25,17 @@ def stream_media(spark, folder):
     out, checkpoint, arrived = (scratch_path(spark, x) for x in ("stream_media", "stream_state", "stream_pages"))
     pages = table(spark, folder, "pages")
     last = pages.agg(F.max("page_id")).first()[0]
-    # Four files, one after the other, of which each batch takes two.
-    for lower, upper in ((0, 0.1), (0.1, 0.4), (0.4, 0.6), (0.6, 2)):
-        part = pages.where((F.col("page_id") >= lower * last) & (F.col("page_id") < upper * last))
-        part.coalesce(1).write.mode("append").parquet(arrived)
     known = page_links(pages.where("page_id % 5 = 0"), CRAWL).where("action = 'media'")
     known = known.select(source_domain("page_url").alias("source"), F.col("url").alias("key"))
-    stream = arrivals.stream_table(spark, arrived, PAGES, "*.parquet", files_per_batch=2)
+    known = write_scratch(known, "stream_known")
     licences = {"cc_prefixes": CC, "terms": TERMS}
-    arrivals.stream_media(stream, out, checkpoint, CRAWL, known, **licences).awaitTermination()
+    # Four writes, one after the other, whose files are more where the pages are more; each batch takes two writes.
+    for writes in (((0, 0.1), (0.1, 0.4)), ((0.4, 0.6), (0.6, 2))):
+        for lower, upper in writes:
+            part = pages.where((F.col("page_id") >= lower * last) & (F.col("page_id") < upper * last))
+            part.hint("rebalance").write.mode("append").parquet(arrived)
+        stream = arrivals.stream_table(spark, arrived, PAGES, "*.parquet")
+        arrivals.stream_media(stream, out, checkpoint, CRAWL, known, **licences).awaitTermination()
     rows = arrivals.read_stream_media(spark, out)
     return rows.select("source", "url", "title", "page_url", "language", F.array_join("license_urls", " ").alias("license_urls"))
 
