@@ -41,6 +41,8 @@ BY_SIZE = {
     **dict.fromkeys((10, 11), ("111011", "11000111", "1001001011")),
     **dict.fromkeys(range(12, STRETCH + 1), MASKS + LIGHT),
 }
+#: Bytes of text whose windows are hashed at once, under all masks.
+STEP_BYTES = 256_000
 ALL_MASKS = tuple(dict.fromkeys(m for masks in BY_SIZE.values() for m in masks))
 
 _U = np.uint64
@@ -89,10 +91,12 @@ def seeds(tokens: np.ndarray, bounds: np.ndarray, masks: Iterable[int], own: boo
 
 def _item_seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        tokens, bounds = plain_tokens(*text_bytes(pa.array(frame.text, pa.string())))
-        hashes, row, place, mask = seeds(tokens, bounds, range(len(ALL_MASKS)), own=True)
+        data, offsets = text_bytes(pa.array(frame.text, pa.string()))
         ids = frame.item_id.to_numpy()
-        yield pd.DataFrame({"seed": hashes.view(np.int64), "item_id": ids[row], "item_place": place.astype(np.int32), "mask": mask})
+        for a, b in steps(offsets, STEP_BYTES):
+            tokens, bounds = plain_tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            hashes, row, place, mask = seeds(tokens, bounds, range(len(ALL_MASKS)), own=True)
+            yield pd.DataFrame({"seed": hashes.view(np.int64), "item_id": ids[row + a], "item_place": place.astype(np.int32), "mask": mask})
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], shared, masks: list[int]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +105,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], shared, masks: list[int]) ->
         column = batch.column(batch.schema.get_field_index("text"))
         data, offsets = text_bytes(column)
         ids = batch.column(batch.schema.get_field_index("doc_id"))
-        for a, b in steps(offsets):
+        for a, b in steps(offsets, STEP_BYTES):
             tokens, bounds = plain_tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             hashes, row, place, _ = seeds(tokens, bounds, masks)
             passed = passing(shared.value, hashes)
@@ -141,13 +145,14 @@ def best_stretch(text: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, i
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        texts, bounds = plain_tokens(*text_bytes(pa.array(frame.text, pa.large_string())))
-        items, item_bounds = plain_tokens(*text_bytes(pa.array(frame.item_text, pa.large_string())))
+        both = [text_bytes(pa.array(frame[c], pa.large_string())) for c in ("text", "item_text")]
         found, pair = [], []
-        for k, distances in enumerate(frame.distances):
-            text, item = texts[bounds[k] : bounds[k + 1]], items[item_bounds[k] : item_bounds[k + 1]]
-            found += [best_stretch(text, item, shift) for shift in distances]
-            pair += [k] * len(distances)
+        for a, b in steps(both[0][1] + both[1][1], STEP_BYTES):
+            (texts, bounds), (items, item_bounds) = (plain_tokens(x[at[a] : at[b]], at[a : b + 1] - at[a]) for x, at in both)
+            for k, distances in enumerate(frame.distances.iloc[a:b]):
+                text, item = texts[bounds[k] : bounds[k + 1]], items[item_bounds[k] : item_bounds[k + 1]]
+                found += [best_stretch(text, item, shift) for shift in distances]
+                pair += [a + k] * len(distances)
         out = frame[["doc_id", "item_id"]].iloc[pair].reset_index(drop=True)
         out["start"], out["tokens"], out["equal"] = (pd.Series(x, index=out.index, dtype="int64") for x in (zip(*found, strict=True) if found else [[], [], []]))
         yield out[(out.equal > 0) & (100 * out.equal >= AGREE * out.tokens)]

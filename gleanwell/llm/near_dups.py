@@ -22,6 +22,8 @@ from gleanwell.llm.components import smallest_reachable
 from gleanwell.llm.frames import without
 from gleanwell.storage import write_scratch
 
+#: Bytes of text whose shingles are hashed at once.
+STEP_BYTES = 500_000
 SHINGLE = 5
 #: Sets of fewer shingles are as similar as 0.8 only if they are equal.
 SMALLEST = 4
@@ -138,7 +140,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[
     for batch in batches:
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
         ids, marks = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "mark"))
-        for a, b in steps(offsets):
+        for a, b in steps(offsets, STEP_BYTES):
             hashes, bounds = shingle_sets(lower_ascii(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a])
             size = np.diff(bounds)
             keys = [np.concatenate((np.zeros(1, _U), np.cumsum(mixed(hashes + _U(k)), dtype=_U))) for k in (1, 2)]
@@ -160,7 +162,7 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each candidate's set, once for every pair of blocks that its block is in."""
     for frame in frames:
         data, offsets = text_bytes(pa.array(frame.pop("text"), pa.large_string()))
-        for a, b in steps(offsets):
+        for a, b in steps(offsets, STEP_BYTES):
             hashes, bounds = shingle_sets(lower_ascii(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a])
             part = frame.iloc[a:b].copy()
             part["shingles"] = [hashes[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]

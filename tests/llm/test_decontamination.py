@@ -129,3 +129,35 @@ def test_all_overlaps_of_the_rule_and_no_others(spark, texts, prose):
             if equal and 100 * equal >= AGREE * size:
                 want[d, i] = (equal, size)
     assert got == want and {i for _, i in want} == set(range(len(given)))
+
+
+def test_memory_does_not_follow_the_batch(monkeypatch):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    from gleanwell.llm import bytesets, decontamination
+
+    # Tables that other tests have grown stay out of it.
+    monkeypatch.setattr(bytesets, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    rnd = random.Random(41)
+    # Words long enough that no two are alike: six million bytes, of which the filter lets no window pass.
+    values = [" ".join(f"{rnd.getrandbits(20):05x}" for _ in range(330)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(values)], names=["doc_id", "text"])
+    nothing = SimpleNamespace(value=np.zeros(1024, np.uint8))
+    pairs = pd.DataFrame({"doc_id": range(3000), "text": values, "item_id": 1, "item_text": values[7], "distances": [np.array([0])] * 3000})
+
+    def peak(work):
+        tracemalloc.start()
+        made = work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return made, most
+
+    made, most = peak(lambda: list(decontamination._candidates(iter([batch]), nothing, list(range(6)))))
+    assert made == [] and most < 50_000_000
+    made, most = peak(lambda: pd.concat(decontamination._verify(iter([pairs]))))
+    assert made.doc_id.tolist() == [7] and most < 50_000_000
