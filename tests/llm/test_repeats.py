@@ -92,3 +92,35 @@ def test_memory_does_not_follow_the_longest_text():
     # Each start lies in a cell; a text's own bytes come from Arrow and are not counted.
     assert rows > 6_000_000 / repeats.HALF / 2
     assert peak < 60_000_000
+
+
+def test_memory_does_not_follow_the_batch(monkeypatch):
+    import tracemalloc
+
+    import pandas as pd
+    import pyarrow as pa
+
+    from gleanwell.llm import bytesets
+
+    # Tables that other tests have grown stay out of it.
+    monkeypatch.setattr(bytesets, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    data = np.random.default_rng(21).integers(97, 123, 12_000_000).astype(np.uint8).tobytes()
+    # Two neighbouring cells of the first pass for each text.
+    pieces = [data[k : k + 600] for k in range(0, len(data), 1200)]
+    frame = pd.DataFrame({"doc_id": range(len(pieces)), "at": repeats.pack_place(np.full(len(pieces), 50), np.zeros(1), np.full(1, 200)), "bytes": pieces})
+    tracemalloc.start()
+    rows = sum(map(len, repeats._cut(iter([frame]), repeats.CELL)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(pieces) * -(-201 // repeats.CELL)
+    assert peak < 40_000_000
+
+    whole = [data[k : k + 2000].decode() for k in range(0, len(data), 2000)]
+    found = pa.array([[int(repeats.pack_place(np.array([3]), np.array([0]), np.array([5]))[0])] if k % 2 else None for k in range(len(whole))], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(whole))), pa.array(whole), found], names=["doc_id", "text", "found"])
+    tracemalloc.start()
+    made = [(r["doc_id"], r["n_removed"], r["n_spans"], len(r["kept"])) for b in repeats._remove(iter([batch])) for r in b.select(["doc_id", "n_removed", "n_spans", "kept"]).to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made == [(k, 405 * (k % 2), k % 2, 2000 - 405 * (k % 2)) for k in range(len(whole))]
+    assert peak < 15_000_000
