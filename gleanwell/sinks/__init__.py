@@ -1,6 +1,7 @@
 """Writers. Partitioned outputs are rebalanced first: adaptive execution then cuts a hot
 partition value into several files of a sensible size and merges small ones."""
 
+from gleanwell.sinks.single_files import write_scraped_files
 from gleanwell.sinks.writers import (
     append_archive,
     crawl_audit_log,
@@ -27,4 +28,5 @@ __all__ = [
     "write_license_docs",
     "write_media_metadata",
     "write_scraped_assets",
+    "write_scraped_files",
 ]

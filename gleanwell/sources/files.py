@@ -136,14 +136,18 @@ def read_curated_videos(
     return with_position(listed, path, ["*"])
 
 
-def read_scraped_files(spark: SparkSession, path: str) -> DataFrame:
-    """Scraped page files (three short lines each), one row per file."""
-    whole = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
-    return whole.select(F.col("_metadata.file_path").alias("file"), "value")
+def read_scraped_files(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """Scraped page files (three short lines each), one row per file.
+
+    ``nested`` takes the files of all folders below ``path``; names like ``a=b`` then are plain names. Files are read as
+    bytes, since Spark's text reader copies the whole Hadoop configuration for every file.
+    """
+    reader = spark.read.format("binaryFile").options(pathGlobFilter="*.txt", recursiveFileLookup=nested)
+    return reader.load(path).select(F.col("_metadata.file_path").alias("file"), F.col("content").cast("string").alias("value"))
 
 
-def read_scraped_triplets(spark: SparkSession, path: str, **options) -> DataFrame:
-    return zip_positional(read_scraped_files(spark, path), **options)
+def read_scraped_triplets(spark: SparkSession, path: str, nested: bool = False, **options) -> DataFrame:
+    return zip_positional(read_scraped_files(spark, path, nested), **options)
 
 
 def read_media_listing(spark: SparkSession, path: str, pattern: str = "*.mp4") -> DataFrame:

@@ -105,6 +105,22 @@ def test_scraped_files_and_media_listing(spark, tmp_path):
     assert [(r.raw_file_name, r.length) for r in row] == [("60file-idx.mp4", 4)]
 
 
+def test_scraped_files_written_one_per_page(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    rows = [("f1", "a,b\nx,y\n/1,/2"), ("f1", "second"), ("f/2", "é\nx\n/3"), (None, "c\nx\n/4"), ("f5", None), ("f6", ""), ("_g.", "d\nx\n/6")]
+    assert sinks.write_scraped_files(spark.createDataFrame(rows, "file string, value string").repartition(3), path) == 6
+    # No folder per page, and nothing that is half written.
+    assert all(len(p.relative_to(path).parts) == 2 and p.name.endswith(".txt") for p in (tmp_path / "pages").rglob("*") if p.is_file())
+    read = sources.read_scraped_files(spark, path, nested=True)
+    got = {r.name: r.value for r in read.select(F.regexp_extract("file", r"file=([^/]*)\.txt$", 1).alias("name"), "value").collect()}
+    assert got["f1"] == "a,b\nx,y\n/1,/2\nsecond\n" and got["__HIVE_DEFAULT_PARTITION__"] == "c\nx\n/4\n"
+    assert got["f5"] == got["f6"] == "\n" and got["_g."] == "d\nx\n/6\n" and "é\nx\n/3\n" in got.values()
+    assert [r.title for r in sources.read_scraped_triplets(spark, path, nested=True).orderBy("title").collect()] == ["c", "d", "é"]
+    empty = str(tmp_path / "none")
+    assert sinks.write_scraped_files(spark.createDataFrame([], "file string, value string"), empty) == 0
+    assert sources.read_scraped_triplets(spark, empty, nested=True).count() == 0
+
+
 def test_crawl_state_round_trip(spark, tmp_path):
     path = str(tmp_path / "state")
     pages = spark.createDataFrame([("k", 1, "t1"), ("k", 2, "t2"), ("done", 1, "t"), ("done", 2, None)],

@@ -122,9 +122,9 @@ def read_channel_dump_json(spark, folder):
 @query("read_scraped_triplets", f"WITH {SCRAPED} SELECT file, title, file_type, download_link FROM scraped")
 def read_scraped_triplets(spark, folder):
     path = scratch_path(spark, "scraped")
-    scraped_files(spark, folder).repartition("file").write.partitionBy("file").text(path)
-    rows = sources.read_scraped_triplets(spark, path)
-    name = F.regexp_extract("file", "file=([^/]+)/", 1).alias("file")
+    sinks.write_scraped_files(scraped_files(spark, folder), path)
+    rows = sources.read_scraped_triplets(spark, path, nested=True)
+    name = F.regexp_extract("file", r"file=([^/]+)\.txt$", 1).alias("file")
     return rows.select(name, "title", "file_type", "download_link")
 
 
