@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from gleanwell.config import ChannelPipelineConfig
 from gleanwell.functions.urls import split_channel_file
 from gleanwell.operators.channels import zip_positional
-from gleanwell.storage import has_partitions, read_or_empty
+from gleanwell.sources import single_files
+from gleanwell.storage import has_partitions, local_folder, read_or_empty
 
 #: Order of a line in its list; see ``with_position``.
 POSITION = "struct<written: timestamp, write: string, file: string, block: bigint, place: bigint>"
@@ -139,11 +140,18 @@ def read_curated_videos(
 def read_scraped_files(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
     """Scraped page files (three short lines each), one row per file.
 
-    ``nested`` takes the files of all folders below ``path``; names like ``a=b`` then are plain names. Files are read as
-    bytes, since Spark's text reader copies the whole Hadoop configuration for every file.
+    ``nested`` takes the files of all folders below ``path``; names like ``a=b`` then are plain names. Tasks list and read
+    a folder that executors reach by its path; the driver would need some 2 kB for every file. What only Spark reads (other
+    stores, patterns, folders of partitions) it lists on the driver; files are read as bytes, since its text reader copies
+    the whole Hadoop configuration for every file.
     """
-    reader = spark.read.format("binaryFile").options(pathGlobFilter="*.txt", recursiveFileLookup=nested)
-    return reader.load(path).select(F.col("_metadata.file_path").alias("file"), F.col("content").cast("string").alias("value"))
+    folder = local_folder(spark, path)
+    if folder is not None and (nested or not single_files.has_folders(folder)):
+        files = single_files.files_of(spark, folder, ".txt", nested)
+    else:
+        reader = spark.read.format("binaryFile").options(pathGlobFilter="*.txt", recursiveFileLookup=nested)
+        files = reader.load(path).select(F.col("_metadata.file_path").alias("file"), "content")
+    return files.select("file", F.col("content").cast("string").alias("value"))
 
 
 def read_scraped_triplets(spark: SparkSession, path: str, nested: bool = False, **options) -> DataFrame:

@@ -2,6 +2,7 @@ import os
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gleanwell import sinks, sources
@@ -121,6 +122,53 @@ def test_scraped_files_written_one_per_page(spark, tmp_path):
     assert sources.read_scraped_triplets(spark, empty, nested=True).count() == 0
 
 
+ODD_NAMES = [
+    "a b.txt", "p%41+c.txt", "é \u00a0\u3000.txt", "_x.txt", "_x=1.txt", ".h.txt", "_metadata.txt", "q#?[]{}|^`<>\"'~!@$&*();,=\\.txt",
+    "n.TXT", "x.txt.bak", "tab\there.txt", "\U0001f600.txt", "z._COPYING_", "\x85c\x7f.txt",
+]
+
+
+def test_scraped_files_are_those_that_sparks_reader_gives(spark, tmp_path):
+    root = tmp_path / "a+b %20"
+    for folder in ("sub dir", "_hid", "k=v", "sub dir/.deep", "sub dir/e+%", "_metadata", "none"):
+        (root / folder).mkdir(parents=True, exist_ok=True)
+    for folder in (root, *(p for p in root.rglob("*") if p.is_dir() and p.name != "none")):
+        for name in ODD_NAMES:
+            (folder / name).write_bytes(f"{folder.name}/{name}\n\xe9".encode("latin-1", "replace"))
+    (root / "empty.txt").write_text("")
+    os.symlink(root / "sub dir" / "a b.txt", root / "link.txt")
+    os.symlink(root / "nowhere", root / "broken.txt")
+
+    def by_spark(path, nested):
+        files = spark.read.format("binaryFile").options(pathGlobFilter="*.txt", recursiveFileLookup=nested).load(path)
+        return sorted((r.f, bytes(r.content)) for r in files.select(F.col("_metadata.file_path").alias("f"), "content").collect())
+
+    def ours(path, nested):
+        files = sources.read_scraped_files(spark, path, nested)
+        return sorted((r.file, bytes(r.value)) for r in files.select("file", F.col("value").cast("binary").alias("value")).collect())
+
+    for path, nested in ((root, True), (f"file://{root}/", True), (root / "k=v", False), (root / "sub dir", False), (root / "a b.txt", False), (tmp_path / "a*" / "k=*", False)):
+        assert ours(str(path), nested) == by_spark(str(path), nested) != []
+    for nested in (True, False):
+        assert ours(str(root / "none"), nested) == []
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            sources.read_scraped_files(spark, str(tmp_path / "absent"), nested)
+
+
+@pytest.mark.parametrize("nested", [True, False])
+def test_scraped_files_leave_nothing_of_a_file_on_the_driver(spark, tmp_path, nested):
+    for k in range(600):
+        write(tmp_path / "s" / str(k % 20 if nested else ""), f"{k}.txt", f"t{k}\nx\n/{k}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        rows = sources.read_scraped_triplets(spark, str(tmp_path / "s"), nested)
+        # No index of files, and no task or split for a few of them.
+        assert rows.inputFiles() == [] and rows.rdd.getNumPartitions() <= 4
+        assert sorted(r.title for r in rows.collect()) == sorted(f"t{k}" for k in range(600))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_crawl_state_round_trip(spark, tmp_path):
     path = str(tmp_path / "state")
     pages = spark.createDataFrame([("k", 1, "t1"), ("k", 2, "t2"), ("done", 1, "t"), ("done", 2, None)],
